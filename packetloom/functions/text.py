@@ -1,4 +1,10 @@
-"""Column functions for messy field text. All stay inside Catalyst expressions."""
+"""Expressions for messy field text.
+
+The functions take the SQL text of a string expression, most often a quoted
+column name, and return a Column. They are written as SQL because a frame has
+dozens of text columns: one expression is one call to the JVM, and Catalyst
+compiles it with the rest of the stage.
+"""
 
 from __future__ import annotations
 
@@ -14,81 +20,131 @@ TRUE_WORDS = ["true", "yes"]
 FALSE_WORDS = ["false", "no"]
 BENIGN_WORDS = ["0", "normal", "benign", "false"]
 
-# Python's str.strip() set within ASCII; Spark's trim() alone only cuts blanks.
+# What counts as white space around a value; trim() alone only cuts blanks.
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
-DECIMAL_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-INFINITY_PATTERN = r"^[+-]?(inf|infinity)$"
-HEX_PATTERN = r"^0x[0-9a-fA-F]+$"
-HEX_DIGITS = "0123456789abcdef"
+DECIMAL_PATTERN = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+INFINITY_PATTERN = "^[+-]?(inf|infinity)$"
+HEX_PATTERN = "^0x[0-9a-fA-F]+$"
 
 
-def strip(c: Column) -> Column:
-    return F.trim(c, F.lit(WHITESPACE))
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def is_missing(c: Column) -> Column:
-    """True for null and for every missing word; never null itself."""
-    return c.isNull() | F.lower(strip(c)).isin(MISSING_WORDS)
+def text_of(name: str) -> str:
+    """A column of any type as SQL text of its string form."""
+    return f"cast({quoted(name)} AS string)"
 
 
-def present_text(c: Column) -> Column:
-    """The text as it stands, or null where it is missing."""
-    return F.when(~is_missing(c), c)
+def literal(text: str) -> str:
+    """A string literal as SQL text."""
+    return "'" + "".join(c if c.isalnum() or c in " _-./:|" else f"\\u{ord(c):04x}" for c in text) + "'"
 
 
-def first_value(c: Column) -> Column:
-    """First entry of a repeated field: a pipe splits before a semicolon does."""
-    return (
-        F.when(F.contains(c, F.lit("|")), strip(F.substring_index(c, "|", 1)))
-        .when(F.contains(c, F.lit(";")), strip(F.substring_index(c, ";", 1)))
-        .otherwise(c)
-    )
+def words(values: list[str]) -> str:
+    return "(" + ", ".join(literal(v) for v in values) + ")"
 
 
-def hex_to_double(c: Column) -> Column:
-    """Value of 0x... text of any length; a cast to bigint would overflow past 63 bits."""
-    digits = F.split(F.lower(F.substr(c, F.lit(3))), "")
-    return F.aggregate(
-        F.filter(digits, lambda d: d != ""),
-        F.lit(0.0),
-        lambda total, digit: total * 16 + (F.instr(F.lit(HEX_DIGITS), digit) - 1),
-    )
+# ------------------------------------------------------------------ SQL texts
 
 
-def parse_numeric(c: Column) -> Column:
-    """Number in messy text, or null: missing words, repeats, words, hex, decimals, infinities.
+def strip_sql(e: str) -> str:
+    return f"trim(BOTH {literal(WHITESPACE)} FROM {e})"
+
+
+def missing_sql(e: str) -> str:
+    return missing_stripped_sql(e, strip_sql(e))
+
+
+def missing_stripped_sql(e: str, stripped: str) -> str:
+    return f"({e} IS NULL OR lower({stripped}) IN {words(MISSING_WORDS)})"
+
+
+def present_sql(e: str) -> str:
+    return f"CASE WHEN NOT {missing_sql(e)} THEN {e} END"
+
+
+def first_value_sql(e: str) -> str:
+    def head(separator: str) -> str:
+        return f"WHEN contains({e}, '{separator}') THEN {strip_sql(f'substring_index({e}, {literal(separator)}, 1)')}"
+
+    return f"CASE {head('|')} {head(';')} ELSE {e} END"
+
+
+def finite_sql(e: str) -> str:
+    """Number of decimal text; digits beyond the range of a double are no number."""
+    return f"nullif(nullif(try_cast({e} AS double), double('infinity')), double('-infinity'))"
+
+
+def hex_sql(e: str) -> str:
+    """Value of 0x... text of any length, rounded once.
+
+    15 digits fit a bigint. Digits after them only decide how the last bit
+    rounds, for which it is enough to know whether one of them is not zero.
+    """
+    digits = f"ltrim('0', substr({e}, 3))"
+    head = f"coalesce(cast(conv(substr({digits}, 1, 15), 16, 10) AS bigint), 0L)"
+    tail = f"substr({digits}, 16)"
+    sticky = f"{head} | if(rtrim('0', {tail}) != '', 1L, 0L)"
+    return f"nullif(cast({sticky} AS double) * pow(16, length({tail})), double('infinity'))"
 
-    Null stands for "not a number"; NaN never leaves this function, because
+
+def number_sql(head: str, missing: str) -> str:
+    """Number of a first value, given whether the whole text is missing.
+
+    Null stands for "not a number"; NaN never leaves this expression, because
     Spark sorts NaN above every number.
     """
-    text = first_value(strip(c))
-    lowered = F.lower(text)
-    decimal = text.try_cast("double")
-    infinity = F.when(F.startswith(text, F.lit("-")), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return (
-        F.when(is_missing(c), F.lit(None).cast("double"))
-        .when(lowered.isin(TRUE_WORDS), F.lit(1.0))
-        .when(lowered.isin(FALSE_WORDS), F.lit(0.0))
-        .when(text.rlike(HEX_PATTERN), hex_to_double(text))
-        .when(text.rlike(DECIMAL_PATTERN), F.when(F.abs(decimal) < float("inf"), decimal))
-        .when(lowered.rlike(INFINITY_PATTERN), infinity)
-    )
-
-
-def boolean_word(c: Column) -> Column:
+    return f"""CASE
+        WHEN {missing} THEN NULL
+        WHEN {head} RLIKE '{DECIMAL_PATTERN}' THEN {finite_sql(head)}
+        WHEN lower({head}) IN {words(TRUE_WORDS)} THEN 1D
+        WHEN lower({head}) IN {words(FALSE_WORDS)} THEN 0D
+        WHEN {head} RLIKE '{HEX_PATTERN}' THEN {hex_sql(head)}
+        WHEN lower({head}) RLIKE '{INFINITY_PATTERN}' THEN try_cast({head} AS double)
+        END"""
+
+
+def category_sql(e: str) -> str:
+    return f"CASE WHEN {missing_sql(e)} THEN '{MISSING_CATEGORY}' ELSE {strip_sql(e)} END"
+
+
+# -------------------------------------------------------------------- columns
+
+
+def is_missing(e: str) -> Column:
+    """True for null and for every missing word; never null itself."""
+    return F.expr(missing_sql(e))
+
+
+def first_value(e: str) -> Column:
+    """First entry of a repeated field: a pipe splits before a semicolon does."""
+    return F.expr(first_value_sql(e))
+
+
+def parse_numeric(e: str) -> Column:
+    """Number in messy text, or null: missing words, repeats, words, hex, decimals, infinities.
+
+    For many columns, operators.typing does the same in steps that share work.
+    """
+    return F.expr(number_sql(first_value_sql(strip_sql(e)), missing_sql(e)))
+
+
+def boolean_word(e: str) -> Column:
     """1.0 or 0.0 for yes/no words, null for all other text."""
-    lowered = F.lower(strip(c))
-    return F.when(lowered.isin(TRUE_WORDS), F.lit(1.0)).when(lowered.isin(FALSE_WORDS), F.lit(0.0))
+    word = f"lower({strip_sql(e)})"
+    return F.expr(f"CASE WHEN {word} IN {words(TRUE_WORDS)} THEN 1D WHEN {word} IN {words(FALSE_WORDS)} THEN 0D END")
 
 
-def clean_category(c: Column) -> Column:
-    return F.when(is_missing(c), F.lit(MISSING_CATEGORY)).otherwise(strip(c))
+def clean_category(e: str) -> Column:
+    """Trimmed text, or one word for everything that is missing."""
+    return F.expr(category_sql(e))
 
 
-def is_attack_word(c: Column) -> Column:
+def is_attack_word(e: str) -> Column:
     """1 unless the text is one of the benign words. Null text is no benign word, so it is 1."""
-    benign = F.lower(strip(c)).isin(BENIGN_WORDS)
-    return F.when(F.coalesce(benign, F.lit(False)), 0).otherwise(1)
+    return F.expr(f"if(coalesce(lower({strip_sql(e)}) IN {words(BENIGN_WORDS)}, false), 0, 1)")
 
 
 def safe_name(c: Column) -> Column:

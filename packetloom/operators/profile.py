@@ -5,58 +5,54 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packetloom.contract import SOURCE_FILE, FeatureContract
-from packetloom.functions.text import clean_category, is_attack_word, is_missing, joined, parse_numeric, present_text, strip
+from packetloom.functions.text import (
+    MISSING_CATEGORY,
+    is_attack_word,
+    literal,
+    missing_sql,
+    parse_numeric,
+    quoted,
+    strip_sql,
+    text_of,
+)
 from packetloom.operators.distribution import ROWS_PER_TASK, exact_percentiles
+from packetloom.operators.typing import category_of, parsed_parts, type_columns
 
 NUMERIC_THRESHOLD = 0.95
 SAMPLE_VALUES = 5
 
 
-def as_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-
-
 # ------------------------------------------------------------------- typing
 
 
-def parse_ratio(parsed: Column, non_empty: Column) -> Column:
+def ratio_sql(parsed: str, non_empty: str) -> str:
     """Parsed share of the non-empty values, 1.0 if there are none."""
-    return F.when(non_empty > 0, parsed / non_empty).otherwise(F.lit(1.0))
+    return f"if({non_empty} > 0, {parsed} / {non_empty}, 1D)"
+
+
+def one_row_per_column(wide: DataFrame) -> DataFrame:
+    """Turn one row of structs into rows; the structs have the same fields."""
+    return wide.selectExpr(f"inline(array({', '.join(quoted(c) for c in wide.columns)}))")
 
 
 def parse_ratios(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: numeric parse ratio and number of non-empty values. One scan, one small shuffle."""
-    counted = df.agg(
+    parts = parsed_parts(df, [text_of(c) for c in columns])
+    wide = parts.agg(
         *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(parse_numeric(F.col(c).cast("string"))).alias("parsed"),
-                F.count_if(~is_missing(F.col(c).cast("string"))).alias("non_empty"),
-            ).alias(f"s{i}")
+            F.expr(f"struct({literal(c)} AS column, count(n{i}) AS parsed, count_if(NOT m{i}) AS non_empty)").alias(f"s{i}")
             for i, c in enumerate(columns)
         ]
     )
-    rows = counted.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(columns))])))
-    return rows.select(
-        "column",
-        parse_ratio(F.col("parsed"), F.col("non_empty")).alias("numeric_parse_ratio"),
-        F.col("non_empty").alias("non_empty_count"),
+    return one_row_per_column(wide).selectExpr(
+        "column", f"{ratio_sql('parsed', 'non_empty')} AS numeric_parse_ratio", "non_empty AS non_empty_count"
     )
 
 
-def typed_columns(numeric: Sequence[str], order: Sequence[str]) -> list[Column]:
-    """Number or category expressions for text columns, in the given order."""
-    numbers = set(numeric)
-    return [
-        (parse_numeric(F.col(c).cast("string")) if c in numbers else clean_category(F.col(c).cast("string"))).alias(c)
-        for c in order
-    ]
-
-
 @dataclass(frozen=True)
 class ColumnFacts:
     """What one scan says about a text column."""
@@ -80,19 +76,16 @@ def column_facts(df: DataFrame, columns: Sequence[str]) -> list[ColumnFacts]:
     """
     if not columns:
         return []
-    texts = as_text(df, columns)
-    parsed = texts.select(
-        *[parse_numeric(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[clean_category(F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)],
-        *[is_missing(F.col(c)).alias(f"m{i}") for i, c in enumerate(columns)],
+    parts = parsed_parts(df, [text_of(c) for c in columns])
+    parsed = parts.selectExpr(
+        *[f"n{i}" for i in range(len(columns))], *[f"{category_of(i)} AS c{i}" for i in range(len(columns))]
     )
     row = parsed.agg(
         *[
-            F.struct(
-                F.count_if(~F.col(f"m{i}")).alias("non_empty"),
-                F.count(f"n{i}").alias("parsed"),
-                F.coalesce(F.min(f"n{i}") != F.max(f"n{i}"), F.lit(False)).alias("numbers"),
-                F.coalesce(F.min(f"c{i}") != F.max(f"c{i}"), F.lit(False)).alias("categories"),
+            F.expr(
+                f"struct(count_if(c{i} != '{MISSING_CATEGORY}') AS non_empty, count(n{i}) AS parsed, "
+                f"coalesce(min(n{i}) != max(n{i}), false) AS numbers, "
+                f"coalesce(min(c{i}) != max(c{i}), false) AS categories)"
             )
             for i in range(len(columns))
         ]
@@ -113,8 +106,7 @@ def column_facts(df: DataFrame, columns: Sequence[str]) -> list[ColumnFacts]:
 def coerce_types(df: DataFrame, columns: Sequence[str], threshold: float = NUMERIC_THRESHOLD) -> DataFrame:
     """Columns as numbers where enough of their values parse, else as categories."""
     numeric = [f.name for f in column_facts(df, columns) if f.is_numeric(threshold)]
-    others = [c for c in df.columns if c not in set(columns)]
-    return df.select(*others, *typed_columns(numeric, columns))
+    return type_columns(df, numeric, columns, keep=[c for c in df.columns if c not in set(columns)])
 
 
 def prune_columns(
@@ -138,19 +130,18 @@ def drop_empty_constant(df: DataFrame, columns: Sequence[str], threshold: float
     """Typed columns without those that are empty or constant."""
     numeric, categorical, _, _ = prune_columns(column_facts(df, columns), threshold)
     kept = [c for c in columns if c in {*numeric, *categorical}]
-    others = [c for c in df.columns if c not in set(columns)]
-    return df.select(*others, *typed_columns(numeric, kept))
+    return type_columns(df, numeric, kept, keep=[c for c in df.columns if c not in set(columns)])
 
 
 def binary_labels(df: DataFrame, name: str = "label") -> tuple[DataFrame, str]:
     """Add the 0/1 label and tell the column it came from."""
     if "Attack_label" in df.columns:
-        text = F.col("Attack_label").cast("string")
+        text = text_of("Attack_label")
         any_number = df.agg(F.count(parse_numeric(text)).alias("n")).first()["n"] > 0
         label = (F.coalesce(parse_numeric(text), F.lit(0.0)) > 0).cast("int") if any_number else is_attack_word(text)
         return df.withColumn(name, label), "Attack_label"
     if "Attack_type" in df.columns:
-        return df.withColumn(name, is_attack_word(F.col("Attack_type").cast("string"))), "Attack_type"
+        return df.withColumn(name, is_attack_word(text_of("Attack_type"))), "Attack_type"
     raise ValueError("a label column is needed: Attack_label or Attack_type")
 
 
@@ -183,28 +174,27 @@ def column_profile(
     )
     report = spark.createDataFrame([(c, False, *[None] * 6) for c in absent], shape)
     if here:
-        texts = as_text(df, here)
-        parsed = texts.select(
-            *[present_text(F.col(c)).alias(f"t{i}") for i, c in enumerate(here)],
-            *[parse_numeric(F.col(c)).alias(f"n{i}") for i, c in enumerate(here)],
+        parts = parsed_parts(df, [text_of(c) for c in here], here)
+        parsed = parts.selectExpr(
+            *[f"if(m{i}, NULL, {text_of(c)}) AS t{i}" for i, c in enumerate(here)], *[f"n{i}" for i in range(len(here))]
         )
         medians = exact_percentiles(parsed, {f"m{i}": (f"n{i}", 0.5) for i in range(len(here))}, limit=limit)
         wide = parsed.agg(
             *[
                 F.struct(
-                    F.lit(c).alias("column"),
-                    F.lit(True).alias(f"{prefix}_present"),
-                    (1 - F.count(f"t{i}") / F.count(F.lit(1))).alias(f"{prefix}_null_ratio"),
-                    F.coalesce(F.min(f"t{i}") == F.max(f"t{i}"), F.lit(True)).alias(f"{prefix}_constant"),
-                    parse_ratio(F.count(f"n{i}"), F.count(f"t{i}")).alias(f"{prefix}_numeric_ratio"),
-                    F.min(f"n{i}").alias(f"{prefix}_min"),
+                    F.expr(f"{literal(c)} AS column"),
+                    F.expr(f"true AS {prefix}_present"),
+                    F.expr(f"1 - count(t{i}) / count(1) AS {prefix}_null_ratio"),
+                    F.expr(f"coalesce(min(t{i}) = max(t{i}), true) AS {prefix}_constant"),
+                    F.expr(f"{ratio_sql(f'count(n{i})', f'count(t{i})')} AS {prefix}_numeric_ratio"),
+                    F.expr(f"min(n{i}) AS {prefix}_min"),
                     medians[f"m{i}"].alias(f"{prefix}_median"),
-                    F.max(f"n{i}").alias(f"{prefix}_max"),
+                    F.expr(f"max(n{i}) AS {prefix}_max"),
                 ).alias(f"s{i}")
                 for i, c in enumerate(here)
             ]
         )
-        report = wide.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(here))]))).unionByName(report)
+        report = one_row_per_column(wide).unionByName(report)
     samples = first_values(df, here, order_by, f"{prefix}_sample_values")
     # One row per column on both sides.
     return report.join(samples, "column", "left").withColumn(
@@ -218,27 +208,21 @@ def first_values(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
     One top-k per column: a task keeps SAMPLE_VALUES rows and reads only the
     order columns and that one column.
     """
-    parts = []
-    for c in columns:
-        value = strip(present_text(F.col(c).cast("string")))
-        top = (
-            df.select(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order_by)], value.alias("_v"))
-            .where(F.col("_v").isNotNull())
-            .orderBy(*[f"_o{i}" for i in range(len(order_by))])
-            .limit(SAMPLE_VALUES)
-        )
-        place = F.struct(*[F.col(f"_o{i}") for i in range(len(order_by))], F.col("_v"))
-        parts.append(
-            top.agg(joined(F.transform(F.sort_array(F.collect_list(place)), lambda s: s["_v"]), " | ").alias(name)).select(
-                F.lit(c).alias("column"), name
-            )
+    spark = df.sparkSession
+    if not columns:
+        return spark.createDataFrame([], f"column string, {name} string")
+    order = ", ".join(quoted(o) for o in order_by)
+
+    def top(c: str) -> str:
+        text = text_of(c)
+        first = (
+            f"SELECT struct({order}, {strip_sql(text)} AS _value) AS place FROM {{df}} "
+            f"WHERE NOT {missing_sql(text)} ORDER BY {order} LIMIT {SAMPLE_VALUES}"
         )
-    if not parts:
-        return df.sparkSession.createDataFrame([], f"column string, {name} string")
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        values = "transform(sort_array(collect_list(place)), p -> p._value)"
+        return f"SELECT {literal(c)} AS column, array_join({values}, ' | ') AS {name} FROM ({first})"
+
+    return spark.sql(" UNION ALL ".join(top(c) for c in columns), df=df)
 
 
 def compare_profiles(left: DataFrame, right: DataFrame, prefixes: tuple[str, str] = ("edge", "local")) -> DataFrame:
@@ -287,19 +271,18 @@ def describe(df: DataFrame, column: str, *, limit: int = ROWS_PER_TASK) -> DataF
 
 def feature_coverage(df: DataFrame, contract: FeatureContract) -> DataFrame:
     """(feature, state) for contract features that are missing or empty in the frame."""
-    spark = df.sparkSession
     missing = [c for c in contract.feature_columns if c not in df.columns]
     here = [c for c in contract.feature_columns if c in df.columns]
-    result = spark.createDataFrame([(c, "missing") for c in missing], "feature string, state string")
+    result = df.sparkSession.createDataFrame([(c, "missing") for c in missing], "feature string, state string")
     if here:
         counted = df.agg(
             *[
-                F.struct(F.lit(c).alias("feature"), F.count(present_text(F.col(c).cast("string"))).alias("n")).alias(f"s{i}")
+                F.expr(f"struct({literal(c)} AS feature, count_if(NOT {missing_sql(text_of(c))}) AS n)").alias(f"s{i}")
                 for i, c in enumerate(here)
             ]
         )
-        empty = counted.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(here))]))).where("n = 0")
-        result = result.unionByName(empty.select("feature", F.lit("all_empty").alias("state")))
+        empty = one_row_per_column(counted).where("n = 0").selectExpr("feature", "'all_empty' AS state")
+        result = result.unionByName(empty)
     return result
 
 

@@ -18,9 +18,10 @@ from packetloom.contract import (
     spark_names,
     split_supported,
 )
-from packetloom.functions.text import clean_category, parse_numeric, text_or_blank
+from packetloom.functions.text import text_or_blank
 from packetloom.functions.time import fallback_window_key, iso_text, window_key
 from packetloom.operators.distribution import fits_one_task
+from packetloom.operators.typing import type_columns
 
 PREVIEW_LIMIT = 25
 RECORDS_PER_DOCUMENT = 100_000
@@ -62,17 +63,15 @@ def align_to_contract(df: DataFrame, contract: FeatureContract, keep: Sequence[s
 
     Missing features are null before typing; a frame without provenance gets "unknown".
     """
-    numeric = set(contract.numeric_columns)
-
-    def feature(name: str) -> Column:
-        raw = F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
-        return (parse_numeric(raw) if name in numeric else clean_category(raw)).alias(name)
-
     source = F.col(SOURCE_FILE) if SOURCE_FILE in df.columns else F.lit("unknown")
     kept = [c for c in keep if c in df.columns and c != SOURCE_FILE]
     # A kept column that is also a feature stays available as text under another name.
-    renamed = [F.col(c).alias(f"raw_{c}" if c in contract.feature_columns else c) for c in kept]
-    return df.select(source.alias(SOURCE_FILE), *renamed, *[feature(c) for c in contract.feature_columns])
+    names = [f"raw_{c}" if c in contract.feature_columns else c for c in kept]
+    extra = df.select(
+        "*", source.alias("_source"), *[F.col(c).alias(n) for c, n in zip(kept, names) if n != c]
+    )
+    typed_rows = type_columns(extra, contract.numeric_columns, contract.feature_columns, keep=["_source", *names])
+    return typed_rows.withColumnRenamed("_source", SOURCE_FILE)
 
 
 def align_extract(df: DataFrame, requested: Sequence[str], *, blank_labels: bool = True) -> DataFrame:

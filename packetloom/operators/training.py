@@ -25,9 +25,10 @@ from packetloom.contract import (
 )
 from packetloom.operators.distribution import exact_percentiles
 from packetloom.operators.evaluate import choose_threshold, evaluate, score_curve
-from packetloom.operators.profile import NUMERIC_THRESHOLD, binary_labels, column_facts, prune_columns, typed_columns
+from packetloom.operators.profile import NUMERIC_THRESHOLD, binary_labels, column_facts, prune_columns
 from packetloom.operators.shape import align_to_contract, normalize_columns
 from packetloom.operators.summary import PROBABILITY
+from packetloom.operators.typing import type_columns
 from packetloom.session import materialise, shared_folder
 
 TARGET = "label"
@@ -111,7 +112,7 @@ def prepare_training_frame(
         numeric_parse_ratios={f.name: f.numeric_ratio for f in facts},
         numeric_non_empty_counts={f.name: f.non_empty for f in facts},
     )
-    return labelled.select(ROW_KEY, TARGET, *typed_columns(numeric, used)), contract
+    return type_columns(labelled, numeric, used, keep=[ROW_KEY, TARGET]), contract
 
 
 def split_bucket(key: Column, seed: int | None = None) -> Column:

@@ -228,7 +228,7 @@ def replay(
     scored = with_record_label(bundle.score(kept, [*FILE_ORDER, *metadata]), rule.record)
     scored = with_record_index(materialise(scored, "replayed"), ["_file"], FILE_ORDER, block=["_block"])
     # Files without rows are windows, too.
-    files = list_files(spark, folder, pattern, recursive).select(F.col("path").alias("_file"), "name")
+    files = list_files(spark, folder, pattern, recursive).select("_file", "path", "name")
     if max_files:
         files = files.orderBy("_file").limit(max_files)
     numbered = distinct_rank(files, "_file", "window_id").join(files, "_file")
@@ -239,7 +239,7 @@ def replay(
     now = iso_text(started)
     summary = summary_rows(
         labelled.withColumns(
-            {"interface": F.col("name"), "source_path": F.col("_file"), "raw_csv_path": F.col("_file")}
+            {"interface": F.col("name"), "source_path": F.col("path"), "raw_csv_path": F.col("path")}
         ),
         rule,
         {"window_start": now, "window_end": now, "unsupported_tshark_fields": joined(missing)},

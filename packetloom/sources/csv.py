@@ -5,12 +5,13 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packetloom.contract import PACKET_COLUMNS, SOURCE_FILE, spark_name, spark_names
 from packetloom.operators.shape import align_extract, union_by_name, unique_names
+from packetloom.session import materialise
 
 # Up to this many files, each first line is fetched by a job that reads one split.
 HEADERS_BY_FILE = 64
@@ -18,14 +19,27 @@ CORRUPT = "_corrupt_record"
 FILE_ORDER = ["_file", "_block", "_row"]
 
 
+def file_name_column() -> Column:
+    """Plain base name of the file read; Spark gives it URL-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False) -> DataFrame:
-    """(path, name, length) of the files that match, without reading them. Raises if there are none."""
+    """(_file, path, name, length) of the files that match, without reading them. Raises if there are none.
+
+    ``_file`` is the identity of a file beside its rows.
+    """
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", str(recursive).lower())
         .load(folder)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+        .select(
+            F.col("_metadata.file_path").alias("_file"),
+            "path",
+            F.element_at(F.split("path", "/"), -1).alias("name"),
+            "length",
+        )
     )
     if listed.isEmpty():
         raise FileNotFoundError(f"no files match {pattern} in {folder}")
@@ -101,11 +115,11 @@ def file_headers(spark: SparkSession, folder: str, pattern: str, recursive: bool
         .option("recursiveFileLookup", str(recursive).lower())
         .text(folder)
         .where(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("row"))
+        .select(F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("row"))
     )
-    first = lines.groupBy("path").agg(F.min_by("value", "row").alias("line"))
+    first = lines.groupBy("_file").agg(F.min_by("value", "row").alias("line"))
     # File names and headers are what Spark's own file index keeps on the driver, too.
-    for r in listed.select("path").join(first, "path", "left").orderBy("path").toLocalIterator():
+    for r in listed.join(first, "_file", "left").select("path", "line").orderBy("path").toLocalIterator():
         groups.setdefault(tuple(parse_header(r["line"]) if r["line"] else []), []).append(r["path"])
     return groups
 
@@ -140,7 +154,7 @@ def read_many(
         frames.append(
             _read(spark, paths, header).select(
                 *_columns(header),
-                F.col("_metadata.file_name").alias(SOURCE_FILE),
+                file_name_column().alias(SOURCE_FILE),
                 *(order if file_order else []),
             )
         )
@@ -164,51 +178,44 @@ def ingest(
     """Read every file that can be read: (aligned rows, report).
 
     The report has one row per listed file: rows, corrupt_rows and status. A
-    file fails if it lacks a header with any requested field or cannot be
+    file fails if its header has none of the requested fields or it cannot be
     read; the other files go on.
     """
     names = spark_names(requested)
     groups = file_headers(spark, folder, pattern, recursive)
-    frames = []
-    for header, paths in groups.items():
-        if set(spark_names(header)) & set(names):
-            raw = _read(spark, paths, header, ignoreCorruptFiles="true")
-            source = F.col("_metadata.file_name").alias(SOURCE_FILE)
-            frames.append(
-                align_extract(raw.select(*_columns(header), CORRUPT, source), [*names, CORRUPT, SOURCE_FILE])
-            )
-    listed = list_files(spark, folder, pattern, recursive)
-    if not frames:
-        failed = listed.select(F.col("name").alias(SOURCE_FILE), F.lit(0).cast("bigint").alias("rows"))
-        report = failed.select("*", F.lit(0).cast("bigint").alias("corrupt_rows"), F.lit("failed").alias("status"))
+    usable = {h: paths for h, paths in groups.items() if set(spark_names(h)) & set(names)}
+    listed = list_files(spark, folder, pattern, recursive).select("_file", F.col("name").alias(SOURCE_FILE))
+    if not usable:
+        none = F.lit(0).cast("bigint")
+        report = listed.select(SOURCE_FILE, none.alias("rows"), none.alias("corrupt_rows"), F.lit("failed").alias("status"))
         return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in [*names, SOURCE_FILE])), report
-    rows = union_by_name(frames)
-    counted = rows.groupBy(SOURCE_FILE).agg(
+    frames = []
+    for header, paths in usable.items():
+        raw = _read(spark, paths, header, ignoreCorruptFiles="true").select(
+            *_columns(header), CORRUPT, file_name_column().alias(SOURCE_FILE), F.col("_metadata.file_path").alias("_file")
+        )
+        frames.append(align_extract(raw, [*names, CORRUPT, SOURCE_FILE, "_file"]))
+    # Parsed once: both the rows and the counts come from the stored table.
+    rows = materialise(union_by_name(frames), "ingested")
+    counted = rows.groupBy("_file").agg(
         F.count_if(F.col(CORRUPT).isNull()).alias("rows"), F.count(CORRUPT).alias("corrupt_rows")
     )
-    readable = spark_readable(spark, groups, names)
+    # A usable file without any row is fine if only its header could be read.
+    paths = [p for found in usable.values() for p in found]
+    readable = spark.createDataFrame([(p,) for p in paths], "path string").withColumn("readable", F.lit(True))
+    located = list_files(spark, folder, pattern, recursive).join(readable, "path", "left").select("_file", "readable")
     report = (
-        listed.select(F.col("name").alias(SOURCE_FILE))
-        .join(counted, SOURCE_FILE, "left")
-        .join(readable, SOURCE_FILE, "left")
+        listed.join(located, "_file")
+        .join(counted, "_file", "left")
         .select(
             SOURCE_FILE,
             F.coalesce("rows", F.lit(0)).alias("rows"),
             F.coalesce("corrupt_rows", F.lit(0)).alias("corrupt_rows"),
-            F.when(F.col("readable") & (F.coalesce("corrupt_rows", F.lit(0)) == 0), "ok")
+            F.when(F.col("readable").isNull(), "failed")
+            .when(F.coalesce("corrupt_rows", F.lit(0)) == 0, "ok")
             .when(F.col("rows") > 0, "partial")
             .otherwise("failed")
             .alias("status"),
         )
     )
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), report
-
-
-def spark_readable(spark: SparkSession, groups: dict[tuple[str, ...], list[str]], names: Sequence[str]) -> DataFrame:
-    """(source_file, readable) from the headers found."""
-    flags = [
-        (path.rsplit("/", 1)[-1], bool({spark_name(h) for h in header} & set(names)))
-        for header, paths in groups.items()
-        for path in paths
-    ]
-    return spark.createDataFrame(flags, f"{SOURCE_FILE} string, readable boolean")
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file"), report
