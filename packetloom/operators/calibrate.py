@@ -64,14 +64,14 @@ def baseline(
         limit=limit,
     )
     measured = used.agg(
-        found["ratio_q"].alias("_quantile"),
+        F.lit(found["ratio_q"]).alias("_quantile"),
         F.count(F.lit(1)).alias("windows_used"),
         F.min(ratio).alias("attack_record_ratio_min"),
-        found["ratio_median"].alias("attack_record_ratio_median"),
-        found["ratio_p95"].alias("attack_record_ratio_p95"),
+        F.lit(found["ratio_median"]).alias("attack_record_ratio_median"),
+        F.lit(found["ratio_p95"]).alias("attack_record_ratio_p95"),
         F.max(ratio).alias("attack_record_ratio_max"),
-        found["peak_median"].alias("max_attack_probability_median"),
-        found["peak_p95"].alias("max_attack_probability_p95"),
+        F.lit(found["peak_median"]).alias("max_attack_probability_median"),
+        F.lit(found["peak_p95"]).alias("max_attack_probability_p95"),
         F.max(peak).alias("max_attack_probability_max"),
     )
     raised = F.least(F.lit(float(max_ratio_threshold)), F.col("_quantile") + F.lit(float(margin)))

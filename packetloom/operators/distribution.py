@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -188,6 +189,26 @@ def _between(name: str, q: float) -> Column:
     return F.col(f"_{name}_low") * (1 - part) + F.col(f"_{name}_high") * part
 
 
+def group_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], aggregates: Sequence[Column]
+) -> DataFrame:
+    """Exact interpolated quantiles per key beside other aggregates, one group per key.
+
+    For inputs that fit one task as a whole: a group's values are sorted as one
+    array, which is several times faster than the value-count map of ``percentile``.
+    """
+    listed = df.groupBy(*keys).agg(*aggregates, F.sort_array(F.collect_list(value)).alias("_sorted"))
+    kept = [c for c in listed.columns if c != "_sorted"]
+
+    def quantile(q: float) -> Column:
+        position = (F.size("_sorted") - 1) * F.lit(q)
+        low, part = F.floor(position), position - F.floor(position)
+        low_value, high_value = F.get("_sorted", low.cast("int")), F.get("_sorted", F.ceil(position).cast("int"))
+        return low_value * (1 - part) + high_value * part
+
+    return listed.select(*kept, *[quantile(q).alias(name) for name, q in quantiles.items()])
+
+
 # ------------------------------------------------------------ column quantiles
 
 
@@ -195,117 +216,135 @@ def exact_percentiles(
     df: DataFrame,
     wanted: Mapping[str, tuple[str, float]],
     *,
+    counts: Mapping[str, int] | None = None,
     limit: int = ROWS_PER_TASK,
-) -> dict[str, Column]:
-    """Aggregate expressions for exact percentiles of whole columns: name -> (column, fraction).
+) -> dict[str, float | None]:
+    """Exact interpolated percentiles of whole columns: name -> (column, fraction).
 
-    Use them inside ``df.agg``. A small input gets Spark's ``percentile``; for a
-    large one the values are found beforehand and the expressions are literals.
+    None where a column has no value. Only these numbers reach the driver.
+    ``counts`` are the columns' non-null rows, if they are known.
     """
-    if fits_one_task(df, limit):
-        return {name: F.percentile(F.col(c), F.lit(q)) for name, (c, q) in wanted.items()}
-
     columns = list(dict.fromkeys(c for c, _ in wanted.values()))
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    ranks = set()
-    for c, q in wanted.values():
-        if counts[c]:
-            position = (counts[c] - 1) * q
-            ranks |= {(c, math.floor(position)), (c, math.ceil(position))}
-    found = order_statistics(df, ranks, counts.asDict(), limit=limit)
-
-    def literal(c: str, q: float) -> Column:
+    if counts is None:
+        counts = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+
+    def position(c: str, q: float) -> float:
+        return (counts[c] - 1) * q
+
+    ranks = {
+        (c, edge(position(c, q))) for c, q in wanted.values() if counts[c] for edge in (math.floor, math.ceil)
+    }
+    found = order_statistics(df, ranks, counts, limit=limit)
+
+    def value(c: str, q: float) -> float | None:
         if not counts[c]:
-            return F.lit(None).cast("double")
-        position = (counts[c] - 1) * q
-        low, part = math.floor(position), position - math.floor(position)
-        high = math.ceil(position)
-        value = found[c, low] if low == high else found[c, low] * (1 - part) + found[c, high] * part
-        return F.first(F.lit(float(value)))
+            return None
+        at = position(c, q)
+        low, high, part = found[c, math.floor(at)], found[c, math.ceil(at)], at - math.floor(at)
+        return low if low == high else low * (1 - part) + high * part
+
+    return {name: value(c, q) for name, (c, q) in wanted.items()}
+
+
+@dataclass(frozen=True)
+class Span:
+    """An open interval of a column that holds wanted ranks; None means unbounded."""
 
-    return {name: literal(c, q) for name, (c, q) in wanted.items()}
+    column: str
+    low: float | None
+    high: float | None
+    below: int
+    rows: int
+
+    def holds(self) -> Column:
+        c = F.col(self.column)
+        kept = c.isNotNull()
+        if self.low is not None:
+            kept = kept & (c > F.lit(self.low))
+        if self.high is not None:
+            kept = kept & (c < F.lit(self.high))
+        return kept
 
 
 def order_statistics(
-    df: DataFrame,
-    ranks: set[tuple[str, int]],
-    counts: Mapping[str, int],
-    *,
-    limit: int = ROWS_PER_TASK,
+    df: DataFrame, ranks: set[tuple[str, int]], counts: Mapping[str, int], *, limit: int = ROWS_PER_TASK
 ) -> dict[tuple[str, int], float]:
     """Value at each 0-based (column, rank), by narrowing an open interval around it.
 
     Every pass is one aggregate over the scan: a mergeable sketch proposes two
     values around the rank, exact counts tell where the rank lies. No row is
-    shuffled, and a pass keeps about 4 / SKETCH_ACCURACY of the rows.
+    shuffled, and a pass keeps about 4 / SKETCH_ACCURACY of the rows. What is
+    left of all intervals together, at most ``limit`` values, is sorted at the end.
     """
-    final_rows = min(limit, 50_000)
     found: dict[tuple[str, int], float] = {}
-    # (column, rank) -> low, high (both exclusive, None = open), rows below, rows inside
-    spans = {t: (None, None, 0, counts[t[0]]) for t in ranks}
+    spans = {t: Span(t[0], None, None, 0, counts[t[0]]) for t in ranks}
+
+    def largest() -> list[Span]:
+        """Intervals to narrow, so that the others together stay within the limit."""
+        open_spans = sorted({s for t, s in spans.items() if t not in found}, key=lambda s: s.rows)
+        total, kept = 0, 0
+        for s in open_spans:
+            total += s.rows
+            if total > limit:
+                break
+            kept += 1
+        return open_spans[kept:]
+
+    while to_narrow := largest():
+        targets = {s: [t for t in spans if t not in found and spans[t] == s] for s in to_narrow}
+        margin = 2 / SKETCH_ACCURACY
 
-    def inside(target) -> Column:
-        low, high, _, _ = spans[target]
-        c = F.col(target[0])
-        kept = c.isNotNull()
-        if low is not None:
-            kept = kept & (c > F.lit(low))
-        if high is not None:
-            kept = kept & (c < F.lit(high))
-        return kept
+        def fractions(s: Span) -> list[float]:
+            shares = [(t[1] - s.below) / s.rows for t in targets[s]]
+            return [f for share in shares for f in (max(0.0, share - margin), min(1.0, share + margin))]
 
-    while open_spans := [t for t in spans if t not in found and spans[t][3] > final_rows]:
-        margin = 2 / SKETCH_ACCURACY
         proposals = df.agg(
             *[
-                F.percentile_approx(
-                    F.when(inside(t), F.col(t[0])),
-                    [max(0.0, f - margin), min(1.0, f + margin)],
-                    SKETCH_ACCURACY,
-                ).alias(f"t{i}")
-                for i, t in enumerate(open_spans)
-                for f in [(t[1] - spans[t][2]) / spans[t][3]]
+                F.percentile_approx(F.when(s.holds(), F.col(s.column)), fractions(s), SKETCH_ACCURACY)
+                for s in to_narrow
             ]
         ).first()
-        aggregates = []
-        for i, t in enumerate(open_spans):
-            a, b = proposals[i]
-            c, kept = F.col(t[0]), inside(t)
-            aggregates += [
-                F.count_if(kept & (c < F.lit(a))).alias(f"below{i}"),
-                F.count_if(c == F.lit(a)).alias(f"low{i}"),
-                F.count_if((c > F.lit(a)) & (c < F.lit(b))).alias(f"between{i}"),
-                F.count_if(c == F.lit(b)).alias(f"high{i}"),
-            ]
-        n = df.agg(*aggregates).first()
-        for i, t in enumerate(open_spans):
-            a, b = proposals[i]
-            low, high, before, size = spans[t]
-            at = t[1] - before
-            below, at_low, between, at_high = (n[f"{k}{i}"] for k in ("below", "low", "between", "high"))
-            if a == b:
-                between, at_high = 0, 0
-            edges = (below, below + at_low, below + at_low + between, below + at_low + between + at_high)
-            if at < edges[0]:
-                spans[t] = (low, a, before, below)
-            elif at < edges[1]:
-                found[t] = a
-            elif at < edges[2]:
-                spans[t] = (a, b, before + edges[1], between)
-            elif at < edges[3]:
-                found[t] = b
-            else:
-                spans[t] = (b, high, before + edges[3], size - edges[3])
-
-    last = [t for t in spans if t not in found]
-    if last:
-        row = df.agg(
+        pairs = {t: proposals[i][2 * j : 2 * j + 2] for i, s in enumerate(to_narrow) for j, t in enumerate(targets[s])}
+        edges = {(s, a, b): None for s in to_narrow for t in targets[s] for a, b in [pairs[t]]}
+        counted = df.agg(
             *[
-                F.get(F.sort_array(F.collect_list(F.when(inside(t), F.col(t[0])))), F.lit(t[1] - spans[t][2])).alias(f"t{i}")
-                for i, t in enumerate(last)
+                count
+                for s, a, b in edges
+                for c in [F.col(s.column)]
+                for count in (
+                    F.count_if(s.holds() & (c < F.lit(a))),
+                    F.count_if(c == F.lit(a)),
+                    F.count_if((c > F.lit(a)) & (c < F.lit(b))),
+                    F.count_if((c == F.lit(b)) & (c != F.lit(a))),
+                )
             ]
         ).first()
-        found.update({t: row[i] for i, t in enumerate(last)})
+        sizes = {edge: counted[4 * i : 4 * i + 4] for i, edge in enumerate(edges)}
+        for s in to_narrow:
+            for t in targets[s]:
+                a, b = pairs[t]
+                below, at_low, between, at_high = sizes[s, a, b]
+                at = t[1] - s.below
+                if at < below:
+                    spans[t] = Span(s.column, s.low, a, s.below, below)
+                elif at < below + at_low:
+                    found[t] = a
+                elif at < below + at_low + between:
+                    spans[t] = Span(s.column, a, b, s.below + below + at_low, between)
+                elif at < below + at_low + between + at_high:
+                    found[t] = b
+                else:
+                    passed = below + at_low + between + at_high
+                    spans[t] = Span(s.column, b, s.high, s.below + passed, s.rows - passed)
+
+    last = list(dict.fromkeys(s for t, s in spans.items() if t not in found))
+    if last:
+        lists = df.agg(
+            *[F.sort_array(F.collect_list(F.when(s.holds(), F.col(s.column)))).alias(f"l{i}") for i, s in enumerate(last)]
+        )
+        targets = [t for t in spans if t not in found]
+        row = lists.select(*[F.get(f"l{last.index(spans[t])}", F.lit(t[1] - spans[t].below)) for t in targets]).first()
+        found.update(zip(targets, row))
     return found
 
 

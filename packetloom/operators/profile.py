@@ -20,7 +20,8 @@ from packetloom.functions.text import (
     text_of,
 )
 from packetloom.operators.distribution import ROWS_PER_TASK, exact_percentiles
-from packetloom.operators.typing import category_of, parsed_parts, type_columns
+from packetloom.operators.typing import category_of, holds_numbers, parsed_parts, type_columns
+from packetloom.session import materialise
 
 NUMERIC_THRESHOLD = 0.95
 SAMPLE_VALUES = 5
@@ -41,7 +42,7 @@ def one_row_per_column(wide: DataFrame) -> DataFrame:
 
 def parse_ratios(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: numeric parse ratio and number of non-empty values. One scan, one small shuffle."""
-    parts = parsed_parts(df, [text_of(c) for c in columns])
+    parts = parsed_parts(df, columns)
     wide = parts.agg(
         *[
             F.expr(f"struct({literal(c)} AS column, count(n{i}) AS parsed, count_if(NOT m{i}) AS non_empty)").alias(f"s{i}")
@@ -76,7 +77,7 @@ def column_facts(df: DataFrame, columns: Sequence[str]) -> list[ColumnFacts]:
     """
     if not columns:
         return []
-    parts = parsed_parts(df, [text_of(c) for c in columns])
+    parts = parsed_parts(df, columns)
     parsed = parts.selectExpr(
         *[f"n{i}" for i in range(len(columns))], *[f"{category_of(i)} AS c{i}" for i in range(len(columns))]
     )
@@ -166,40 +167,62 @@ def column_profile(
     says which values come first.
     """
     here = [c for c in columns if c in df.columns]
-    absent = [c for c in columns if c not in df.columns]
-    spark = df.sparkSession
+    facts = profile_facts(df, here, limit) if here else []
+    absent = [(c, False, *[None] * 6) for c in columns if c not in df.columns]
     shape = (
         f"column string, {prefix}_present boolean, {prefix}_null_ratio double, {prefix}_constant boolean, "
         f"{prefix}_numeric_ratio double, {prefix}_min double, {prefix}_median double, {prefix}_max double"
     )
-    report = spark.createDataFrame([(c, False, *[None] * 6) for c in absent], shape)
-    if here:
-        parts = parsed_parts(df, [text_of(c) for c in here], here)
-        parsed = parts.selectExpr(
-            *[f"if(m{i}, NULL, {text_of(c)}) AS t{i}" for i, c in enumerate(here)], *[f"n{i}" for i in range(len(here))]
-        )
-        medians = exact_percentiles(parsed, {f"m{i}": (f"n{i}", 0.5) for i in range(len(here))}, limit=limit)
-        wide = parsed.agg(
-            *[
-                F.struct(
-                    F.expr(f"{literal(c)} AS column"),
-                    F.expr(f"true AS {prefix}_present"),
-                    F.expr(f"1 - count(t{i}) / count(1) AS {prefix}_null_ratio"),
-                    F.expr(f"coalesce(min(t{i}) = max(t{i}), true) AS {prefix}_constant"),
-                    F.expr(f"{ratio_sql(f'count(n{i})', f'count(t{i})')} AS {prefix}_numeric_ratio"),
-                    F.expr(f"min(n{i}) AS {prefix}_min"),
-                    medians[f"m{i}"].alias(f"{prefix}_median"),
-                    F.expr(f"max(n{i}) AS {prefix}_max"),
-                ).alias(f"s{i}")
-                for i, c in enumerate(here)
-            ]
-        )
-        report = one_row_per_column(wide).unionByName(report)
-    samples = first_values(df, here, order_by, f"{prefix}_sample_values")
-    # One row per column on both sides.
-    return report.join(samples, "column", "left").withColumn(
-        f"{prefix}_sample_values", F.coalesce(f"{prefix}_sample_values", F.lit(""))
+    # One row per column on both sides of the join.
+    report = df.sparkSession.createDataFrame([*facts, *absent], shape)
+    sample = f"{prefix}_sample_values"
+    samples = first_values(df, here, order_by, sample)
+    return report.join(samples, "column", "left").withColumn(sample, F.coalesce(sample, F.lit("")))
+
+
+def profile_facts(df: DataFrame, columns: Sequence[str], limit: int) -> list[tuple]:
+    """Per column: name, presence, null ratio, constancy, numeric ratio, minimum, median, maximum.
+
+    One scan yields all but the medians. Those are looked up only in columns
+    that have numbers; numbers read from text are stored first, so that no
+    text is parsed twice.
+    """
+    types = dict(df.dtypes)
+    numbered = range(len(columns))
+    parts = parsed_parts(df, columns, columns)
+    parsed = parts.selectExpr(
+        # Numbers differ where their texts differ, so a column of numbers needs no texts.
+        *[
+            f"n{i} AS t{i}" if holds_numbers(types, c) else f"if(m{i}, NULL, {quoted(c)}) AS t{i}"
+            for i, c in enumerate(columns)
+        ],
+        *[f"n{i}" for i in numbered],
     )
+    row = parsed.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[
+            F.expr(
+                f"struct(count(t{i}) AS texts, coalesce(min(t{i}) = max(t{i}), true) AS constant, "
+                f"count(n{i}) AS numbers, min(n{i}) AS low, max(n{i}) AS high) AS f{i}"
+            )
+            for i in numbered
+        ],
+    ).first()
+    with_numbers = [i for i in numbered if row[f"f{i}"]["numbers"]]
+    medians = {}
+    if with_numbers:
+        numbers = parts.selectExpr(*[f"n{i}" for i in with_numbers])
+        if not all(holds_numbers(types, columns[i]) for i in with_numbers):
+            numbers = materialise(numbers, "numbers")
+        counts = {f"n{i}": row[f"f{i}"]["numbers"] for i in with_numbers}
+        medians = exact_percentiles(numbers, {c: (c, 0.5) for c in counts}, counts=counts, limit=limit)
+    facts = []
+    for i, c in enumerate(columns):
+        f = row[f"f{i}"]
+        null_ratio = 1 - f["texts"] / row["rows"] if row["rows"] else None
+        numeric_ratio = f["numbers"] / f["texts"] if f["texts"] else 1.0
+        facts.append((c, True, null_ratio, f["constant"], numeric_ratio, f["low"], medians.get(f"n{i}"), f["high"]))
+    return facts
 
 
 def first_values(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
@@ -213,13 +236,13 @@ def first_values(df: DataFrame, columns: Sequence[str], order_by: Sequence[str],
         return spark.createDataFrame([], f"column string, {name} string")
     order = ", ".join(quoted(o) for o in order_by)
 
+    types = dict(df.dtypes)
+
     def top(c: str) -> str:
-        text = text_of(c)
-        first = (
-            f"SELECT struct({order}, {strip_sql(text)} AS _value) AS place FROM {{df}} "
-            f"WHERE NOT {missing_sql(text)} ORDER BY {order} LIMIT {SAMPLE_VALUES}"
-        )
-        values = "transform(sort_array(collect_list(place)), p -> p._value)"
+        value, text = quoted(c), text_of(c)
+        kept = f"nullif({value}, double('nan')) IS NOT NULL" if holds_numbers(types, c) else f"NOT {missing_sql(text)}"
+        first = f"SELECT {order}, {text} AS _value FROM {{df}} WHERE {kept} ORDER BY {order} LIMIT {SAMPLE_VALUES}"
+        values = f"transform(sort_array(collect_list(struct({order}, _value))), p -> {strip_sql('p._value')})"
         return f"SELECT {literal(c)} AS column, array_join({values}, ' | ') AS {name} FROM ({first})"
 
     return spark.sql(" UNION ALL ".join(top(c) for c in columns), df=df)
@@ -264,7 +287,7 @@ def describe(df: DataFrame, column: str, *, limit: int = ROWS_PER_TASK) -> DataF
         F.avg(column).alias("mean"),
         F.stddev_samp(column).alias("std"),
         F.min(column).alias("min"),
-        *[found[k].alias(k) for k in points],
+        *[F.lit(found[k]).cast("double").alias(k) for k in points],
         F.max(column).alias("max"),
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from packetloom.contract import SOURCE_FILE, WINDOW_SUMMARY_FIELDS, Thresholds
 from packetloom.functions.rules import label_text, record_label, share, window_label
 from packetloom.functions.text import text_or_blank
-from packetloom.operators.distribution import ROWS_PER_TASK, cell_quantiles, fits_one_task
+from packetloom.operators.distribution import ROWS_PER_TASK, cell_quantiles, fits_one_task, group_quantiles
 from packetloom.session import materialise
 
 PROBABILITY = "pred_proba_attack"
@@ -69,9 +69,12 @@ def probability_summary(
     if split:
         grouped = rows.groupBy(*keys).agg(*aggregates)
         grouped = grouped.join(cell_quantiles(rows, keys, probability, QUANTILES, limit=limit), keys, "left")
+    elif weight:
+        quantiles = F.percentile(p, list(QUANTILES.values()), one).alias("_quantiles")
+        grouped = rows.groupBy(*keys).agg(*aggregates, quantiles)
+        grouped = grouped.withColumns({name: F.get("_quantiles", F.lit(i)) for i, name in enumerate(QUANTILES)})
     else:
-        quantiles = [F.percentile(p, F.lit(q), one).alias(name) for name, q in QUANTILES.items()]
-        grouped = rows.groupBy(*keys).agg(*aggregates, *quantiles)
+        grouped = group_quantiles(rows, keys, probability, QUANTILES, aggregates)
     grouped = grouped.withColumn("mean_attack_probability", F.col("_sum") / F.nullif(F.col("records"), F.lit(0)))
     return grouped.select(
         *keys,

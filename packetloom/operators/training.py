@@ -142,10 +142,7 @@ def class_weight(df: DataFrame, label: str = TARGET) -> DataFrame:
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact medians of the numeric columns, None where a column has no value."""
-    if not columns:
-        return {}
-    found = exact_percentiles(df.select(*columns), {c: (c, 0.5) for c in columns})
-    return df.agg(*[found[c].alias(c) for c in columns]).first().asDict()
+    return exact_percentiles(df.select(*columns), {c: (c, 0.5) for c in columns}) if columns else {}
 
 
 def fill_medians(df: DataFrame, medians: Mapping[str, float | None]) -> DataFrame:

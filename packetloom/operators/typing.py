@@ -7,7 +7,7 @@ categories look at them. Catalyst keeps such steps apart and runs them in one st
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
@@ -17,28 +17,52 @@ from packetloom.functions.text import (
     missing_stripped_sql,
     number_sql,
     quoted,
+    short_lower_sql,
     strip_sql,
     text_of,
 )
 
-NULL_TEXT = "cast(NULL AS string)"
+NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
-def parsed_parts(df: DataFrame, texts: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """For each text expression i: s{i} (stripped), m{i} (is missing) and n{i} (number or null)."""
-    kept, numbered = [quoted(k) for k in keep], range(len(texts))
-    stripped = df.selectExpr(*kept, *[f"{strip_sql(t)} AS s{i}" for i, t in enumerate(texts)])
-    parts = stripped.selectExpr(
-        *kept,
-        *[f"s{i}" for i in numbered],
-        *[f"{missing_stripped_sql(f's{i}', f's{i}')} AS m{i}" for i in numbered],
-        *[f"{first_value_sql(f's{i}')} AS h{i}" for i in numbered],
+def holds_numbers(types: dict[str, str], column: str) -> bool:
+    return types.get(column, "").startswith(NUMBER_TYPES)
+
+
+def parsed_parts(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """For each column i: s{i} (stripped text), m{i} (is missing) and n{i} (number or null).
+
+    A column the frame lacks is null. A column that holds numbers already is
+    not parsed; its text would give the same number.
+    """
+    kept, numbered = [quoted(k) for k in keep], range(len(columns))
+    types = dict(df.dtypes)
+    numeric = {i for i, c in enumerate(columns) if holds_numbers(types, c)}
+
+    def source(i: int) -> str:
+        if columns[i] not in types:
+            return f"cast(NULL AS string) AS s{i}"
+        if i in numeric:
+            return f"nullif(cast({quoted(columns[i])} AS double), double('nan')) AS n{i}"
+        return f"{strip_sql(text_of(columns[i]))} AS s{i}"
+
+    def parts(i: int) -> list[str]:
+        if i in numeric:
+            return [f"n{i}", f"n{i} IS NULL AS m{i}", f"{text_of(columns[i])} AS s{i}"]
+        return [f"s{i}", f"{missing_stripped_sql(f's{i}', f's{i}')} AS m{i}", f"{first_value_sql(f's{i}')} AS h{i}"]
+
+    # Numbers keep their own column for the text form, which has the type's own spelling.
+    originals = [quoted(c) for c in dict.fromkeys(columns[i] for i in sorted(numeric)) if c not in keep]
+    stripped = df.selectExpr(*kept, *originals, *[source(i) for i in numbered])
+    divided = stripped.selectExpr(*kept, *[p for i in numbered for p in parts(i)])
+    shared = [*kept, *[f"s{i}" for i in numbered], *[f"m{i}" for i in numbered]]
+    lowered = divided.selectExpr(
+        *shared,
+        *[f"n{i}" if i in numeric else f"h{i}" for i in numbered],
+        *[f"{short_lower_sql(f'h{i}')} AS l{i}" for i in numbered if i not in numeric],
     )
-    return parts.selectExpr(
-        *kept,
-        *[f"s{i}" for i in numbered],
-        *[f"m{i}" for i in numbered],
-        *[f"{number_sql(f'h{i}', f'm{i}')} AS n{i}" for i in numbered],
+    return lowered.selectExpr(
+        *shared, *[f"n{i}" if i in numeric else f"{number_sql(f'h{i}', f'l{i}', f'm{i}')} AS n{i}" for i in numbered]
     )
 
 
@@ -48,17 +72,6 @@ def category_of(i: int) -> str:
 
 def type_columns(df: DataFrame, numeric: Sequence[str], order: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """The columns to keep, then the given columns as numbers or categories. Absent columns are null text."""
-    sources = {c: text_of(c) if c in df.columns else NULL_TEXT for c in order}
-    return type_expressions(df, sources, numeric, keep)
-
-
-def type_expressions(
-    df: DataFrame, sources: Mapping[str, str], numeric: Sequence[str], keep: Sequence[str] = ()
-) -> DataFrame:
-    """Like ``type_columns``, from output name -> text expression."""
     numbers = set(numeric)
-    parts = parsed_parts(df, list(sources.values()), keep)
-    outputs = [
-        f"{f'n{i}' if name in numbers else category_of(i)} AS {quoted(name)}" for i, name in enumerate(sources)
-    ]
-    return parts.selectExpr(*[quoted(k) for k in keep], *outputs)
+    outputs = [f"{f'n{i}' if c in numbers else category_of(i)} AS {quoted(c)}" for i, c in enumerate(order)]
+    return parsed_parts(df, list(order), keep).selectExpr(*[quoted(k) for k in keep], *outputs)

@@ -896,7 +896,7 @@ def stratified_split(spark, d):
 
 @query(f"WITH {R}, n AS (SELECT event_id, {sql_number('raw')} AS n FROM r) SELECT event_id, coalesce(n, (SELECT median(n) FROM n)) AS n FROM n")
 def impute_median(spark, d):
-    rows = raw_events(spark, d).select("event_id", parse_numeric("raw").alias("n"))
+    rows = materialise(raw_events(spark, d).select("event_id", parse_numeric("raw").alias("n")), "numbers")
     return training.fill_medians(rows, training.column_medians(rows, ["n"]))
 
 

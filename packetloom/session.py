@@ -7,16 +7,19 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the library relies on for right results, on any cluster.
-SEMANTIC_SETTINGS = {
+# Settings the library relies on, on any cluster. The JVM never compiles a method
+# beyond 8000 bytes of bytecode, which a stage over dozens of text columns
+# exceeds; with this limit Spark splits such a stage's code instead.
+SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that change results, and none that tune a cluster."""
-    for name, value in SEMANTIC_SETTINGS.items():
+    """Apply the settings; sizes of memory and shuffles are left to the cluster."""
+    for name, value in SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
     return spark
