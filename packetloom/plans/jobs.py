@@ -228,7 +228,7 @@ def replay(
     scored = with_record_label(bundle.score(kept, [*FILE_ORDER, *metadata]), rule.record)
     scored = with_record_index(materialise(scored, "replayed"), ["_file"], FILE_ORDER, block=["_block"])
     # Files without rows are windows, too.
-    files = list_files(spark, folder, pattern, recursive).select("_file", "path", "name")
+    files = list_files(spark, folder, pattern, recursive, with_empty=True).select("_file", "path", "name")
     if max_files:
         files = files.orderBy("_file").limit(max_files)
     numbered = distinct_rank(files, "_file", "window_id").join(files, "_file")

@@ -1038,9 +1038,10 @@ def prediction_trend(spark, d):
   (SELECT round(arg_max(attack_record_ratio, window_end), 6) FROM p) AS latest_attack_ratio,
   (SELECT round(arg_max(max_attack_probability, window_end), 6) FROM p) AS latest_max_probability,
   (SELECT arg_max(detection_latency_seconds, window_end) FROM a) AS latest_alert_latency_seconds,
-  (SELECT arg_max(CASE WHEN detection_latency_seconds < 60 THEN printf('%.1fs', detection_latency_seconds)
+  coalesce((SELECT arg_max(CASE WHEN detection_latency_seconds < 60 THEN printf('%.1fs', detection_latency_seconds)
     ELSE printf('%dm %.1fs', floor(detection_latency_seconds / 60)::BIGINT,
-    detection_latency_seconds - floor(detection_latency_seconds / 60) * 60) END, window_end) FROM a) AS latest_alert_latency"""
+    detection_latency_seconds - floor(detection_latency_seconds / 60) * 60) END, window_end) FROM a), 'n/a')
+  AS latest_alert_latency"""
 )
 def dashboard_indicators(spark, d):
     predictions = hourly_predictions(spark, d).withColumn("created_at", F.col("window_end"))

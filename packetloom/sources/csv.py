@@ -24,26 +24,29 @@ def file_name_column() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False) -> DataFrame:
-    """(_file, path, name, length) of the files that match, without reading them. Raises if there are none.
+def list_files(
+    spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False, *, with_empty: bool = False
+) -> DataFrame:
+    """(_file, path, name) of the files that match, without reading them. Raises if there are none.
 
-    ``_file`` is the identity of a file beside its rows.
+    ``_file`` is the identity of a file beside its rows. Spark plans no scan
+    for files of zero bytes; ``with_empty`` adds them from its file index,
+    which takes a call per file.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(folder)
-        .select(
-            F.col("_metadata.file_path").alias("_file"),
-            "path",
-            F.element_at(F.split("path", "/"), -1).alias("name"),
-            "length",
-        )
-    )
+
+    def reader(file_format: str) -> DataFrame:
+        options = {"pathGlobFilter": pattern, "recursiveFileLookup": str(recursive).lower()}
+        return spark.read.format(file_format).options(**options).load(folder)
+
+    listed = reader("binaryFile").select(F.col("_metadata.file_path").alias("_file"), "path")
+    if with_empty:
+        names = [(f.replace("file:///", "file:/"),) for f in reader("text").inputFiles()]
+        indexed = spark.createDataFrame(names, "_file string")
+        path = F.url_decode(F.replace(F.col("_file"), F.lit("+"), F.lit("%2B"))).alias("path")
+        listed = listed.unionByName(indexed.join(listed, "_file", "left_anti").select("_file", path))
     if listed.isEmpty():
         raise FileNotFoundError(f"no files match {pattern} in {folder}")
-    return listed
+    return listed.withColumn("name", F.element_at(F.split("path", "/"), -1))
 
 
 def first_files(listed: DataFrame, cap: int) -> list[str]:
@@ -75,11 +78,15 @@ def header_or_default(spark: SparkSession, path: str | None, default: Sequence[s
     return spark_names(default)
 
 
-def _read(spark: SparkSession, paths: str | list[str], header: Sequence[str], **options: str) -> DataFrame:
+def _read(
+    spark: SparkSession, paths: str | list[str], header: Sequence[str], *, whole_lines: bool = False, **options: str
+) -> DataFrame:
     names = unique_names(header)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     reader = spark.read.schema(schema.add(CORRUPT, T.StringType())).option("header", "true")
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    # Broken lines are only noticed where whole lines are parsed.
+    reader = reader.option("columnPruning", str(not whole_lines).lower())
     return reader.options(**options).csv(paths)
 
 
@@ -184,14 +191,15 @@ def ingest(
     names = spark_names(requested)
     groups = file_headers(spark, folder, pattern, recursive)
     usable = {h: paths for h, paths in groups.items() if set(spark_names(h)) & set(names)}
-    listed = list_files(spark, folder, pattern, recursive).select("_file", F.col("name").alias(SOURCE_FILE))
+    located = list_files(spark, folder, pattern, recursive, with_empty=True)
+    listed = located.select("_file", F.col("name").alias(SOURCE_FILE))
     if not usable:
         none = F.lit(0).cast("bigint")
         report = listed.select(SOURCE_FILE, none.alias("rows"), none.alias("corrupt_rows"), F.lit("failed").alias("status"))
         return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in [*names, SOURCE_FILE])), report
     frames = []
     for header, paths in usable.items():
-        raw = _read(spark, paths, header, ignoreCorruptFiles="true").select(
+        raw = _read(spark, paths, header, whole_lines=True, ignoreCorruptFiles="true").select(
             *_columns(header), CORRUPT, file_name_column().alias(SOURCE_FILE), F.col("_metadata.file_path").alias("_file")
         )
         frames.append(align_extract(raw, [*names, CORRUPT, SOURCE_FILE, "_file"]))
@@ -203,9 +211,8 @@ def ingest(
     # A usable file without any row is fine if only its header could be read.
     paths = [p for found in usable.values() for p in found]
     readable = spark.createDataFrame([(p,) for p in paths], "path string").withColumn("readable", F.lit(True))
-    located = list_files(spark, folder, pattern, recursive).join(readable, "path", "left").select("_file", "readable")
     report = (
-        listed.join(located, "_file")
+        listed.join(located.join(readable, "path").select("_file", "readable"), "_file", "left")
         .join(counted, "_file", "left")
         .select(
             SOURCE_FILE,
