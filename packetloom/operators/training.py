@@ -311,7 +311,10 @@ def fit_model(
         maxBins=settings.bins,
         seed=settings.seed,
     )
-    stages = Pipeline(stages=[*feature_stages(numeric, categorical, vocabulary), trees]).fit(rows)
+    encoders = Pipeline(stages=feature_stages(numeric, categorical, vocabulary)).fit(rows)
+    # The trees pass over their input many times; all of it reads this compact table.
+    vectors = materialise(encoders.transform(rows).select(TARGET, WEIGHT, "features"), "vectors")
+    stages = PipelineModel(stages=[*encoders.stages, trees.fit(vectors)])
     return FittedModel(list(numeric), list(categorical), medians, vocabulary, stages)
 
 
