@@ -19,6 +19,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ ROWS_PER_TASK = 1_000_000
 MAX_RANGES = 16_384
 SAMPLES_PER_RANGE = 20
 SKETCH_ACCURACY = 10_000
+NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
 def fits_one_task(df: DataFrame, limit: int = ROWS_PER_TASK) -> bool:
@@ -58,21 +60,26 @@ def range_bounds(cells: DataFrame, value: str, limit: int = ROWS_PER_TASK) -> li
     return sorted(set(picked))
 
 
-def range_of(value: Column, bounds: Sequence) -> Column:
-    """Number of the range a value falls in: how many split values are <= value.
-
-    A binary search over the split values, done with array functions.
-    """
+def with_range(df: DataFrame, value: str, bounds: Sequence, name: str = "_range") -> DataFrame:
+    """Add the number of the range a value falls in: how many split values are <= value."""
     if not bounds:
-        return F.lit(0)
-    splits = F.lit(list(bounds))
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    return F.aggregate(
-        F.lit(steps),
-        F.lit(0),
-        lambda found, step: F.when(
-            (found + step <= len(bounds)) & (F.get(splits, found + step - 1) <= value), found + step
-        ).otherwise(found),
+        return df.withColumn(name, F.lit(0))
+    if dict(df.dtypes)[value].startswith(NUMBER_TYPES):
+        splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
+        cut = Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
+        return cut.withColumn(name, F.col(name).cast("int"))
+    # Text and times: a binary search over the split values with array functions.
+    splits, size = F.lit(list(bounds)), len(bounds)
+    steps = [1 << i for i in reversed(range(size.bit_length()))]
+    return df.withColumn(
+        name,
+        F.aggregate(
+            F.lit(steps),
+            F.lit(0),
+            lambda found, step: F.when(
+                (found + step <= size) & (F.get(splits, found + step - 1) <= F.col(value)), found + step
+            ).otherwise(found),
+        ),
     )
 
 
@@ -99,7 +106,7 @@ def running_totals(
 
     cells = materialise(cells, "cells")
     bounds = range_bounds(cells, value, limit)
-    ranged = cells.withColumn("_range", range_of(F.col(value), bounds))
+    ranged = with_range(cells, value, bounds)
     totals = ranged.groupBy("_range").agg(*[F.sum(m).alias(f"_in_{m}") for m in measures])
     range_order = F.col("_range").desc() if descending else F.col("_range").asc()
     before = W.orderBy(range_order).rowsBetween(W.unboundedPreceding, -1)
@@ -132,7 +139,7 @@ def cell_quantiles(
     """
     keys = list(keys)
     bounds = range_bounds(cells, value, limit)
-    ranged = cells.where(F.col(value).isNotNull()).withColumn("_range", range_of(F.col(value), bounds))
+    ranged = with_range(cells.where(F.col(value).isNotNull()), value, bounds)
     totals = ranged.groupBy(*keys, "_range").agg(F.sum("n").alias("_in"))
     # Per key at most MAX_RANGES rows.
     before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
@@ -373,7 +380,7 @@ def with_record_index(
     df = materialise(df, "numbered")
     if block is None:
         bounds = range_bounds(df.select(*keys, *order_by), order_by[0], limit)
-        df, block = df.withColumn("_range", range_of(F.col(order_by[0]), bounds)), ["_range"]
+        df, block = with_range(df, order_by[0], bounds), ["_range"]
     block = list(block)
     before = W.partitionBy(*keys).orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
     starts = (

@@ -21,8 +21,7 @@ from packetloom.functions.text import (
     strip_sql,
     text_of,
 )
-
-NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+from packetloom.operators.distribution import NUMBER_TYPES
 
 
 def holds_numbers(types: dict[str, str], column: str) -> bool:

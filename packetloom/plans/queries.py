@@ -956,6 +956,18 @@ def trained(spark, d) -> training.Bundle:
     return train(spark, training_rows(spark, d).drop("source_file"), None, options).bundle
 
 
+@query("SELECT event_id, round((value + event_id % 10) / (value + event_id % 10 + 20), 6) AS pred_proba_attack FROM events")
+def user_function_scores(spark, d):
+    """A scorer the user brings, applied to batches of rows."""
+
+    def function(features):
+        total = features["value"] + features["extra"]
+        return total / (total + 20)
+
+    rows = events(spark, d).withColumn("extra", F.col("event_id") % 10)
+    return rounded(training.score_with_function(rows, ["value", "extra"], function, ["event_id"]))
+
+
 @query()
 def train_and_score(spark, d):
     from packetloom.plans.jobs import score

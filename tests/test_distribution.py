@@ -11,8 +11,8 @@ from packetloom.operators.distribution import (
     distinct_rank,
     exact_percentiles,
     range_bounds,
-    range_of,
     running_totals,
+    with_range,
     with_record_index,
 )
 from packetloom.operators.summary import PROBABILITY, probability_summary
@@ -79,12 +79,14 @@ def test_ranges_are_balanced_and_ordered(spark):
     cells = spark.range(20_000).select((F.col("id") * 0.5).alias("v"))
     bounds = range_bounds(cells, "v", 1000)
     assert len(bounds) == 19 and bounds == sorted(bounds)
-    ranged = cells.select("v", range_of(F.col("v"), bounds).alias("r"))
+    ranged = with_range(cells, "v", bounds, "r")
     rows = ranged.groupBy("r").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("r").collect()
     assert sum(r.n for r in rows) == 20_000 and max(r.n for r in rows) < 3000
     assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))
-    edge = spark.createDataFrame([(bounds[0],), (-1.0,), (1e9,)], "v double").select(range_of(F.col("v"), bounds)).collect()
-    assert [r[0] for r in edge] == [1, 0, 19]
+    edge = with_range(spark.createDataFrame([(bounds[0],), (-1.0,), (float("inf"),)], "v double"), "v", bounds, "r")
+    assert [r.r for r in edge.collect()] == [1, 0, 19]
+    text = with_range(spark.createDataFrame([("a",), ("b",), ("bb",), ("z",)], "v string"), "v", ["b", "c"], "r")
+    assert [r.r for r in text.collect()] == [0, 1, 1, 2]
 
 
 @pytest.mark.parametrize("descending", [True, False])
