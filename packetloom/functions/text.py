@@ -50,8 +50,12 @@ def words(values: list[str]) -> str:
 
 
 def strip_sql(e: str) -> str:
-    """Text without white space around it; text that has none is left alone, which is much cheaper."""
-    return f"if(ascii({e}) > 32 AND ascii(right({e}, 1)) > 32, {e}, trim(BOTH {literal(WHITESPACE)} FROM {e}))"
+    return f"trim(BOTH {literal(WHITESPACE)} FROM {e})"
+
+
+def strip_column_sql(e: str) -> str:
+    """Strip the text of a column; text without white space at its ends is left alone, which is much cheaper."""
+    return f"if(ascii({e}) > 32 AND ascii(right({e}, 1)) > 32, {e}, {strip_sql(e)})"
 
 
 def missing_sql(e: str) -> str:

@@ -18,7 +18,7 @@ from packetloom.functions.text import (
     number_sql,
     quoted,
     short_lower_sql,
-    strip_sql,
+    strip_column_sql,
     text_of,
 )
 from packetloom.operators.distribution import NUMBER_TYPES
@@ -43,7 +43,7 @@ def parsed_parts(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()
             return f"cast(NULL AS string) AS s{i}"
         if i in numeric:
             return f"nullif(cast({quoted(columns[i])} AS double), double('nan')) AS n{i}"
-        return f"{strip_sql(text_of(columns[i]))} AS s{i}"
+        return f"{strip_column_sql(text_of(columns[i]))} AS s{i}"
 
     def parts(i: int) -> list[str]:
         if i in numeric:

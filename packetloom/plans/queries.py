@@ -27,6 +27,7 @@ from packetloom.functions.text import (
 )
 from packetloom.functions.time import duration_text, iso_text, iso_time, window_key
 from packetloom.operators import calibrate, dashboard, distribution, evaluate, profile, shape, summary, training
+from packetloom.operators.typing import type_columns
 from packetloom.session import configure, materialise, shared_folder
 from packetloom.sinks import tables as sinks
 from packetloom.sources import csv as csv_source
@@ -1155,8 +1156,8 @@ def gapped_windows(spark, d):
 
 
 def value_scorer(records: DataFrame, keep) -> DataFrame:
-    value = parse_numeric("value")
-    return records.select(*keep, (value / (value + 20)).alias(summary.PROBABILITY))
+    typed = type_columns(records, ["value"], ["value"], keep)
+    return typed.select(*keep, probability().alias(summary.PROBABILITY))
 
 
 def stored_documents(spark, d) -> str:

@@ -83,8 +83,14 @@ def read_upserted(spark: SparkSession, path: str, key: str = KEY) -> DataFrame:
 
 
 def write_documents(documents: DataFrame, folder: str) -> None:
-    """One JSON document per file. Spark's commit makes each file appear whole."""
-    documents.write.mode("append").option("maxRecordsPerFile", 1).option("ignoreNullFields", "false").json(folder)
+    """One JSON document per file. Spark's commit makes each file appear whole.
+
+    The number of files, not of bytes, decides how long a task takes, so the
+    documents are spread over all cores.
+    """
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    spread = documents.repartition(cores, "stream_file")
+    spread.write.mode("append").option("maxRecordsPerFile", 1).option("ignoreNullFields", "false").json(folder)
 
 
 # ---------------------------------------------------------------- run folders
