@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetloom.llm import decontamination, quality_rules
+from packetloom.llm import bpe, decontamination, quality_rules, token_files
+from packetloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,6 +40,13 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return prepared
 
 
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file that is installed beside the library."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -51,6 +59,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), folder)
+    return token_files.id_checksums(token_files.read_token_files(spark, folder), "doc_id", "start", "n_tokens")
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
