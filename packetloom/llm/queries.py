@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetloom.llm import bpe, decontamination, quality_rules, token_files
+from packetloom.llm import bpe, chat_format, decontamination, quality_rules, token_files, url_filter
 from packetloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,11 +59,37 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The conversation that the contract adds, and its rules.
+ADDED_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = given.unionAll(spark.createDataFrame(ADDED_TURNS, given.schema))
+    turns = turns.withColumn("parts", chat_format.text_part(F.col("text")))
+    return chat_format.read_back(chat_format.format_turns(turns))
+
+
 @query
 def op6_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
 
 
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
