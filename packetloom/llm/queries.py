@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetloom.llm import bpe, chat_format, decontamination, quality_rules, secrets, token_files, url_filter
+from packetloom.llm import bpe, chat_format, decontamination, importance, quality_rules, secrets, token_files, url_filter
 from packetloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,11 @@ def op6_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
 
 
+@query
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
