@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -29,16 +31,16 @@ def text_values(column: pa.Array) -> list[str]:
     return [v or "" for v in column.to_pylist()]
 
 
-def blocks(values: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """Consecutive values of about ``limit`` bytes together, with the index of the first."""
-    first, size = 0, 0
-    for i, v in enumerate(values):
-        size += len(v)
-        if size >= limit:
-            yield first, values[first : i + 1]
-            first, size = i + 1, 0
-    if first < len(values):
-        yield first, values[first:]
+def blocks(whole: pa.RecordBatch, column: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``limit`` bytes of text in ``column`` each; only one needs Python objects at a time."""
+    sizes = pc.fill_null(pc.binary_length(whole.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes.astype(np.int64))
+    first = 0
+    while first < whole.num_rows:
+        before = ends[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield whole.slice(first, end - first)
+        first = end
 
 
 def fields(df: DataFrame, *names: str) -> list[T.StructField]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import BLOCK_BYTES, batch, fields, text_values
+from packetloom.llm.arrow import batch, blocks, fields, text_values
 from packetloom.llm.chunks import PartMemory
 
 # Fixed value: the pattern that cuts a text into pre-tokens.
@@ -221,18 +221,6 @@ def rank_list(ranks: dict[bytes, int]) -> tuple[bytes, ...]:
     return tuple(tokens)
 
 
-def text_groups(texts: list[str], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[str]]]:
-    """Consecutive texts of about ``limit`` characters together, with the index of the first."""
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= limit:
-            yield first, texts[first : i + 1]
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, texts[first:]
-
-
 def encoded_documents(
     docs: DataFrame, ranks_path: str, key: str = "doc_id", text: str = "text", pattern: str = PATTERN
 ) -> DataFrame:
@@ -274,9 +262,9 @@ def _coder(docs: DataFrame, ranks_path: str, pattern: str, schema: T.StructType,
     def code_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _worker_bpe(shared.value, pattern)
         for b in batches:
-            for first, texts in text_groups(text_values(b.column(1))):
-                ids = coder.encode(texts)
-                columns = [b.column(0).slice(first, len(texts))]
+            for own in blocks(b, 1):
+                ids = coder.encode(text_values(own.column(1)))
+                columns = [own.column(0)]
                 if with_ids:
                     ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
                     values = pa.array(np.frombuffer(b"".join(ids), "<i4"))

@@ -189,7 +189,8 @@ def shingle_frequency(docs: DataFrame, text: str, windows: WindowIndex) -> dict[
         vocabulary, codes, widths = shared.value
         total = np.zeros(len(codes), np.int64)
         for b in batches:
-            for _, texts in blocks(byte_values(b.column(0))):
+            for own in blocks(b, 0):
+                texts = byte_values(own.column(0))
                 ids, _ = word_stream(vocabulary, texts)
                 for width in widths:
                     total += np.bincount(lookup(codes, shingle_codes(ids, width))[1], minlength=len(codes))
@@ -219,7 +220,8 @@ def window_hits(docs: DataFrame, key: str, text: str, index: PrefixIndex) -> Dat
         index: PrefixIndex = shared.value
         windows = index.windows
         for b in batches:
-            for first, texts in blocks(byte_values(b.column(1))):
+            for own in blocks(b, 1):
+                texts = byte_values(own.column(1))
                 ids, ends = word_stream(windows.vocabulary, texts)
                 begins = np.append(0, ends[:-1])
                 start, window = index.occurrences(ids)
@@ -239,7 +241,7 @@ def window_hits(docs: DataFrame, key: str, text: str, index: PrefixIndex) -> Dat
                 yield batch(
                     arrow,
                     [
-                        b.column(0).slice(first, len(texts)),
+                        own.column(0),
                         [hashlib.sha256(t).digest() for t in texts],
                         pa.array(ends - begins - 1),
                         [hits.get(d, []) for d in n],

@@ -111,11 +111,11 @@ def bucket_counts(docs: DataFrame, text: str = "text", target: str = "_target")
         codes = WordCodes()
         raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for b in batches:
-            is_target = np.array(b.column(1).to_pylist(), bool)
-            for first, texts in blocks(byte_values(b.column(0))):
+            for own in blocks(b, 0):
+                texts, is_target = byte_values(own.column(0)), np.array(own.column(1).to_pylist(), bool)
                 buckets, owner = bucket_stream(codes, texts)
                 raw += np.bincount(buckets, minlength=BUCKETS)
-                good += np.bincount(buckets[is_target[first : first + len(texts)][owner]], minlength=BUCKETS)
+                good += np.bincount(buckets[is_target[owner]], minlength=BUCKETS)
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen.astype(np.int32)), pa.array(raw[seen]), pa.array(good[seen])], names=["bucket", "raw", "target"]
@@ -155,8 +155,8 @@ def importance_weights(docs: DataFrame, ratios: np.ndarray, keep: list[str], key
     def weigh_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, ratios = WordCodes(), shared.value
         for b in batches:
-            for first, texts in blocks(byte_values(b.column(n + 1))):
-                own = b.slice(first, len(texts))
+            for own in blocks(b, n + 1):
+                texts = byte_values(own.column(n + 1))
                 buckets, owner = bucket_stream(codes, texts)
                 weight = np.bincount(owner, ratios[buckets], len(texts))
                 grams = np.bincount(owner, minlength=len(texts))

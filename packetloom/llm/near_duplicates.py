@@ -127,7 +127,8 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
-            for first, texts in blocks(byte_values(b.column(1))):
+            for own in blocks(b, 1):
+                texts = byte_values(own.column(1))
                 sets = shingle_sets(hashes, texts)
                 keys = [band_keys(signature(s)) for s in sets if len(s)]
                 ends = np.cumsum([0] + [BANDS if len(s) else 0 for s in sets]).astype(np.int32)
@@ -135,7 +136,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 yield batch(
                     arrow,
                     [
-                        b.column(0).slice(first, len(texts)),
+                        own.column(0),
                         [hashlib.md5(t).digest() for t in texts],
                         [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                         [len(s) for s in sets],
@@ -183,12 +184,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
     def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
-            for start, some in blocks(byte_values(b.column(1))):
-                sets = shingle_sets(hashes, some)
+            for own in blocks(b, 1):
+                sets = shingle_sets(hashes, byte_values(own.column(1)))
                 ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
                 values = pa.array(np.concatenate(sets).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(ends), values, type=kind.field("members").type)
-                yield batch(kind, [b.column(0).slice(start, len(some)), lists])
+                yield batch(kind, [own.column(0), lists])
 
     return texts.mapInArrow(set_batches, SETS).dropDuplicates(["class"])
 

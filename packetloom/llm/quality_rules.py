@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import WHITESPACE, batch, byte_values, fields
+from packetloom.llm.arrow import WHITESPACE, batch, blocks, byte_values, fields
 from packetloom.session import materialise
 
 SYMBOLS = b"#*$%&|<>"
@@ -91,9 +91,9 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     arrow = to_arrow_schema(schema)
 
     def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            counts = np.array([text_counts(v) for v in byte_values(b.column(1))], np.int64).reshape(-1, len(COUNTS))
-            yield batch(arrow, [b.column(0), *(pa.array(counts[:, i]) for i in range(len(COUNTS)))])
+        for own in (block for b in batches for block in blocks(b, 1)):
+            counts = np.array([text_counts(v) for v in byte_values(own.column(1))], np.int64).reshape(-1, len(COUNTS))
+            yield batch(arrow, [own.column(0), *(pa.array(counts[:, i]) for i in range(len(COUNTS)))])
 
     return docs.select(key, text).mapInArrow(count_batches, schema)
 

@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import batch, fields, text_values
-from packetloom.llm.bpe import text_groups
+from packetloom.llm.arrow import batch, blocks, fields, text_values
 from packetloom.llm.chunks import PartMemory
 
 ROW_GROUP_BYTES = 32 << 20
@@ -48,6 +47,8 @@ class LibraryEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # parts come once; the memory of parts stands in for it
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         # In the byte-level alphabet each character of a token stands for one byte.
         self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
@@ -112,13 +113,12 @@ def write_token_files(
         encoder = _worker_encoder(shared.value)
         part, start = TaskContext.get().partitionId(), 0
         for b in batches:
-            for first, texts in text_groups(text_values(b.column(1))):
-                ids = [i + end for i in encoder.encode(texts)]
+            for own in blocks(b, 1):
+                ids = [i + end for i in encoder.encode(text_values(own.column(1)))]
                 ends = np.cumsum([0] + [len(i) // 4 for i in ids])
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values, type=arrow.field("ids").type)
-                keys = b.column(0).slice(first, len(texts))
-                yield batch(arrow, [keys, [part] * len(texts), pa.array(start + ends[:-1]), pa.array(np.diff(ends)), lists])
+                yield batch(arrow, [own.column(0), [part] * len(ids), pa.array(start + ends[:-1]), pa.array(np.diff(ends)), lists])
                 start += int(ends[-1])
 
     ordered = (
