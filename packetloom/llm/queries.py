@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetloom.llm import bpe, chat_format, decontamination, importance, near_duplicates, quality_rules, secrets, token_files, url_filter
+from packetloom.llm import bpe, chat_format, decontamination, importance, near_duplicates, quality_rules, repeated_bytes, secrets
+from packetloom.llm import token_files, url_filter
 from packetloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +57,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_bytes.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
