@@ -274,7 +274,7 @@ def contaminated_documents(
     item_text: str = "text",
     group_words: int = GROUP_WORDS,
 ) -> DataFrame:
-    """One row per document: n_words, n_hit, runs, items, contaminated."""
+    """One row per document: digest (sha256 of the text), n_words, n_hit, runs, items, contaminated."""
     parts = []
     for group in benchmark_groups(benchmark, item_key, item_text, group_words):
         windows = WindowIndex.build(group)
@@ -303,6 +303,14 @@ def contaminated_documents(
         ),
         lambda a: a["n"],
     )
-    return hits.select(key, "n_words", covered.alias("n_hit"), "runs", F.sort_array("items").alias("items")).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (CONTAMINATED_SHARE * F.col("n_hit") >= F.col("n_words"))
-    )
+    return hits.select(
+        key, "digest", "n_words", covered.alias("n_hit"), "runs", F.sort_array("items").alias("items")
+    ).withColumn("contaminated", (F.col("n_hit") > 0) & (CONTAMINATED_SHARE * F.col("n_hit") >= F.col("n_words")))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their columns."""
+    found = contaminated_documents(docs, benchmark, key, text).where("contaminated")
+    gone = found.select(F.col(key).alias("_key"), F.lower(F.hex("digest")).alias("_digest")).distinct()
+    own = F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256)
+    return docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (own == F.col("_digest")), "left_anti")

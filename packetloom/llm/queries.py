@@ -32,6 +32,8 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Register a query under its function name."""
+
     @functools.wraps(f)
     def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -131,3 +133,99 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+# ------------------------------------------------------------------ the same in SQL
+
+WORD = r"[^\x20\x09-\x0D]+"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op3_minhash_dedup"] = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+    FROM words
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b
+), component AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN component USING (doc_id)
+"""
+
+ORACLE["op5_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+), controls AS (
+    SELECT unnest(['\', '<|', '<s>', '</s>', '[INST]', '[/INST]']) AS c
+), sized AS (
+    SELECT t.*, length('<|turn|><|role|><|end|>') + length(role) + length(text)
+        + (SELECT sum((length(t.role) - length(replace(t.role, c, '')) + length(t.text) - length(replace(t.text, c, ''))) // length(c)) FROM controls)
+        AS chars
+    FROM turns t
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+ORACLE["op8_url_filter"] = r"""
+WITH rules(h, p, v) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+        ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), cut AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+), best AS (
+    SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS verdict
+    FROM split LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    GROUP BY ALL
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best
+"""
+
+BENCHMARK_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ORACLE["op10_decontamination"] = f"""
+WITH item_words AS (
+    SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({LOWER}, '{BENCHMARK_WORD}') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS s
+    FROM (SELECT item, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)
+), doc_words AS (
+    SELECT doc_id, regexp_extract_all({LOWER}, '{BENCHMARK_WORD}') AS w FROM documents
+), places AS (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words CROSS JOIN (SELECT DISTINCT n FROM windows))
+), found AS (
+    SELECT doc_id, item, places.n, i FROM places JOIN windows ON windows.n = places.n AND windows.s = places.s
+), hits AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM found) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
