@@ -21,7 +21,10 @@ FALSE_WORDS = ["false", "no"]
 BENIGN_WORDS = ["0", "normal", "benign", "false"]
 
 # What counts as white space around a value; trim() alone only cuts blanks.
-WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 DECIMAL_PATTERN = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 INFINITY_WORDS = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
 HEX_PATTERN = "^0x[0-9a-fA-F]+$"
@@ -55,7 +58,8 @@ def strip_sql(e: str) -> str:
 
 def strip_column_sql(e: str) -> str:
     """Strip the text of a column; text without white space at its ends is left alone, which is much cheaper."""
-    return f"if(ascii({e}) > 32 AND ascii(right({e}, 1)) > 32, {e}, {strip_sql(e)})"
+    ends = [f"ascii({e})", f"ascii(right({e}, 1))"]
+    return f"if({' AND '.join(f'{c} > 32 AND {c} < 128' for c in ends)}, {e}, {strip_sql(e)})"
 
 
 def missing_sql(e: str) -> str:

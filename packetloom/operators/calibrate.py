@@ -9,6 +9,7 @@ from packetloom.contract import CALIBRATION_FIELDS, Thresholds
 from packetloom.functions.rules import clamp_fraction
 from packetloom.functions.time import iso_text
 from packetloom.operators.distribution import ROWS_PER_TASK, exact_percentiles
+from packetloom.session import materialise
 
 # Calibration defaults.
 BASELINE_QUANTILE = 1.0
@@ -46,7 +47,8 @@ def baseline(
     limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The calibration document as one row. Raises if no window is usable."""
-    usable = usable_windows(summary)
+    # Read several times below: counts, quantiles and measures.
+    usable = materialise(usable_windows(summary), "calibration")
     if usable.isEmpty():
         raise ValueError("the calibration input has no usable numeric rows")
     used = windows_for_baseline(usable, rule.min_records)

@@ -14,7 +14,12 @@ SCORE_COLUMNS = ["attack_record_ratio", "max_attack_probability"]
 
 def recent(df: DataFrame, limit: int = RECENT_ROWS, sort_field: str = "created_at") -> DataFrame:
     """The newest rows without the key, nested fields flattened. A top-k, not a full sort."""
-    return flatten(df.drop("_id").orderBy(F.col(sort_field).desc()).limit(limit))
+    return flatten(df.orderBy(*[F.col(c).desc() for c in newest_first(df, sort_field)]).limit(limit).drop("_id"))
+
+
+def newest_first(df: DataFrame, sort_field: str) -> list[str]:
+    """The sort field, and what decides between the rows of one micro-batch, which share one time."""
+    return [sort_field, *[c for c in ("window_end", "_id") if c in df.columns and c != sort_field]]
 
 
 def with_detection_latency(df: DataFrame) -> DataFrame:
@@ -39,7 +44,7 @@ def trend(predictions: DataFrame) -> DataFrame:
 
 def latest(df: DataFrame, value: str, sort_field: str = "created_at"):
     """Value of the newest row, as a scalar subquery."""
-    return df.agg(F.max_by(value, sort_field).alias("v")).scalar()
+    return df.agg(F.max_by(value, F.struct(*newest_first(df, sort_field))).alias("v")).scalar()
 
 
 def indicators(windows: DataFrame, predictions: DataFrame, alerts: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packetloom.session import materialise
 
@@ -61,26 +62,31 @@ def range_bounds(cells: DataFrame, value: str, limit: int = ROWS_PER_TASK) -> li
 
 
 def with_range(df: DataFrame, value: str, bounds: Sequence, name: str = "_range") -> DataFrame:
-    """Add the number of the range a value falls in: how many split values are <= value."""
+    """Add the number of the range a value falls in: how many split values are <= value. Nulls have their own, -1."""
     if not bounds:
-        return df.withColumn(name, F.lit(0))
+        return df.withColumn(name, F.when(F.col(value).isNull(), -1).otherwise(0))
     if dict(df.dtypes)[value].startswith(NUMBER_TYPES):
         splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
         cut = Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
-        return cut.withColumn(name, F.col(name).cast("int"))
+        return cut.withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(-1)))
     # Text and times: a binary search over the split values with array functions.
     splits, size = F.lit(list(bounds)), len(bounds)
     steps = [1 << i for i in reversed(range(size.bit_length()))]
-    return df.withColumn(
-        name,
-        F.aggregate(
-            F.lit(steps),
-            F.lit(0),
-            lambda found, step: F.when(
-                (found + step <= size) & (F.get(splits, found + step - 1) <= F.col(value)), found + step
-            ).otherwise(found),
-        ),
+    place = F.aggregate(
+        F.lit(steps),
+        F.lit(0),
+        lambda found, step: F.when(
+            (found + step <= size) & (F.get(splits, found + step - 1) <= F.col(value)), found + step
+        ).otherwise(found),
     )
+    return df.withColumn(name, F.when(F.col(value).isNull(), -1).otherwise(place))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null; the keys appear once."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
 # -------------------------------------------------------------- running totals
@@ -97,7 +103,8 @@ def running_totals(
 ) -> DataFrame:
     """Add cum_<measure>, the total of each measure up to and including each value.
 
-    ``cells`` has one row per value. ``rows`` is an upper bound of its size, if known.
+    ``cells`` has one row per value; null sorts below all values. ``rows`` is
+    an upper bound of its size, if known.
     """
     order = F.col(value).desc() if descending else F.col(value).asc()
     if (rows if rows is not None else cells.count()) <= limit:
@@ -371,16 +378,21 @@ def with_record_index(
 
     ``block`` names columns that cut a key into bounded pieces in that order,
     such as the block of the file a row was read from. Without it, a large
-    input is cut into ranges of the first order column, which must then be
-    nearly unique. Only counts per piece are summed over a whole key.
+    input is cut into ranges of all order columns together, and of the rest of
+    the row where these are equal, so a value that most rows have is cut, too.
+    Null keys are one key, and null comes first in the order. Only counts per
+    piece are summed over a whole key.
     """
     keys, order_by = list(keys), list(order_by)
     if block is None and fits_one_task(df, limit):
         return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order_by)) - 1)
-    df = materialise(df, "numbered")
     if block is None:
-        bounds = range_bounds(df.select(*keys, *order_by), order_by[0], limit)
-        df, block = with_range(df, order_by[0], bounds), ["_range"]
+        # Spark samples a bounded number of rows for the bounds of the ranges.
+        ranges = min(MAX_RANGES, math.ceil(df.count() / limit) + 1)
+        rest = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType | T.VariantType)]
+        df = df.withColumn("_rest", F.xxhash64(*rest)).repartitionByRange(ranges, *order_by, "_rest")
+        df, block, order_by = df.withColumn("_range", F.spark_partition_id()), ["_range"], [*order_by, "_rest"]
+    df = materialise(df, "numbered")
     block = list(block)
     before = W.partitionBy(*keys).orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
     starts = (
@@ -389,8 +401,8 @@ def with_record_index(
         .select(*keys, *block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
     place = F.row_number().over(W.partitionBy(*keys, *block).orderBy(*order_by)) - 1
-    numbered = df.withColumn("_place", place).join(starts, [*keys, *block])
-    return numbered.withColumn(name, F.col("_start") + F.col("_place")).drop("_start", "_place", "_range")
+    numbered = join_null_safe(df.withColumn("_place", place), starts, [*keys, *block])
+    return numbered.withColumn(name, F.col("_start") + F.col("_place")).drop("_start", "_place", "_range", "_rest")
 
 
 def distinct_rank(df: DataFrame, column: str, name: str, *, limit: int = ROWS_PER_TASK) -> DataFrame:

@@ -31,12 +31,24 @@ RECORDS_PER_DOCUMENT = 100_000
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
-    """Clean names, with throw-away names in the places of repeated columns."""
+    """Clean names, with throw-away names in the places of repeated columns.
+
+    Fields whose names differ only by a dot or an underscore are two columns;
+    the second one is numbered.
+    """
+    taken: dict[str, str] = {}
     seen: set[str] = set()
     result = []
-    for i, name in enumerate(spark_names(names)):
-        result.append(f"_repeat_{i}" if name in seen else name)
+    for i, (name, clean) in enumerate(zip((n.replace("\ufeff", "").strip() for n in names), spark_names(names))):
+        if name in seen:
+            result.append(f"_repeat_{i}")
+            continue
         seen.add(name)
+        number, free = 2, clean
+        while free in taken:
+            free, number = f"{clean}_{number}", number + 1
+        taken[free] = name
+        result.append(free)
     return result
 
 

@@ -42,8 +42,8 @@ def probability_summary(
     """Per key: records, attack_records, attack_record_ratio and four probability statistics.
 
     A row with a null probability marks a key without records: it yields
-    zeros. ``weight`` counts equal rows that were collapsed before. Keys must
-    not be null; any of them may hold most of the rows. ``split`` chooses the
+    zeros. ``weight`` counts equal rows that were collapsed before. Null keys
+    are keys like others; any key may hold most of the rows. ``split`` chooses the
     plan: one group per key (False), ranges within keys (True), or by the
     number of rows (None).
     """
@@ -53,6 +53,9 @@ def probability_summary(
     if split is None:
         split = not fits_one_task(rows, limit)
     if split:
+        # Inside one struct a null key equals itself in the joins that follow.
+        rows = rows.withColumn("_keys", F.struct(*keys)).drop(*keys)
+        outer, keys = keys, ["_keys"]
         cells = rows.groupBy(*keys, probability).agg(
             F.sum(weight).alias("n") if weight else F.count(F.lit(1)).alias("n")
         )
@@ -69,6 +72,7 @@ def probability_summary(
     if split:
         grouped = rows.groupBy(*keys).agg(*aggregates)
         grouped = grouped.join(cell_quantiles(rows, keys, probability, QUANTILES, limit=limit), keys, "left")
+        grouped, keys = grouped.select("_keys.*", *[c for c in grouped.columns if c != "_keys"]), outer
     elif weight:
         quantiles = F.percentile(p, list(QUANTILES.values()), one).alias("_quantiles")
         grouped = rows.groupBy(*keys).agg(*aggregates, quantiles)

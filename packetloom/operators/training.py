@@ -23,7 +23,7 @@ from packetloom.contract import (
     feature_columns,
     spark_names,
 )
-from packetloom.operators.distribution import exact_percentiles
+from packetloom.operators.distribution import ROWS_PER_TASK, exact_percentiles, join_null_safe, with_record_index
 from packetloom.operators.evaluate import choose_threshold, evaluate, score_curve
 from packetloom.operators.profile import NUMERIC_THRESHOLD, binary_labels, column_facts, prune_columns
 from packetloom.operators.shape import align_to_contract, normalize_columns
@@ -42,8 +42,7 @@ LITERAL_CATEGORIES = 1_000  # up to this many rare categories are listed in the
 HOT_CATEGORIES = 100  # the most frequent categories, kept out of the rare lookup
 
 # Split shares in percent and seeds of the two nested splits.
-TEST_PERCENT, TEST_SEED = 20, 42
-VALIDATION_PERCENT, VALIDATION_SEED = 20, 43
+TEST_PERCENT, VALIDATION_PERCENT, SPLIT_SEED = 20, 20, 42
 
 
 @dataclass(frozen=True)
@@ -115,20 +114,26 @@ def prepare_training_frame(
     return type_columns(labelled, numeric, used, keep=[ROW_KEY, TARGET]), contract
 
 
-def split_bucket(key: Column, seed: int | None = None) -> Column:
-    """Bucket 0..99 of a row key: the same in every run and on every cluster."""
-    text = key.cast("string") if seed is None else F.concat_ws(":", key.cast("string"), F.lit(seed).cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100
+def split_order(key: Column, seed: int) -> Column:
+    """What orders the rows of a class before they are split: a digest, the same in every run and on every cluster."""
+    return F.md5(F.concat_ws(":", key.cast("string"), F.lit(seed).cast("string")))
 
 
-def split_name(key: Column) -> Column:
-    """'test' (20 %), 'validation' (20 % of the rest) or 'train'. Buckets do not depend on
-    the label, so every class is split in the same shares."""
-    return (
-        F.when(split_bucket(key, TEST_SEED) < TEST_PERCENT, "test")
-        .when(split_bucket(key, VALIDATION_SEED) < VALIDATION_PERCENT, "validation")
-        .otherwise("train")
-    )
+def with_split(
+    df: DataFrame, label: str, key: str, *, name: str = "_split", seed: int = SPLIT_SEED, limit: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Name each row 'test' (20 %), 'validation' (20 % of the rest) or 'train', with exact shares within each label.
+
+    The rows of a label are ranked by digest and cut at the rounded shares.
+    Rows of large labels are ranked in ranges, so no task holds a whole label.
+    """
+    ordered = df.withColumn("_order", split_order(F.col(key), seed))
+    ranked = with_record_index(ordered, [label], ["_order", key], name="_rank", limit=limit)
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    test = F.round(F.col("_n") * TEST_PERCENT / 100)
+    validation = F.round((F.col("_n") - test) * VALIDATION_PERCENT / 100)
+    split = F.when(F.col("_rank") < test, "test").when(F.col("_rank") < test + validation, "validation").otherwise("train")
+    return join_null_safe(ranked, sizes, [label]).withColumn(name, split).drop("_order", "_rank", "_n")
 
 
 def class_weight(df: DataFrame, label: str = TARGET) -> DataFrame:
@@ -352,7 +357,7 @@ def fit_bundle(
     With the fixed strategy no threshold is tuned and its model is not fitted.
     """
     started = time.perf_counter()
-    rows = materialise(typed.withColumn("_split", split_name(F.col(ROW_KEY))), "typed-rows")
+    rows = materialise(with_split(typed, TARGET, ROW_KEY), "typed-rows")
     train, validation, test = (rows.where(F.col("_split") == s) for s in ("train", "validation", "test"))
     sizes = {r["_split"]: r["n"] for r in rows.groupBy("_split").agg(F.count(F.lit(1)).alias("n")).collect()}
     runtime: dict[str, float] = {

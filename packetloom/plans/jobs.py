@@ -58,12 +58,10 @@ from packetloom.operators.training import (
 )
 from packetloom.session import configure, materialise
 from packetloom.sinks.tables import RunFolders, append_predictions, append_summary, record_predictions, write_table
-from packetloom.sources.csv import FILE_ORDER, header_or_default, ingest, list_files, read_csv, read_many
+from packetloom.sources.csv import FILE_ORDER, first_files, header_or_default, ingest, list_files, read_csv, read_many
 from packetloom.sources.tables import baseline_thresholds, read_summary
 from packetloom.streaming.window_job import TRIGGER, start_window_scoring
 
-COMPARE_SAMPLE_ROWS = 200_000  # fixed value: default sample of the training table in a comparison
-
 
 @dataclass(frozen=True)
 class TrainOptions:
@@ -217,7 +215,11 @@ def replay(
     """Score a folder of recorded files: each is one window, numbered in file order, all in one job."""
     configure(spark)
     rule = resolve_thresholds(thresholds, baseline_thresholds(spark, baseline_path), bundle.contract.thresholds)
-    raw = read_many(spark, folder, pattern=pattern, recursive=recursive, max_files=max_files, file_order=True)
+    files = list_files(spark, folder, pattern, recursive, with_empty=True).select("_file", "path", "name")
+    chosen = first_files(files, max_files) if max_files else None
+    if chosen is not None:
+        files = files.where(F.col("path").isin(chosen))
+    raw = read_many(spark, folder, pattern=pattern, recursive=recursive, only=chosen, file_order=True)
     wanted = requested_fields(bundle.contract, include_metadata)
     missing = unsupported_fields(wanted, raw.columns)
     kept = restrict(raw, predicate)
@@ -228,9 +230,6 @@ def replay(
     scored = with_record_label(bundle.score(kept, [*FILE_ORDER, *metadata]), rule.record)
     scored = with_record_index(materialise(scored, "replayed"), ["_file"], FILE_ORDER, block=["_block"])
     # Files without rows are windows, too.
-    files = list_files(spark, folder, pattern, recursive, with_empty=True).select("_file", "path", "name")
-    if max_files:
-        files = files.orderBy("_file").limit(max_files)
     numbered = distinct_rank(files, "_file", "window_id").join(files, "_file")
     windows = numbered.join(probability_summary(scored, ["_file"], rule.record), "_file", "left")
     zeros = {c: 0 for c in ("records", "attack_records")}
@@ -323,9 +322,12 @@ def run(
     output: str,
     options: TrainOptions = TrainOptions(),
     *,
-    compare_rows: int = COMPARE_SAMPLE_ROWS,
+    compare_rows: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Train, align the folder's files, score them and compare them with the training table."""
+    """Train, align the folder's files, score them and compare them with the training table.
+
+    All training rows are compared unless ``compare_rows`` asks for the first ones.
+    """
     configure(spark)
     trained = train(spark, read_csv(spark, training_csv), f"{output}/model", options)
     report = extract(spark, folder, f"{output}/extracted", template_csv=training_csv)

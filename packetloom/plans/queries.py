@@ -254,6 +254,13 @@ def file_summary_split_keys(spark, d):
     return rounded(summary.file_summary(scored(spark, d), RULE, split=True, limit=1000))
 
 
+@query(FILE_SQL.replace(S, S.replace("event_type,", "nullif(event_type, 'view') AS event_type,")))
+def file_summary_null_key_split(spark, d):
+    """The same plan with a null file name, which is a file like others."""
+    rows = scored(spark, d).withColumn("source_file", F.nullif(F.col("source_file"), F.lit("view")))
+    return rounded(summary.file_summary(rows, RULE, split=True, limit=1000))
+
+
 @query(
     f"""WITH {S} SELECT event_type AS source_file, event_id, user_id, round(p, 6) AS pred_proba_attack,
   CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS pred_label FROM s"""
@@ -306,6 +313,19 @@ def record_index_split_keys(spark, d):
     return distribution.with_record_index(rows, ["event_type"], ["event_id"], limit=1000)
 
 
+@query(
+    """WITH t AS (SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type END AS k,
+    CASE WHEN event_id % 20 = 0 THEN event_id WHEN event_id % 20 <> 1 THEN 7 END AS o FROM events)
+  SELECT k, o, row_number() OVER (PARTITION BY k ORDER BY o NULLS FIRST) - 1 AS record_index FROM t"""
+)
+def record_index_null_keys(spark, d):
+    """The plan for large inputs with a null key, null order values, and one order value that nine in ten rows have."""
+    n = F.col("event_id") % 20
+    order = F.when(n == 0, F.col("event_id")).when(n != 1, F.lit(7).cast("long"))
+    rows = events(spark, d).select(F.when(F.col("event_type") != "view", F.col("event_type")).alias("k"), order.alias("o"))
+    return distribution.with_record_index(rows, ["k"], ["o"], limit=500)
+
+
 @query(f"WITH {S} SELECT w, count(*) AS rows, round(count(*) / 3600, 6) AS rows_per_second FROM s GROUP BY w")
 def throughput_by_window(spark, d):
     return rounded(summary.throughput(scored(spark, d), F.col("w"), HOUR, "w"))
@@ -677,7 +697,7 @@ def dedup_rows(spark, d):
     return training.drop_duplicate_rows(events(spark, d).select("user_id", "event_type"))
 
 
-@query("SELECT event_id AS a_b, event_type AS c FROM events")
+@query("SELECT event_id AS a_b, event_type AS c, value AS a_b_2 FROM events")
 def header_normalize(spark, d):
     rows = events(spark, d).select("event_id", "event_type", "value", "user_id")
     return shape.normalize_columns(rows.toDF("﻿a.b ", " c", "a_b", "c "))
@@ -853,6 +873,18 @@ def ranking_areas_split_scores(spark, d):
     return rounded(evaluate.ranking_areas(curve(spark, d, limit=500)))
 
 
+@query(
+    """WITH s AS (SELECT CASE WHEN event_id % 9 > 0 THEN value / (value + 20) END AS p, (event_type = 'error')::INT AS y FROM events),
+  c AS (SELECT p AS score, count_if(y = 1) AS pos, count_if(y = 0) AS neg FROM s GROUP BY p)
+  SELECT round(score, 9) AS score, pos, neg, sum(pos) OVER w::BIGINT AS cum_pos, sum(neg) OVER w::BIGINT AS cum_neg
+  FROM c WINDOW w AS (ORDER BY score DESC NULLS LAST)"""
+)
+def score_curve_null_scores_split(spark, d):
+    """The plan for large inputs with rows that have no score; they come after all scores."""
+    rows = scored(spark, d).withColumn(summary.PROBABILITY, F.when(F.col("event_id") % 9 > 0, F.col(summary.PROBABILITY)))
+    return rounded(evaluate.score_curve(rows, "y", summary.PROBABILITY, limit=500), 9)
+
+
 @query(f"WITH {CURVE} SELECT {sql_rounded('threshold', 'precision', 'recall')} FROM c2")
 def precision_recall_curve(spark, d):
     return rounded(evaluate.precision_recall(curve(spark, d)))
@@ -883,16 +915,26 @@ def choose_threshold_min_precision(spark, d):
 # ------------------------------------------------------------------- training
 
 
-SQL_BUCKET = "(('0x' || substr(md5({k}), 1, 8))::BIGINT % 100)"
+SPLIT = """WITH ranked AS (
+    SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type) AS n,
+      row_number() OVER (PARTITION BY event_type ORDER BY md5(event_id::VARCHAR || ':42'), event_id) - 1 AS k FROM events),
+  cut AS (SELECT *, round(n * 0.2) AS test FROM ranked),
+  named AS (SELECT event_id, event_type, CASE WHEN k < test THEN 'test'
+    WHEN k < test + round((n - test) * 0.2) THEN 'validation' ELSE 'train' END AS split FROM cut)"""
 
 
-@query(
-    f"""SELECT event_id, event_type, CASE WHEN {SQL_BUCKET.format(k="event_id::VARCHAR || ':42'")} < 20 THEN 'test'
-  WHEN {SQL_BUCKET.format(k="event_id::VARCHAR || ':43'")} < 20 THEN 'validation' ELSE 'train' END AS split FROM events"""
-)
+@query(f"{SPLIT} SELECT event_id, event_type, split FROM named")
 def stratified_split(spark, d):
-    rows = events(spark, d)
-    return rows.select("event_id", "event_type", training.split_name(F.col("event_id")).alias("split"))
+    rows = events(spark, d).select("event_id", "event_type")
+    return training.with_split(rows, "event_type", "event_id", name="split")
+
+
+@query(f"{SPLIT} SELECT event_type, split, count(*) AS n FROM named GROUP BY ALL")
+def split_counts_per_class(spark, d):
+    """Exact shares of every class, by the plan for large inputs."""
+    rows = events(spark, d).select("event_id", "event_type")
+    split = training.with_split(rows, "event_type", "event_id", name="split", limit=500)
+    return split.groupBy("event_type", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"WITH {R}, n AS (SELECT event_id, {sql_number('raw')} AS n FROM r) SELECT event_id, coalesce(n, (SELECT median(n) FROM n)) AS n FROM n")
@@ -1057,7 +1099,7 @@ def prediction_trend(spark, d):
   AS latest_alert_latency"""
 )
 def dashboard_indicators(spark, d):
-    predictions = hourly_predictions(spark, d).withColumn("created_at", F.col("window_end"))
+    predictions = hourly_predictions(spark, d)  # all rows share one created_at
     alerts = window_job.alerts_table(predictions)
     return rounded(dashboard.indicators(predictions, predictions, alerts))
 
@@ -1092,19 +1134,35 @@ def upsert_table(spark, d):
     return sinks.read_upserted(spark, folder)
 
 
-@query(f"WITH {R} SELECT event_id::VARCHAR AS event_id, {sql_number('raw')} AS raw, event_type FROM r")
+@query("SELECT user_id::VARCHAR AS _id, max(event_id) AS event_id FROM events WHERE event_type = 'signup' GROUP BY user_id")
+def upsert_emptied_batch(spark, d):
+    """A batch that is written again without rows leaves none of its old ones."""
+    folder = shared_folder(spark, "upsert")
+    rows = events(spark, d).select(F.col("user_id").cast("string").alias("_id"), "event_id", "event_type")
+    rows = sinks.last_per_key(rows, "_id", ["event_id"]), sinks.last_per_key(
+        rows.where("event_type = 'signup'"), "_id", ["event_id"]
+    )
+    sinks.upsert_batch(rows[1], folder, 0)
+    sinks.upsert_batch(rows[0], folder, 1)
+    sinks.upsert_batch(rows[0].limit(0), folder, 1)
+    return sinks.read_upserted(spark, folder).select("_id", "event_id")
+
+
+@query(
+    f"""WITH {R} SELECT event_id::VARCHAR AS event_id, {sql_number('raw')} AS raw, event_type,
+  'say "' || event_type || '", no' || chr(10) || '"line" ' || event_id AS payload FROM r"""
+)
 def csv_round_trip(spark, d):
-    """Messy text through CSV files with a dirty header, read back by clean name and typed."""
+    """Messy text, quotes, commas and line breaks through CSV files with a dirty header, read back by clean name and typed."""
     folder = shared_folder(spark, "csv")
-    rows = raw_events(spark, d).select("event_id", "raw", "event_type", F.lit("again").alias("extra"))
-    rows = rows.toDF(" event.id", "raw ", "event_type", "raw")
+    payload = F.concat(F.lit('say "'), "event_type", F.lit('", no\n"line" '), F.col("event_id").cast("string"))
+    rows = raw_events(spark, d).select("event_id", "raw", "event_type", F.lit("again").alias("extra"), payload.alias("payload"))
+    rows = rows.toDF(" event.id", "raw ", "event_type", "raw", "payload")
     rows.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option(
         "ignoreTrailingWhiteSpace", "false"
-    ).csv(folder)
-    back = csv_source.read_many(spark, folder)
-    return back.select(
-        F.col("event_id").alias("event_id"), parse_numeric("raw").alias("raw"), "event_type"
-    )
+    ).option("escape", '"').csv(folder)
+    back = csv_source.read_many(spark, folder, multi_line=True)
+    return back.select("event_id", parse_numeric("raw").alias("raw"), "event_type", "payload")
 
 
 @query(
@@ -1113,7 +1171,8 @@ def csv_round_trip(spark, d):
 def ingest_report(spark, d):
     """Files per event type, ingested with a report; the rows tell which type a file holds."""
     folder = shared_folder(spark, "ingest")
-    for kind in ("click", "error", "purchase", "signup", "view"):
+    kinds = events(spark, d).select("event_type").distinct().orderBy("event_type").collect()
+    for (kind,) in kinds:  # one file per type is the fixture
         rows = events(spark, d).where(F.col("event_type") == kind).select("event_id", "value", "event_type")
         rows.write.mode("append").option("header", "true").csv(folder)
     read, report = csv_source.ingest(spark, folder, ["event_id", "event_type", "udp.port"])
@@ -1195,28 +1254,59 @@ def batch_window_scoring(spark, d):
     return rounded(tables.predictions.select(*STREAMED_COLUMNS))
 
 
-@query(
-    f"""WITH {GAPPED} SELECT strftime(c, {ISO}) AS window_start, records::INT AS record_count, attack_records::INT AS attack_records, {PROBS}
-  FROM g WHERE c + INTERVAL 35 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"""
-)
-def stream_packet_windows(spark, d):
-    """Single events as a stream; every window that the watermark closed."""
+PACKET_WINDOWS = f"""WITH {GAPPED} SELECT strftime(c, {ISO}) AS window_start,
+  ((epoch(c) - min(epoch(c)) OVER ()) / 2100 + 1)::INT AS window_id,
+  records::INT AS record_count, attack_records::INT AS attack_records, {PROBS} FROM g"""
+
+
+def packet_stream(spark, d, source: str, **options):
+    """The events of a folder as a stream of records, and its result tables."""
     schema = table(spark, d, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    rows = source.select(F.col("ts").cast("timestamp").alias("ts"), probability().alias(summary.PROBABILITY))
+    reader = spark.readStream.schema(schema).options(**options)
+    rows = reader.parquet(source).select(F.col("ts").cast("timestamp").alias("ts"), probability().alias(summary.PROBABILITY))
     folders = sinks.run_folders(shared_folder(spark, "stream"), fresh=True)
-    run = packet_job.start_packet_scoring(
-        rows,
-        "ts",
-        RULE,
-        folders,
-        watermark="10 minutes",
-        window_seconds=CAPTURE,
-        pause_seconds=PAUSE,
-        available_now=True,
-    )
-    run.awaitTermination()
+    packet_job.start_packet_scoring(
+        rows, "ts", RULE, folders, watermark="10 minutes", window_seconds=CAPTURE, pause_seconds=PAUSE, available_now=True
+    ).awaitTermination()
+    return folders
+
+
+def packet_predictions(spark, folders) -> DataFrame:
     names = [c for c in STREAMED_COLUMNS if c.endswith(("_probability", "_ratio"))]
     stored = sinks.read_upserted(spark, folders.table("predictions"))
-    return rounded(stored.select("window_start", "record_count", "attack_records", *names))
+    return rounded(stored.select("window_start", "window_id", "record_count", "attack_records", *names))
+
 
+@query(PACKET_WINDOWS)
+def stream_packet_windows(spark, d):
+    """Single events as a stream; every window, the last ones too."""
+    return packet_predictions(spark, packet_stream(spark, d, d, pathGlobFilter="events.parquet"))
+
+
+def late_events(spark, d) -> str:
+    """Two files: every tenth event comes late, in the second one."""
+    folder = shared_folder(spark, "late")
+    late = F.col("event_id") % 10 == 0
+    for rows in (table(spark, d, "events").where(~late), table(spark, d, "events").where(late)):
+        rows.coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+@query(f"SELECT * EXCLUDE (window_id) FROM ({PACKET_WINDOWS})")
+def stream_late_rows(spark, d):
+    """A second micro-batch of late events corrects the windows of the first; numbers count from the first batch."""
+    folders = packet_stream(spark, d, late_events(spark, d), maxFilesPerTrigger="1")
+    return packet_predictions(spark, folders).drop("window_id")
+
+
+@query(
+    f"""WITH {S}, k AS (SELECT *, event_id % 10 = 0 AS late, make_timestamp((floor(epoch(ts) / 2100) * 2100 * 1000000)::BIGINT) AS c FROM s),
+  seen AS (SELECT max(ts) AS latest FROM k WHERE NOT late)
+  SELECT late::INT::BIGINT AS batch_id, count(*) AS rows, count_if(epoch(ts) < epoch(c) + 1800) AS captured_rows,
+    count_if(late AND epoch(ts) < epoch(c) + 1800 AND c + INTERVAL 30 MINUTE <= latest - INTERVAL 10 MINUTE) AS late_rows
+  FROM k, seen GROUP BY late"""
+)
+def stream_progress(spark, d):
+    """Rows, captured rows and late rows of each micro-batch."""
+    folders = packet_stream(spark, d, late_events(spark, d), maxFilesPerTrigger="1")
+    return packet_job.read_progress(spark, folders).select("batch_id", "rows", "captured_rows", "late_rows")

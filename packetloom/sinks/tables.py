@@ -21,7 +21,7 @@ KEY = "_id"
 def write_table(df: DataFrame, path: str, *, file_format: str = "csv", mode: str = "overwrite") -> None:
     writer = df.write.mode(mode)
     if file_format == "csv":
-        writer = writer.option("header", "true")
+        writer = writer.option("header", "true").option("escape", '"')
     writer.format(file_format).save(path)
 
 
@@ -56,18 +56,22 @@ def last_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
 
 
 def upsert_batch(df: DataFrame, path: str, batch_id: int, key: str = KEY) -> None:
-    """Write one batch of a keyed table. Writing the same batch again replaces it.
+    """Write one batch of a keyed table. Writing the same batch again replaces it, also by no rows.
 
     Rows are replaced as a whole: readers take the newest batch of each key.
     """
-    (
-        require_key(df, key)
-        .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
+    writer = require_key(df, key).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.parquet(batch_path(path, batch_id))
+
+
+def batch_path(path: str, batch_id: int) -> str:
+    """The folder of one batch of a keyed table; Spark reads it as a partition of ``path``."""
+    return f"{path}/{BATCH}={batch_id}"
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The rows of one batch, without listing the others."""
+    return spark.read.parquet(batch_path(path, batch_id))
 
 
 def upserted(df: DataFrame, key: str = KEY, batch: str = BATCH, tie_breakers: Sequence[str] = ()) -> DataFrame:
@@ -76,7 +80,7 @@ def upserted(df: DataFrame, key: str = KEY, batch: str = BATCH, tie_breakers: Se
 
 
 def read_upserted(spark: SparkSession, path: str, key: str = KEY) -> DataFrame:
-    return upserted(spark.read.parquet(path), key).drop(BATCH)
+    return upserted(spark.read.option("basePath", path).parquet(path), key).drop(BATCH)
 
 
 # ------------------------------------------------------------------ documents

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,13 +55,18 @@ def first_files(listed: DataFrame, cap: int) -> list[str]:
     return [r["path"] for r in listed.select("path").orderBy("path").limit(cap).collect()]
 
 
+def literal_path(path: str) -> str:
+    """A listed path as a pattern that matches itself alone."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def parse_header(line: str) -> list[str]:
     return next(csv.reader([line]), [])
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Field names in the first line of a file; reads no more than one split."""
-    first = spark.read.text(path).first()
+    first = spark.read.text(literal_path(path)).first()
     return parse_header(first["value"]) if first else []
 
 
@@ -87,20 +93,23 @@ def _read(
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     # Broken lines are only noticed where whole lines are parsed.
     reader = reader.option("columnPruning", str(not whole_lines).lower())
-    return reader.options(**options).csv(paths)
+    # A quote inside a quoted field is doubled, as the csv module and pandas write it.
+    reader = reader.option("quote", '"').option("escape", '"')
+    return reader.options(**options).csv([literal_path(p) for p in ([paths] if isinstance(paths, str) else paths)])
 
 
 def _columns(header: Sequence[str]) -> list[str]:
     return [n for n in unique_names(header) if not n.startswith("_repeat_")]
 
 
-def read_csv(spark: SparkSession, path: str, *, sample_rows: int | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, *, sample_rows: int | None = None, multi_line: bool = False) -> DataFrame:
     """One CSV as text columns with clean names; the first of repeated columns is kept.
 
-    ``sample_rows`` takes the first rows as Spark reads them.
+    ``sample_rows`` takes the first rows as Spark reads them. ``multi_line``
+    allows line breaks inside quotes; a file is then read by one task.
     """
     header = header_of(spark, path)
-    df = _read(spark, path, header).select(*_columns(header))
+    df = _read(spark, path, header, multiLine=str(multi_line).lower()).select(*_columns(header))
     return df.limit(sample_rows) if sample_rows is not None else df
 
 
@@ -138,14 +147,20 @@ def read_many(
     pattern: str = "*.csv",
     recursive: bool = False,
     max_files: int | None = None,
+    only: Sequence[str] | None = None,
     file_order: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All matching CSVs, united by column name, with the file name as source_file.
 
-    Files with the same header are read together. ``file_order`` adds columns
-    that sort rows as they stand in the files.
+    Files with the same header are read together. ``only`` names the paths to
+    take, ``max_files`` takes the first ones that have a header. ``file_order``
+    adds columns that sort rows as they stand in the files. ``multi_line``
+    allows line breaks inside quotes; each file is then read by one task.
     """
     groups = file_headers(spark, folder, pattern, recursive)
+    if only is not None:
+        groups = {h: [p for p in paths if p in set(only)] for h, paths in groups.items()}
     if max_files:
         kept = set(sorted(p for paths in groups.values() for p in paths)[:max_files])
         groups = {h: [p for p in paths if p in kept] for h, paths in groups.items()}
@@ -159,7 +174,7 @@ def read_many(
             F.monotonically_increasing_id().alias("_row"),
         ]
         frames.append(
-            _read(spark, paths, header).select(
+            _read(spark, paths, header, multiLine=str(multi_line).lower()).select(
                 *_columns(header),
                 file_name_column().alias(SOURCE_FILE),
                 *(order if file_order else []),
@@ -180,7 +195,13 @@ def read_window_csv(spark: SparkSession, path: str, fields: Sequence[str]) -> Da
 
 
 def ingest(
-    spark: SparkSession, folder: str, requested: Sequence[str], *, pattern: str = "*.csv", recursive: bool = False
+    spark: SparkSession,
+    folder: str,
+    requested: Sequence[str],
+    *,
+    pattern: str = "*.csv",
+    recursive: bool = False,
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Read every file that can be read: (aligned rows, report).
 
@@ -199,7 +220,8 @@ def ingest(
         return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in [*names, SOURCE_FILE])), report
     frames = []
     for header, paths in usable.items():
-        raw = _read(spark, paths, header, whole_lines=True, ignoreCorruptFiles="true").select(
+        options = {"ignoreCorruptFiles": "true", "multiLine": str(multi_line).lower()}
+        raw = _read(spark, paths, header, whole_lines=True, **options).select(
             *_columns(header), CORRUPT, file_name_column().alias(SOURCE_FILE), F.col("_metadata.file_path").alias("_file")
         )
         frames.append(align_extract(raw, [*names, CORRUPT, SOURCE_FILE, "_file"]))

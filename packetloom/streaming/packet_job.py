@@ -1,23 +1,24 @@
-"""Capture windows over a stream of single records: fixed length, fixed pause, watermark.
+"""Capture windows over a stream of single records: fixed length, fixed pause.
 
-The running state holds one count per window and distinct probability, so a
-window that receives most of the records is spread over many state rows. When
-the watermark closes a window, all its rows leave the state in one micro-batch
-and are summarised there, exactly.
+What is kept of the records is one count per window and distinct probability,
+so a window that receives most of the records is spread over many rows. The
+counts are stored by micro-batch, written again if a batch is, and a window is
+summarised exactly from all its counts whenever a batch touches it.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from packetloom.contract import Thresholds
 from packetloom.functions.time import iso_text, window_key
 from packetloom.operators.summary import PROBABILITY, probability_summary
-from packetloom.sinks.tables import RunFolders, upsert_batch
+from packetloom.session import materialise
+from packetloom.sinks.tables import BATCH, RunFolders, batch_path, read_batch, upsert_batch
 from packetloom.streaming.window_job import TRIGGER, alerts_table, predictions_table
 
 # Capture and pause length in seconds.
@@ -51,29 +52,28 @@ def capture_cells(
     window_seconds: int = WINDOW_SECONDS,
     pause_seconds: int = PAUSE_SECONDS,
     start: str = "0 seconds",
-    watermark: str | None = None,
 ) -> DataFrame:
-    """Rows per capture window and distinct probability. With a watermark: a stateful aggregation."""
-    if watermark:
-        scored = scored.withWatermark(ts, watermark)
+    """Rows per capture window and distinct probability."""
     captured = captured_records(scored, ts, window_seconds=window_seconds, pause_seconds=pause_seconds, start=start)
-    return (
-        captured.groupBy("_period", PROBABILITY)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("_period.start").alias("capture_start"), PROBABILITY, "n")
-    )
+    return captured.groupBy("capture_start", PROBABILITY).agg(F.count(F.lit(1)).alias("n"))
 
 
 def capture_summary(
-    cells: DataFrame, rule: Thresholds, *, window_seconds: int, interface: str = "", split: bool | None = None
+    cells: DataFrame,
+    rule: Thresholds,
+    *,
+    window_seconds: int,
+    interface: str = "",
+    split: bool | None = None,
+    window_id: Column | None = None,
 ) -> DataFrame:
     """Window summary with the identifying columns of a document."""
     grouped = probability_summary(cells, ["capture_start"], rule.record, weight="n", split=split)
     start = F.col("capture_start")
-    number = F.lit(0)
+    number = window_id if window_id is not None else F.lit(0)
     return grouped.select(
         "*",
-        number.alias("window_id"),
+        number.cast("int").alias("window_id"),
         window_key(number, start).alias("stream_file"),
         iso_text(start).alias("window_start"),
         iso_text(start + F.make_dt_interval(secs=F.lit(window_seconds))).alias("window_end"),
@@ -82,6 +82,28 @@ def capture_summary(
     )
 
 
+def capture_number(origin: datetime, period_seconds: int) -> Column:
+    """1 for the window that starts at ``origin``, then one more for each period; earlier windows count down."""
+    passed = F.unix_timestamp("capture_start") - F.unix_timestamp(F.lit(origin))
+    return (F.floor(passed / period_seconds) + 1).cast("int")
+
+
+def packet_windows_table(summary: DataFrame, at: Column, window_seconds: int) -> DataFrame:
+    """The windows table of a record stream; its records are not kept, so there is no preview."""
+    return summary.select(
+        F.col("stream_file").alias("_id"),
+        "window_id",
+        "window_start",
+        "window_end",
+        "interface",
+        "source_path",
+        "stream_file",
+        F.lit(window_seconds).alias("window_seconds"),
+        F.col("records").cast("int").alias("record_count"),
+        iso_text(at).alias("ingested_at"),
+    )
+
+
 def start_packet_scoring(
     scored: DataFrame,
     ts: str,
@@ -95,29 +117,90 @@ def start_packet_scoring(
     trigger_interval: str = TRIGGER,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Start the stream over scored records; closed windows go to predictions and alerts."""
+    """Start the stream over scored records; windows, predictions and alerts follow every micro-batch.
+
+    The cells of each micro-batch are stored by day. The windows that a batch
+    touches are summarised again from all their cells, and the keyed tables
+    take the newer row: a window is there as soon as it has a row, is complete
+    when its last row is in, and a late row corrects it. ``watermark`` only
+    says from when on a row counts as late in the progress table. An alert
+    that was raised stays.
+    """
+    period = window_seconds + pause_seconds
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         kept = batch.persist()
         try:
             if kept.isEmpty():
                 return
             at = F.lit(datetime.now(timezone.utc).replace(microsecond=0))
-            summary = capture_summary(kept, rule, window_seconds=window_seconds)
+            options = {"window_seconds": window_seconds, "pause_seconds": pause_seconds, "start": start}
+            day = F.to_date("capture_start").alias("capture_day")
+            cells = capture_cells(kept, ts, **options).select("capture_start", PROBABILITY, "n", day)
+            writer = cells.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("capture_day")
+            writer.parquet(batch_path(folders.table("cells"), batch_id))
+            write_progress(kept, ts, folders, batch_id, watermark, options)
+
+            fresh = read_batch(spark, folders.table("cells"), batch_id)
+            touched = fresh.select("capture_day", "capture_start").distinct()
+            stored = spark.read.option("basePath", folders.table("cells")).parquet(folders.table("cells"))
+            stored = stored.where(F.col(BATCH) <= batch_id)
+            known = stored.join(touched, ["capture_day", "capture_start"], "left_semi")
+            origin = first_capture(spark, folders, fresh, batch_id)
+            if origin is None:
+                return
+            number = capture_number(origin, period)
+            summary = materialise(capture_summary(known, rule, window_seconds=window_seconds, window_id=number), "packets")
+            upsert_batch(packet_windows_table(summary, at, window_seconds), folders.table("windows"), batch_id)
             upsert_batch(predictions_table(summary, rule, at), folders.table("predictions"), batch_id)
-            stored = kept.sparkSession.read.parquet(folders.table("predictions"))
-            upsert_batch(alerts_table(stored.where(F.col("batch_id") == batch_id)), folders.table("alerts"), batch_id)
+            upsert_batch(
+                alerts_table(read_batch(spark, folders.table("predictions"), batch_id)), folders.table("alerts"), batch_id
+            )
         finally:
             kept.unpersist()
 
-    cells = capture_cells(
-        scored, ts, window_seconds=window_seconds, pause_seconds=pause_seconds, start=start, watermark=watermark
-    )
     trigger = {"availableNow": True} if available_now else {"processingTime": trigger_interval}
-    writer = cells.writeStream.foreachBatch(write).outputMode("append")
+    writer = scored.writeStream.foreachBatch(write).outputMode("append")
     return writer.option("checkpointLocation", folders.checkpoint).trigger(**trigger).start()
 
 
+def first_capture(spark: SparkSession, folders: RunFolders, fresh: DataFrame, batch_id: int) -> datetime | None:
+    """Start of the run's first capture window, kept from the first micro-batch that has one."""
+    earlier = read_progress(spark, folders).where((F.col(BATCH) < batch_id) & F.col("first_capture").isNotNull())
+    known = earlier.orderBy(BATCH).first()
+    return known["first_capture"] if known else fresh.agg(F.min("capture_start")).first()[0]
+
+
+def write_progress(
+    batch: DataFrame, ts: str, folders: RunFolders, batch_id: int, watermark: str, options: dict
+) -> None:
+    """One row per micro-batch: rows, captured rows, late rows, first capture and latest time."""
+    spark = batch.sparkSession
+    latest = None
+    if batch_id > 0:
+        latest = read_progress(spark, folders).where(F.col(BATCH) < batch_id).agg(F.max("latest")).first()[0]
+    length = F.make_dt_interval(secs=F.lit(options["window_seconds"]))
+    end = F.col("capture_start") + length
+    late = F.lit(False) if latest is None else end <= F.lit(latest) - F.expr(f"INTERVAL {watermark}")
+    captured = captured_records(batch, ts, **options)
+    counts = captured.agg(F.count(F.lit(1)), F.count_if(late), F.min("capture_start")).first()
+    rows = batch.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max(ts).alias("latest"),
+        F.lit(counts[0]).cast("long").alias("captured_rows"),
+        F.lit(counts[1]).cast("long").alias("late_rows"),
+        F.lit(counts[2]).cast("timestamp").alias("first_capture"),
+    )
+    path = batch_path(folders.table("progress"), batch_id)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def read_progress(spark: SparkSession, folders: RunFolders) -> DataFrame:
+    """The progress of all micro-batches so far; rows that came late are counted, none is lost."""
+    return spark.read.option("basePath", folders.table("progress")).parquet(folders.table("progress"))
+
+
 def run_metrics(query: StreamingQuery) -> list[dict]:
     """Rows and rows per second of the micro-batches a query still reports."""
     return [

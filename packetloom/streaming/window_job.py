@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +19,7 @@ from packetloom.contract import Thresholds
 from packetloom.functions.time import iso_text, seconds_since_window_end
 from packetloom.operators.shape import explode_records, stringify_records, windows_table, with_window_key
 from packetloom.operators.summary import PROBABILITY, probability_summary, with_window_label
-from packetloom.sinks.tables import RunFolders, last_per_key, upsert_batch
+from packetloom.sinks.tables import RunFolders, last_per_key, read_batch, upsert_batch
 from packetloom.sources.windows import stream_documents
 
 DOCUMENT_META = ["stream_file", "window_id", "window_start", "window_end", "interface", "source_path"]
@@ -42,10 +43,18 @@ def keyed_documents(documents: DataFrame, batch_id: int) -> DataFrame:
 
     Two documents may carry the same key; the identity keeps their records apart.
     """
-    keyed = with_window_key(stringify_records(documents), batch_id, F.col("origin_file"))
-    place = [F.col("origin_file").alias("origin"), F.monotonically_increasing_id().alias("place")]
-    meta = F.struct(*[F.col(c) for c in DOCUMENT_META], *place)
-    return keyed.withColumn("document", meta)
+    placed = stringify_records(documents).withColumns(
+        {"_origin": F.col("origin_file"), "_place": F.monotonically_increasing_id()}
+    )
+    given = placed.where(F.col("stream_file") != "")
+    # Documents without a key that were read from one file, or from files of one name, are told apart by number.
+    unnamed = placed.where(F.coalesce(F.col("stream_file") == "", F.lit(True)))
+    number = F.row_number().over(W.partitionBy("origin_file").orderBy("_place")) - 1
+    name = F.when(number == 0, F.col("origin_file")).otherwise(F.format_string("%s#%d", F.col("origin_file"), number))
+    unnamed = unnamed.withColumn("origin_file", F.when(F.col("origin_file").isNotNull(), name))
+    keyed = with_window_key(given.unionByName(unnamed), batch_id, F.col("origin_file"))
+    meta = F.struct(*[F.col(c) for c in DOCUMENT_META], F.col("_origin").alias("origin"), F.col("_place").alias("place"))
+    return keyed.withColumn("document", meta).drop("_origin", "_place")
 
 
 def score_records(documents: DataFrame, score: Scorer) -> DataFrame:
@@ -139,7 +148,7 @@ def batch_writer(score: Scorer, rule: Thresholds, folders: RunFolders, stream_di
             upsert_batch(tables.predictions, folders.table("predictions"), batch_id)
             # Alerts come from the rows just stored, so nothing is scored twice.
             spark = kept.sparkSession
-            stored = spark.read.parquet(folders.table("predictions")).where(F.col("batch_id") == batch_id)
+            stored = read_batch(spark, folders.table("predictions"), batch_id)
             upsert_batch(alerts_table(stored), folders.table("alerts"), batch_id)
         finally:
             kept.unpersist()

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 import oracle
+from packetloom.plans.queries import ORACLE, QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ROWS_ONLY = {"train_and_score", "feature_importance"}
@@ -17,7 +18,8 @@ def connection():
 
 
 def test_contract_keys():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -25,12 +27,12 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_sql(spark, connection, name):
-    difference = oracle.compare(contract.queries()[name](spark, FOLDER), connection, contract.oracle_sql()[name])
+    difference = oracle.compare(QUERIES[name](spark, FOLDER), connection, ORACLE[name])
     assert difference is None, difference
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_has_rows(spark, name):
-    assert contract.queries()[name](spark, FOLDER).count() > 0
+    assert QUERIES[name](spark, FOLDER).count() > 0

@@ -10,7 +10,7 @@ from packetloom.contract import Thresholds
 def test_headers(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, c int, d int").toDF("﻿ip.src ", "x", "ip_src", " x")
     clean = shape.normalize_columns(df)
-    assert clean.columns == ["ip_src", "x"] and tuple(clean.first()) == (1, 2)
+    assert clean.columns == ["ip_src", "x", "ip_src_2"] and tuple(clean.first()) == (1, 2, 3)
 
 
 def test_align_keeps_provenance_and_raw_values(spark):

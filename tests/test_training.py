@@ -117,11 +117,17 @@ def test_too_many_categories_is_an_error(spark, monkeypatch):
 
 
 def test_split_is_a_partition_with_fixed_shares(spark):
-    df = spark.range(20_000).select(training.split_name(F.col("id")).alias("s"))
-    sizes = {r.s: r["count"] / 20_000 for r in df.groupBy("s").count().collect()}
-    assert sizes == pytest.approx({"test": 0.2, "validation": 0.16, "train": 0.64}, abs=0.01)
-    buckets = spark.range(10_000).where(training.split_bucket(F.col("id")) < 20).count()
-    assert buckets == 1994
+    rare = F.when(F.col("id") % 400 == 0, 1).when(F.col("id") % 399 != 0, 0)
+    rows = spark.range(20_000).withColumn("label", rare)
+    for limit in (1_000_000, 3_000):
+        df = training.with_split(rows, "label", "id", limit=limit)
+        sizes = {(r.label, r["_split"]): r["count"] for r in df.groupBy("label", "_split").count().collect()}
+        for label, n in ((r.label, r["count"]) for r in rows.groupBy("label").count().collect()):
+            test = round(n * 0.2)
+            validation = round((n - test) * 0.2)
+            assert sizes[label, "test"] == test
+            assert sizes[label, "validation"] == validation
+            assert sizes[label, "train"] == n - test - validation
 
 
 def test_medians(spark):
