@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable
 
 # White space here includes the control characters 0x1C to 0x1F, which the pattern counts as symbols: fewer cuts, never more.
 CUT = re.compile(r"(?<=\S)(?= \S)")
-MEMORY = 200_000
+MEMORY = 300_000
 
 
 def parts_of(text: str) -> list[str]:

@@ -60,22 +60,31 @@ class LibraryEncoder:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def encode_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part. Parts that start with a space and end without one may stand side by side in one text."""
+        """Ids of each part.
+
+        Parts that end without white space may stand side by side in one text:
+        those that start with a space as they are, those that start without
+        one with a line break before them, which is a token of its own there.
+        """
         found: list[bytes] = [b""] * len(parts)
-        joined, alone = [], []
+        spaced, begun, alone = [], [], []
         for i, p in enumerate(parts):
-            (joined if p[:1] == " " and not p[-1].isspace() else alone).append(i)
+            if not p or p[-1].isspace() or (p[0].isspace() and p[0] != " "):
+                alone.append(i)
+            else:
+                (spaced if p[0] == " " else begun).append(i)
         for i, ids in zip(alone, self._ids([parts[i] for i in alone])):
             found[i] = np.array(ids, "<u4").tobytes()
-        groups = [joined[k : k + TOGETHER] for k in range(0, len(joined), TOGETHER)]
-        for own, ids in zip(groups, self._ids(["".join(parts[i] for i in g) for g in groups])):
-            numbers = np.array(ids, "<u4")
-            reached = np.cumsum(self.n_bytes[numbers])
-            ends = np.cumsum([len(parts[i].encode()) for i in own])
-            cuts = np.searchsorted(reached, ends) + 1
-            raw = numbers.tobytes()
-            for i, start, end in zip(own, [0, *(4 * cuts[:-1]).tolist()], (4 * cuts).tolist()):
-                found[i] = raw[start:end]
+        for members, before in ((spaced, ""), (begun, "\n")):
+            groups = [members[k : k + TOGETHER] for k in range(0, len(members), TOGETHER)]
+            for own, ids in zip(groups, self._ids(["".join(before + parts[i] for i in g) for g in groups])):
+                numbers = np.array(ids, "<u4")
+                reached = np.cumsum(self.n_bytes[numbers])
+                ends = np.cumsum([len(before) + len(parts[i].encode()) for i in own])
+                cuts = np.searchsorted(reached, ends) + 1
+                raw = numbers.tobytes()
+                for i, start, end in zip(own, [0, *(4 * cuts[:-1]).tolist()], (4 * cuts).tolist()):
+                    found[i] = raw[start + 4 * len(before) : end]
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
