@@ -48,6 +48,12 @@ def fields(df: DataFrame, *names: str) -> list[T.StructField]:
     return [T.StructField(n, df.schema[n].dataType, True) for n in names]
 
 
+def plain_names(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with numbered column names, which clash with none an operator uses, and the new ones of ``names``."""
+    own = [f"column_{i}" for i in range(len(df.columns))]
+    return df.toDF(*own), [own[df.columns.index(n)] for n in names]
+
+
 def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import batch, blocks, byte_values, fields
+from packetloom.llm.arrow import batch, blocks, byte_values, fields, plain_names
 
 WINDOW = 13
 SHINGLE = 3
@@ -310,7 +310,10 @@ def contaminated_documents(
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their columns."""
+    names = docs.columns
+    docs, (key, text) = plain_names(docs, key, text)
     found = contaminated_documents(docs, benchmark, key, text).where("contaminated")
     gone = found.select(F.col(key).alias("_key"), F.lower(F.hex("digest")).alias("_digest")).distinct()
     own = F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256)
-    return docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (own == F.col("_digest")), "left_anti")
+    kept = docs.join(gone, F.col(key).eqNullSafe(F.col("_key")) & (own == F.col("_digest")), "left_anti")
+    return kept.toDF(*names)

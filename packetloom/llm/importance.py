@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import batch, blocks, byte_values, fields
+from packetloom.llm.arrow import batch, blocks, byte_values, fields, plain_names
 from packetloom.session import materialise
 
 WORD_BUCKETS = 1 << 16
@@ -262,6 +262,9 @@ def resampled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 def drawn_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are drawn, with their columns; texts are weighed again rather than shuffled."""
-    ratios, _, last = fitted(docs, labels, key, text)
-    weighed = importance_weights(docs, ratios, docs.columns, key, text)
-    return weighed.where(F.col("_draw") >= F.lit(last)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+    docs, (own_key, own_text) = plain_names(docs, key, text)
+    labels = labels.select(F.col(key).alias(own_key), "quality", "toxic")
+    ratios, _, last = fitted(docs, labels, own_key, own_text)
+    weighed = importance_weights(docs, ratios, docs.columns, own_key, own_text)
+    return weighed.where(F.col("_draw") >= F.lit(last)).select(*docs.columns).toDF(*names)

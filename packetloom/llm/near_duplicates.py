@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import batch, blocks, byte_values, fields
+from packetloom.llm.arrow import batch, blocks, byte_values, fields, plain_names
 from packetloom.llm.components import connected_components
 from packetloom.session import materialise
 
@@ -261,10 +261,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their component; of equal rows one stays."""
+    names = docs.columns
+    docs, (key, text) = plain_names(docs, key, text)
     found = near_duplicates(docs, key, text)
     gone = found.where(~F.col("kept")).select(F.col(key).alias("_key"), F.lower(F.hex("text_digest")).alias("_digest")).distinct()
     own = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     same = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (own == F.col("_digest"))
     rest = docs.join(gone, same, "left_anti")
     repeated = found.where("kept").where("n_shingles > 0").groupBy(key, "text_digest").count().where("count > 1")
-    return rest if repeated.isEmpty() else rest.dropDuplicates([key, text])
+    return (rest if repeated.isEmpty() else rest.dropDuplicates([key, text])).toDF(*names)

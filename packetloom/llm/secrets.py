@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from packetloom.llm.arrow import plain_names
 from packetloom.session import materialise
 
 # The strong kinds in the order in which they are listed.
@@ -196,8 +197,10 @@ def secret_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each run of reported spans replaced by ``mark``; other texts, and nulls, stay as they are."""
+    names = docs.columns
+    docs, (key, text) = plain_names(docs, key, text)
     found = with_secret_spans(docs, key, text)
-    body = F.col(f"`{text}`")
+    body = F.col(text)
     cut = F.aggregate(
         "_spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
@@ -210,5 +213,5 @@ def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str
     )
     result = found.withColumn("_cut", F.when(F.size("_spans") > 0, cut))
     rest = F.concat(F.col("_cut.out"), F.substring(body, F.col("_cut.at") + 1, F.char_length(body)))
-    kept = [F.when(F.size("_spans") > 0, rest).otherwise(body).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return result.select(*kept)
+    kept = [F.when(F.size("_spans") > 0, rest).otherwise(body).alias(c) if c == text else F.col(c) for c in docs.columns]
+    return result.select(*kept).toDF(*names)
