@@ -9,10 +9,10 @@ groups of ROWS slots are bucket keys.
 Documents with equal sets form one class, which is found by a digest, so that
 copies take no part in what follows. The classes of a bucket are joined to one
 centre (star-shaped edges: one less than there are classes), and each edge is
-confirmed on the full sets. Where the classes of a bucket then still lie in
-different components, the pairs between these components are confirmed too, so
-a link that does not run over a centre is not lost. Buckets with many classes
-that are not linked are cut by a second band first, instead of paired.
+confirmed on the full sets. Buckets whose classes then still lie in different
+components get stars around other centres. What is left, mostly classes that
+differ from their group in more than a fifth, is settled by an exact prefix
+join between components, so a link that runs over no centre is not lost.
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8 ** ROWS)
 ** BANDS, one in a million; all links found are exact.
@@ -43,7 +43,7 @@ from packetloom.session import materialise
 ROWS, BANDS = 5, 36
 SLOTS = ROWS * BANDS
 SIMILAR = 80  # percent
-CROWD = 50  # classes of a bucket in different components, beyond which a second band cuts it
+CENTRES = 4  # orders in which further centres are taken
 WORD_MEMORY = 500_000
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 MIX, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -164,6 +164,16 @@ def star_edges(bands: DataFrame) -> DataFrame:
     return edges.select("a", F.col("class").alias("b")).distinct()
 
 
+def more_star_edges(opened: DataFrame) -> DataFrame:
+    """Stars of open buckets around other centres: CENTRES orders of the classes give about as many centres to a group."""
+    order = F.xxhash64("class", F.pmod("band", F.lit(CENTRES)))
+    hubs = opened.groupBy("band").agg(F.min_by(F.struct("class", "size", "component"), order).alias("hub"))
+    edges = opened.join(hubs, "band").where(
+        (F.col("component") != F.col("hub.component")) & sizes_allow(F.col("size"), F.col("hub.size"))
+    )
+    return edges.select(F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")).distinct()
+
+
 def confirmed(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """The edges whose full sets are similar."""
     left = sets.select(F.col("class").alias("a"), F.col("members").alias("members_a"))
@@ -194,33 +204,38 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
     return texts.mapInArrow(set_batches, SETS).dropDuplicates(["class"])
 
 
-def unlinked_pairs(bands: DataFrame, components: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """Pairs of classes that share a bucket and lie in different components."""
-    placed = bands.join(components.withColumnRenamed("v", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
-    )
-
-    def open_buckets(rows: DataFrame) -> DataFrame:
-        split = rows.groupBy("band").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
-        )
-        return split.where("low != high")
-
-    def pairs(rows: DataFrame) -> DataFrame:
-        x = rows.select("band", F.col("class").alias("a"), F.col("component").alias("component_a"), F.col("size").alias("size_a"))
-        y = rows.select("band", F.col("class").alias("b"), F.col("component").alias("component_b"), F.col("size").alias("size_b"))
-        apart = (F.col("component_a") < F.col("component_b")) & sizes_allow(F.col("size_a"), F.col("size_b"))
-        return x.join(y, "band").where(apart).select("a", "b")
-
-    opened = materialise(placed.join(open_buckets(placed).select("band", "n"), "band"), "open-buckets")
-    few = opened.where(F.col("n") <= crowd)
-    # A pair that is similar enough shares other bands too; two bands together are a much narrower bucket.
-    second = bands.select("class", F.col("band").alias("other"))
-    many = opened.where(F.col("n") > crowd).join(second, "class").where(F.col("band") != F.col("other"))
-    many = many.withColumn("band", F.xxhash64(F.least("band", "other"), F.greatest("band", "other")))
-    many = many.select("band", "class", "component", "size").distinct()
-    many = many.join(open_buckets(many).select("band"), "band", "left_semi")
-    return pairs(few).unionAll(pairs(many)).distinct()
+def open_buckets(bands: DataFrame, components: DataFrame) -> DataFrame:
+    """The rows of buckets whose classes lie in several components, with these."""
+    placed = bands.join(components.withColumnRenamed("v", "class"), "class", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "class"))
+    split = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(split.where("low != high").select("band"), "band", "left_semi")
+
+
+def unlinked_pairs(opened: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of the classes of open buckets that lie in different components and may be similar.
+
+    A prefix join: the shingles of a class are ordered from rare to frequent,
+    and two similar sets share one among the first fifth of each. The places of
+    the shared one bound what the rest can add. In each shingle's list, the
+    classes of its commonest component are not paired among themselves.
+    """
+    classes = opened.select("class", "component").distinct()
+    members = sets.join(classes, "class").select("class", "component", F.size("members").alias("size"), F.explode("members").alias("shingle"))
+    often = members.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    ranked = members.join(often, "shingle").groupBy("class", "component", "size")
+    ranked = ranked.agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("ordered"))  # one document's shingles
+    length = F.col("size") - F.ceil(F.col("size") * SIMILAR / 100) + 1
+    prefix = ranked.select("class", "component", "size", F.posexplode(F.slice("ordered", F.lit(1), length.cast("int"))).alias("place", "s"))
+    prefix = materialise(prefix.where("s.n > 1").select("class", "component", "size", "place", "s.shingle"), "minhash-prefixes")
+    lists = prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("n"))
+    lists = lists.groupBy("shingle").agg(F.max_by("component", F.struct("n", "component")).alias("commonest"), F.count(F.lit(1)).alias("k"))
+    left = prefix.join(lists.where("k > 1"), "shingle").where(F.col("component") != F.col("commonest")).alias("x")
+    rest = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
+    enough = similar(rest, F.col("x.size"), F.col("y.size")) & sizes_allow(F.col("x.size"), F.col("y.size"))
+    pairs = left.join(prefix.alias("y"), apart & enough)
+    return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -246,9 +261,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sets = materialise(full_sets(docs, wanted, key, text), "minhash-sets")
     links = materialise(confirmed(star_edges(bands), sets), "minhash-links")
     components = connected_components(links)
-    more = materialise(confirmed(unlinked_pairs(bands, components), sets), "minhash-links")
-    if not more.isEmpty():
-        components = connected_components(links.unionAll(more))
+    for pairs in (more_star_edges, lambda opened: unlinked_pairs(opened, sets)):
+        opened = materialise(open_buckets(bands, components), "minhash-open")
+        more = materialise(confirmed(pairs(opened), sets), "minhash-links")
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            components = connected_components(links)
 
     named = classes.join(components.withColumnRenamed("v", "class"), "class", "left")
     named = named.select("set_digest", "smallest", F.coalesce("component", "class").alias("component"))

@@ -57,9 +57,8 @@ def test_equals_brute_force(spark):
     assert kept == {i for i, (_, c) in expected.items() if i == c}
 
 
-def test_a_crowd_of_unlinked_documents_is_compared_too(spark, monkeypatch):
+def test_links_inside_a_crowd_of_unlinked_documents(spark):
     """Many documents that share half their words, and one pair among them that is linked."""
-    monkeypatch.setattr(near_duplicates, "CROWD", 5)
     base = corpus.words(1, 120, 10**6)
     rows = []
     for i in range(40):
