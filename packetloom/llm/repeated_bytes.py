@@ -63,10 +63,10 @@ BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hashes of all grams of GRAM bytes, built from those of half their length."""
-    hashes, factor, step = BYTE_CODES[data], np.uint64(0x9E3779B97F4A7C15), 1
+    hashes, factor, step = BYTE_CODES[data], BYTE_CODES[:1], 1
     while step < GRAM:
         hashes = hashes[:-step] * factor + hashes[step:]
-        factor, step = factor * factor, 2 * step
+        factor, step = mixed(factor), 2 * step
     return mixed(hashes)
 
 
@@ -261,10 +261,12 @@ def repeated_runs(docs: DataFrame, key: str, text: str, scratch: Scratch) -> Dat
     table = scratch.keep(table, "anchors")
     rows = table.select("row", F.col(key).alias("key"), "digest")
     often = table.select(F.explode("gram").alias("gram")).groupBy("gram").count().where("count > 1").select("gram")
+    # Written, so that the join below shuffles both sides itself and Spark can cut a gram that many anchors have.
+    often = scratch.keep(often, "repeated-grams")
     anchors = table.select("row", F.explode(F.arrays_zip("gram", "around", "place")).alias("a")).select("row", "a.*")
     anchors = scratch.keep(anchors.join(often, "gram", "left_semi"), "repeated-anchors")
     rows = scratch.keep(rows, "rows")
-    scratch.drop("anchors")
+    scratch.drop("anchors", "repeated-grams")
 
     classes = anchors.groupBy("gram", "around").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "place")).alias("first")
