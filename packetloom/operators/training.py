@@ -11,6 +11,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from packetloom.contract import (
@@ -37,7 +38,7 @@ WEIGHT = "_weight"
 RARE = "__RARE__"
 
 MIN_CATEGORY_COUNT = 20  # fixed value: rarer categories share one feature
-MAX_CATEGORIES = 100_000  # most categories with a feature of their own
+MAX_CATEGORIES = 10_000  # default of the most categories of a column with a feature of their own
 LITERAL_CATEGORIES = 1_000  # up to this many rare categories are listed in the plan
 HOT_CATEGORIES = 100  # the most frequent categories, kept out of the rare lookup
 
@@ -173,23 +174,31 @@ class Vocabulary:
         return self.frequent[column] + ([RARE] if self.rare_counts.get(column) else [])
 
 
-def build_vocabulary(df: DataFrame, columns: Sequence[str], min_count: int = MIN_CATEGORY_COUNT) -> Vocabulary | None:
+def build_vocabulary(
+    df: DataFrame,
+    columns: Sequence[str],
+    min_count: int = MIN_CATEGORY_COUNT,
+    max_categories: int = MAX_CATEGORIES,
+) -> Vocabulary | None:
     """Split the categories at ``min_count`` rows.
 
-    Frequent categories become model features, so their number is checked
-    before they reach the driver. Rare ones may be many and stay a table.
+    The ``max_categories`` most frequent ones of each column become model
+    features and reach the driver. All others share one feature, may be many,
+    and stay a table.
     """
     if not columns:
         return None
     counted = materialise(category_frequencies(df, columns), "categories")
-    kept = counted.where(F.col("rows") >= min_count)
-    total = kept.count()
-    if total > MAX_CATEGORIES:
-        raise ValueError(f"{total} categories have {min_count} rows or more; raise min_category_count or drop columns")
+    # Spark cuts each column to its first rows before the shuffle.
+    order = W.partitionBy("column").orderBy(F.col("rows").desc(), "value")
+    kept = counted.where(F.col("rows") >= min_count).withColumn("_place", F.row_number().over(order))
+    kept = kept.where(F.col("_place") <= max_categories).drop("_place")
     frequent: dict[str, list[str]] = {c: [] for c in columns}
     for r in kept.orderBy("column", F.col("rows").desc(), "value").collect():
         frequent[r["column"]].append(r["value"])
-    rare = counted.where(F.col("rows") < min_count).select("column", "value")
+    named = kept.select("column", "value").withColumn("_kept", F.lit(True))
+    rest = join_null_safe(counted, named, ["column", "value"], "left").where(F.col("_kept").isNull())
+    rare = materialise(rest.select("column", "value"), "rare-categories")
     rare_counts = {r["column"]: r["n"] for r in rare.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     return Vocabulary(frequent, rare, rare_counts)
 

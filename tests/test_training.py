@@ -109,11 +109,12 @@ def test_one_hot_zeros_for_unknown(spark):
     assert len(training.feature_names(["n"], ["c"], vocabulary)) == 4
 
 
-def test_too_many_categories_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(training, "MAX_CATEGORIES", 2)
-    df = spark.createDataFrame([(str(i % 3),) for i in range(30)], "c string")
-    with pytest.raises(ValueError, match="categories"):
-        training.build_vocabulary(df, ["c"], 5)
+def test_categories_beyond_the_most_frequent_share_one_feature(spark):
+    df = spark.createDataFrame([("a",)] * 9 + [("b",)] * 8 + [("c",)] * 7 + [("d",)] * 2, "c string")
+    vocabulary = training.build_vocabulary(df, ["c"], 5, max_categories=2)
+    assert vocabulary.frequent == {"c": ["a", "b"]} and vocabulary.rare_counts == {"c": 2}
+    counts = {r.c: r["count"] for r in training.bucket_rare(df, vocabulary).groupBy("c").count().collect()}
+    assert counts == {"a": 9, "b": 8, training.RARE: 9}
 
 
 def test_split_is_a_partition_with_fixed_shares(spark):
