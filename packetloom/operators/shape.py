@@ -25,6 +25,7 @@ from packetloom.operators.typing import type_columns
 
 PREVIEW_LIMIT = 25
 RECORDS_PER_DOCUMENT = 100_000
+PART_SUFFIX = r"_part\d+\.json$"  # of the key of a document that holds a part of a window
 
 
 # ------------------------------------------------------------------- headers
@@ -146,7 +147,8 @@ def window_documents(
 
     ``window`` is the window start. A document is one row and must fit in
     memory, so a window with more than ``records_per_document`` records becomes
-    several documents, numbered in their keys; no record is left out.
+    several documents, numbered in their keys; no record is left out, and the
+    scoring of documents puts the parts of a window together again.
     """
     position = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
     record = F.struct(*stringify_fields(fields, records.columns))
@@ -159,7 +161,7 @@ def window_documents(
         large = placed.groupBy("_start").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > records_per_document)
         parts = F.ceil(F.col("_n") / records_per_document)
         parted = placed.join(large, "_start", "left").withColumn(
-            "_part", F.coalesce(F.pmod(F.xxhash64(*order_by), parts), F.lit(0)).cast("int")
+            "_part", F.coalesce(F.pmod(F.xxhash64(*order_by), parts) + 1, F.lit(0)).cast("int")
         )
     grouped = parted.groupBy("_start", "_part").agg(
         F.sort_array(F.collect_list(F.struct(position.alias("o"), record.alias("r")))).alias("_sorted")

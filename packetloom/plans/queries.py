@@ -1219,10 +1219,12 @@ def value_scorer(records: DataFrame, keep) -> DataFrame:
     return typed.select(*keep, probability().alias(summary.PROBABILITY))
 
 
-def stored_documents(spark, d) -> str:
+def stored_documents(spark, d, **options) -> str:
     folder = shared_folder(spark, "live")
     rows = events(spark, d).withColumn("w", F.date_trunc("hour", "ts"))
-    docs = shape.window_documents(rows, "w", ["event_id"], ["value"], window_seconds=HOUR, interface=F.lit("eth0"))
+    docs = shape.window_documents(
+        rows, "w", ["event_id"], ["value"], window_seconds=HOUR, interface=F.lit("eth0"), **options
+    )
     sinks.write_documents(docs, folder)
     return folder
 
@@ -1254,6 +1256,14 @@ def batch_window_scoring(spark, d):
     return rounded(tables.predictions.select(*STREAMED_COLUMNS))
 
 
+@query(STREAMED)
+def window_labels_split_documents(spark, d):
+    """Windows of more than five records as several documents each; their predictions are those of the whole windows."""
+    docs = read_documents(spark, stored_documents(spark, d, records_per_document=5), ["value"])
+    tables = window_job.score_documents(docs, value_scorer, RULE, at=F.lit(AT))
+    return rounded(tables.predictions.select(*STREAMED_COLUMNS))
+
+
 PACKET_WINDOWS = f"""WITH {GAPPED} SELECT strftime(c, {ISO}) AS window_start,
   ((epoch(c) - min(epoch(c)) OVER ()) / 2100 + 1)::INT AS window_id,
   records::INT AS record_count, attack_records::INT AS attack_records, {PROBS} FROM g"""

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from packetloom.contract import Thresholds
 from packetloom.functions.time import iso_text, seconds_since_window_end
-from packetloom.operators.shape import explode_records, stringify_records, windows_table, with_window_key
+from packetloom.operators.shape import PART_SUFFIX, explode_records, stringify_records, windows_table, with_window_key
 from packetloom.operators.summary import PROBABILITY, probability_summary, with_window_label
 from packetloom.sinks.tables import RunFolders, last_per_key, read_batch, upsert_batch
 from packetloom.sources.windows import stream_documents
@@ -41,7 +41,10 @@ class WindowTables:
 def keyed_documents(documents: DataFrame, batch_id: int) -> DataFrame:
     """Documents with clean records, their key, and an identity per document.
 
-    Two documents may carry the same key; the identity keeps their records apart.
+    Two documents may carry the same key; the identity keeps their records
+    apart. The parts of one window, whose keys say so, have one identity, so
+    the window's prediction does not depend on how it was cut. Parts must come
+    in one micro-batch.
     """
     placed = stringify_records(documents).withColumns(
         {"_origin": F.col("origin_file"), "_place": F.monotonically_increasing_id()}
@@ -53,6 +56,14 @@ def keyed_documents(documents: DataFrame, batch_id: int) -> DataFrame:
     name = F.when(number == 0, F.col("origin_file")).otherwise(F.format_string("%s#%d", F.col("origin_file"), number))
     unnamed = unnamed.withColumn("origin_file", F.when(F.col("origin_file").isNotNull(), name))
     keyed = with_window_key(given.unionByName(unnamed), batch_id, F.col("origin_file"))
+    part = F.col("stream_file").rlike(PART_SUFFIX)
+    keyed = keyed.withColumns(
+        {
+            "_origin": F.when(part, "").otherwise(F.col("_origin")),
+            "_place": F.when(part, -1).otherwise(F.col("_place")),
+            "stream_file": F.regexp_replace("stream_file", PART_SUFFIX, ".json"),
+        }
+    )
     meta = F.struct(*[F.col(c) for c in DOCUMENT_META], F.col("_origin").alias("origin"), F.col("_place").alias("place"))
     return keyed.withColumn("document", meta).drop("_origin", "_place")
 
@@ -130,7 +141,8 @@ def score_documents(
     # Of several documents with one key the last one stands, in all tables the same.
     predictions = predictions_table(last_per_key(flat, "stream_file", NEWEST), rule, at)
     windows = windows_table(keyed, iso_text(at), stream_dir, extra=["document.origin", "document.place"])
-    windows = last_per_key(windows, "_id", NEWEST).drop("origin", "place")
+    whole = F.sum("record_count").over(W.partitionBy("_id", "origin", "place")).cast("int")
+    windows = last_per_key(windows.withColumn("record_count", whole), "_id", NEWEST).drop("origin", "place")
     return WindowTables(windows, predictions, alerts_table(predictions))
 
 
