@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -25,6 +27,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    """One folder for an application in local mode; the caller's settings stay as they are."""
+    return tempfile.mkdtemp(prefix="packetloom-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for ``purpose`` under the one the cluster names in spark.checkpoint.dir.
 
@@ -33,10 +41,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="packetloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
