@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from itertools import compress, repeat
+from operator import is_
 
 # White space here includes the control characters 0x1C to 0x1F, which the pattern counts as symbols: fewer cuts, never more.
 CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -18,39 +20,72 @@ MEMORY = 300_000
 
 def parts_of(text: str) -> list[str]:
     """The parts of a text; all but the first have lost the one space that they start with."""
-    parts = text.split(" ")
-    if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-        return parts
     parts = CUT.split(text)
     return [parts[0]] + [p[1:] for p in parts[1:]]
 
 
+def odd(part: str) -> bool:
+    """Whether a piece between two spaces may not be a part: next to more white space a single space is no cut."""
+    return not part or len(part.strip()) < len(part)
+
+
 class PartMemory:
     """Ids of parts as bytes, for the parts of the last two generations of MEMORY parts each.
 
     What is forgotten is encoded again, so the size changes times, not results.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], size: int = MEMORY):
+    def __init__(
+        self,
+        encode: Callable[[list[str]], Iterable[bytes]],
+        size: int = MEMORY,
+        encode_plain: Callable[[list[str]], Iterable[bytes]] | None = None,
+    ):
+        """``encode_plain`` may encode parts that lost their space and have no other white space at their ends."""
         self.encode, self.size = encode, size
+        self.encode_plain = encode_plain or (lambda parts: encode([" " + p for p in parts]))
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, four bytes each."""
-        cut = [parts_of(t) for t in texts]
-        heads = list(self.encode([p[0] for p in cut]))
+        """Ids of each text, four bytes each.
+
+        Texts are first cut at all spaces. Only pieces that are not known yet
+        need a look: no odd one is ever remembered, so a text with one always
+        shows, and is cut again with care.
+        """
         if len(self.new) >= self.size:
             self.old, self.new = self.new, {}
         new = self.new
-        unknown = set()
-        for parts in cut:
-            unknown.update(parts[1:])
-        unknown.difference_update(new)
+        cut = [t.split(" ") for t in texts]
+        found, unknown = self._known(cut)
+        strange = {p for p in unknown if len(p.strip()) < len(p) or not p}
+        once: dict[str, bytes] = {}
+        if strange or any(p[0] and odd(p[0]) for p in cut):
+            for i, parts in enumerate(cut):
+                if (parts[0] and odd(parts[0])) or not strange.isdisjoint(parts):
+                    cut[i] = parts_of(texts[i])
+            found, unknown = self._known(cut)
+            at_end = [p for p in unknown if odd(p)]  # with white space at the end of a text
+            once = dict(zip(at_end, self.encode([" " + p for p in at_end])))
+            unknown.difference_update(at_end)
         if self.old:
             for p in unknown & self.old.keys():
                 new[p] = self.old[p]
             unknown.difference_update(new)
         missing = list(unknown)
-        new.update(zip(missing, self.encode([" " + p for p in missing])))
-        return [b"".join([head, *map(new.__getitem__, parts[1:])]) for head, parts in zip(heads, cut)]
+        new.update(zip(missing, self.encode_plain(missing)))
+        now_known = (new | once if once else new).__getitem__
+        texts_ids = []
+        for head, ids, parts in zip(self.encode([p[0] for p in cut]), found, cut):
+            ids[0] = head
+            texts_ids.append(b"".join([now_known(p) if i is None else i for i, p in zip(ids, parts)]))
+        return texts_ids
+
+    def _known(self, cut: list[list[str]]) -> tuple[list[list[bytes | None]], set[str]]:
+        """The ids of the parts that are remembered, and the other parts."""
+        found, unknown = [list(map(self.new.get, parts)) for parts in cut], set()
+        for parts, ids in zip(cut, found):
+            ids[0] = b""
+            unknown.update(compress(parts, map(is_, ids, repeat(None))))
+        return found, unknown

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from packetloom.llm.arrow import batch, blocks, fields, text_values
-from packetloom.llm.chunks import PartMemory
+from packetloom.llm.chunks import PartMemory, odd
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -54,37 +54,39 @@ class LibraryEncoder:
         self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)
-        self.memory = PartMemory(self.encode_parts)
+        self.memory = PartMemory(self.encode_parts, encode_plain=self.encode_plain)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def encode_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part.
-
-        Parts that end without white space may stand side by side in one text:
-        those that start with a space as they are, those that start without
-        one with a line break before them, which is a token of its own there.
-        """
+        """Ids of each part; those with white space at an end are encoded one by one."""
         found: list[bytes] = [b""] * len(parts)
-        spaced, begun, alone = [], [], []
-        for i, p in enumerate(parts):
-            if not p or p[-1].isspace() or (p[0].isspace() and p[0] != " "):
-                alone.append(i)
-            else:
-                (spaced if p[0] == " " else begun).append(i)
+        alone = [i for i, p in enumerate(parts) if odd(p)]
         for i, ids in zip(alone, self._ids([parts[i] for i in alone])):
             found[i] = np.array(ids, "<u4").tobytes()
-        for members, before in ((spaced, ""), (begun, "\n")):
-            groups = [members[k : k + TOGETHER] for k in range(0, len(members), TOGETHER)]
-            for own, ids in zip(groups, self._ids(["".join(before + parts[i] for i in g) for g in groups])):
-                numbers = np.array(ids, "<u4")
-                reached = np.cumsum(self.n_bytes[numbers])
-                ends = np.cumsum([len(before) + len(parts[i].encode()) for i in own])
-                cuts = np.searchsorted(reached, ends) + 1
-                raw = numbers.tobytes()
-                for i, start, end in zip(own, [0, *(4 * cuts[:-1]).tolist()], (4 * cuts).tolist()):
-                    found[i] = raw[start + 4 * len(before) : end]
+        plain = [i for i, p in enumerate(parts) if not odd(p)]
+        for i, ids in zip(plain, self.encode_plain([parts[i] for i in plain], "\n")):
+            found[i] = ids
+        return found
+
+    def encode_plain(self, parts: list[str], before: str = " ") -> list[bytes]:
+        """Ids of parts without white space at their ends, each with a space or after a line break.
+
+        They may stand side by side in one text. The space belongs to the part;
+        the line break is a token of its own, which is left out.
+        """
+        left_out = 4 * (before == "\n")
+        found: list[bytes] = []
+        groups = [parts[k : k + TOGETHER] for k in range(0, len(parts), TOGETHER)]
+        for own, ids in zip(groups, self._ids([before + before.join(g) for g in groups])):
+            numbers = np.array(ids, "<u4")
+            reached = np.cumsum(self.n_bytes[numbers])
+            ends = np.cumsum([1 + len(p) for p in map(str.encode, own)])
+            cuts = 4 * np.searchsorted(reached, ends) + 4
+            raw = numbers.tobytes()
+            cuts = cuts.tolist()
+            found += [raw[start + left_out : end] for start, end in zip([0, *cuts], cuts)]
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -132,7 +134,7 @@ def write_token_files(
 
     ordered = (
         docs.select(F.col(key), F.col(text))
-        .withColumn("_digest", F.md5(F.coalesce(F.col(text), F.lit(""))))
+        .withColumn("_digest", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
         .repartitionByRange(F.col(key).asc_nulls_first(), F.col("_digest"))
         .sortWithinPartitions(F.col(key).asc_nulls_first(), F.col("_digest"))
         .select(key, text)
