@@ -1,7 +1,11 @@
 """Scoring of window documents: explode, score, summarise, decide, write three keyed tables.
 
 All steps are plans over the documents; nothing is collected. The same
-function serves a stream's micro-batch and a batch of stored documents.
+functions serve a stream's micro-batch and a batch of stored documents.
+
+The parts of a large window may come in several micro-batches. Their counts per
+distinct probability are stored by micro-batch, written again if a batch is, and
+a window is summarised again from all its parts whenever a batch touches it.
 """
 
 from __future__ import annotations
@@ -19,7 +23,8 @@ from packetloom.contract import Thresholds
 from packetloom.functions.time import iso_text, seconds_since_window_end
 from packetloom.operators.shape import PART_SUFFIX, explode_records, stringify_records, windows_table, with_window_key
 from packetloom.operators.summary import PROBABILITY, probability_summary, with_window_label
-from packetloom.sinks.tables import RunFolders, last_per_key, read_batch, upsert_batch
+from packetloom.session import materialise
+from packetloom.sinks.tables import BATCH, RunFolders, batch_path, last_per_key, read_batch, upsert_batch
 from packetloom.sources.windows import stream_documents
 
 DOCUMENT_META = ["stream_file", "window_id", "window_start", "window_end", "interface", "source_path"]
@@ -43,8 +48,9 @@ def keyed_documents(documents: DataFrame, batch_id: int) -> DataFrame:
 
     Two documents may carry the same key; the identity keeps their records
     apart. The parts of one window, whose keys say so, have one identity, so
-    the window's prediction does not depend on how it was cut. Parts must come
-    in one micro-batch.
+    the window's prediction does not depend on how it was cut. ``part`` is the
+    key of such a part, null for a whole window, and ``copy`` tells apart the
+    parts that carry one key.
     """
     placed = stringify_records(documents).withColumns(
         {"_origin": F.col("origin_file"), "_place": F.monotonically_increasing_id()}
@@ -59,6 +65,8 @@ def keyed_documents(documents: DataFrame, batch_id: int) -> DataFrame:
     part = F.col("stream_file").rlike(PART_SUFFIX)
     keyed = keyed.withColumns(
         {
+            "part": F.when(part, F.col("stream_file")),
+            "copy": F.struct(F.col("_origin").alias("origin"), F.col("_place").alias("place")),
             "_origin": F.when(part, "").otherwise(F.col("_origin")),
             "_place": F.when(part, -1).otherwise(F.col("_place")),
             "stream_file": F.regexp_replace("stream_file", PART_SUFFIX, ".json"),
@@ -68,10 +76,10 @@ def keyed_documents(documents: DataFrame, batch_id: int) -> DataFrame:
     return keyed.withColumn("document", meta).drop("_origin", "_place")
 
 
-def score_records(documents: DataFrame, score: Scorer) -> DataFrame:
+def score_records(documents: DataFrame, score: Scorer, keep: Sequence[str] = ("document",)) -> DataFrame:
     """document, record_index and probability; a document without records keeps one row without probability."""
-    records = explode_records(documents, ["document"])
-    scored = score(records, ["document", "record_index"])
+    records = explode_records(documents, keep)
+    scored = score(records, [*keep, "record_index"])
     return scored.withColumn(PROBABILITY, F.when(F.col("record_index").isNotNull(), F.col(PROBABILITY)))
 
 
@@ -137,13 +145,70 @@ def score_documents(
     at = at if at is not None else F.current_timestamp()
     keyed = keyed_documents(documents, batch_id)
     summary = probability_summary(score_records(keyed, score), ["document"], rule.record, split=split)
+    windows = windows_table(keyed, iso_text(at), stream_dir, extra=["document.origin", "document.place", "part"])
+    return result_tables(summary, windows, rule, at)
+
+
+def result_tables(summary: DataFrame, windows: DataFrame, rule: Thresholds, at: Column) -> WindowTables:
+    """Of several documents with one key the last one stands, in all tables the same; parts make one document."""
     flat = summary.select("document.*", *[c for c in summary.columns if c != "document"])
-    # Of several documents with one key the last one stands, in all tables the same.
     predictions = predictions_table(last_per_key(flat, "stream_file", NEWEST), rule, at)
-    windows = windows_table(keyed, iso_text(at), stream_dir, extra=["document.origin", "document.place"])
-    whole = F.sum("record_count").over(W.partitionBy("_id", "origin", "place")).cast("int")
-    windows = last_per_key(windows.withColumn("record_count", whole), "_id", NEWEST).drop("origin", "place")
-    return WindowTables(windows, predictions, alerts_table(predictions))
+    whole = F.sum("record_count").over(W.partitionBy("_id", "window_end", "origin", "place")).cast("int")
+    windows = windows.withColumn("record_count", whole)
+    first = W.partitionBy("_id").orderBy(*[F.col(c).desc() for c in NEWEST], F.col("part").asc())
+    windows = windows.withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    return WindowTables(windows.drop("origin", "place", "part", "_n"), predictions, alerts_table(predictions))
+
+
+# ------------------------------------------------- parts over several batches
+
+
+def write_parts(parts: DataFrame, score: Scorer, folders: RunFolders, batch_id: int, at: Column, stream_dir: str) -> None:
+    """Store the parts that came in one micro-batch: a row of the windows table each, and their counts."""
+    day = F.coalesce(F.substring("document.window_start", 1, 10), F.lit("")).alias("window_day")
+    key = ["document", "part", "copy"]
+    cells = score_records(parts, score, key).groupBy(*key, PROBABILITY).agg(F.count(F.lit(1)).alias("n"))
+    rows = windows_table(parts, iso_text(at), stream_dir, extra=key)
+    for name, table in (("part_cells", cells), ("parts", rows)):
+        writer = table.select("*", day).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("window_day").parquet(batch_path(folders.table(name), batch_id))
+
+
+def known_parts(spark: SparkSession, folders: RunFolders, batch_id: int) -> tuple[DataFrame, DataFrame]:
+    """Rows and counts of all parts so far of the windows that a batch touches; of one part the newest copy."""
+
+    def stored(name: str) -> DataFrame:
+        path = folders.table(name)
+        every = spark.read.option("basePath", path).parquet(path).where(F.col(BATCH) <= batch_id)
+        return every.withColumn("window_day", F.col("window_day").cast("string"))
+
+    rows = stored("parts")
+    touched = rows.where(F.col(BATCH) == batch_id).select("window_day", "document").distinct()
+    same = ["window_day", "document"]
+    newest = W.partitionBy("document", "part").orderBy(F.col(BATCH).desc(), F.col("copy").desc())
+    rows = rows.join(touched, same, "left_semi").withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+    rows = materialise(rows, "window-parts")
+    standing = rows.select(*same, "part", "copy", BATCH)
+    return rows, stored("part_cells").join(standing, standing.columns, "left_semi")
+
+
+def score_batch(
+    documents: DataFrame, score: Scorer, rule: Thresholds, folders: RunFolders, batch_id: int, at: Column, stream_dir: str
+) -> WindowTables:
+    """The result tables of a micro-batch; parts are put together with those of earlier ones."""
+    keyed = keyed_documents(documents, batch_id)
+    parts = keyed.where(F.col("part").isNotNull())
+    if parts.isEmpty():
+        return score_documents(documents, score, rule, batch_id=batch_id, at=at, stream_dir=stream_dir)
+    write_parts(parts, score, folders, batch_id, at, stream_dir)
+    rows, cells = known_parts(documents.sparkSession, folders, batch_id)
+    whole = keyed.where(F.col("part").isNull())
+    summary = probability_summary(score_records(whole, score), ["document"], rule.record)
+    summary = summary.unionByName(probability_summary(cells, ["document"], rule.record, weight="n"))
+    extra = ["document.origin", "document.place", "part"]
+    windows = windows_table(whole, iso_text(at), stream_dir, extra=extra)
+    rows = rows.withColumn("ingested_at", iso_text(at)).select("*", *extra[:2])
+    return result_tables(materialise(summary, "windows"), windows.unionByName(rows.select(*windows.columns)), rule, at)
 
 
 def batch_writer(score: Scorer, rule: Thresholds, folders: RunFolders, stream_dir: str = "") -> Callable[[DataFrame, int], None]:
@@ -155,7 +220,7 @@ def batch_writer(score: Scorer, rule: Thresholds, folders: RunFolders, stream_di
             if kept.isEmpty():
                 return
             at = F.lit(datetime.now(timezone.utc).replace(microsecond=0))
-            tables = score_documents(kept, score, rule, batch_id=batch_id, at=at, stream_dir=stream_dir)
+            tables = score_batch(kept, score, rule, folders, batch_id, at, stream_dir)
             upsert_batch(tables.windows, folders.table("windows"), batch_id)
             upsert_batch(tables.predictions, folders.table("predictions"), batch_id)
             # Alerts come from the rows just stored, so nothing is scored twice.

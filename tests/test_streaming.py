@@ -118,3 +118,35 @@ def test_metrics_of_a_run(spark, tmp_path):
     query.awaitTermination()
     metrics = packet_job.run_metrics(query)
     assert metrics and metrics[0]["rows"] >= 1
+
+
+def test_parts_of_a_window_in_several_batches(spark, tmp_path):
+    live = tmp_path / "live"
+    folders = run_folders(str(tmp_path / "out"))
+
+    def run():
+        query = window_job.start_window_scoring(
+            spark, str(live), ["tcp.len"], scorer, RULE, folders, available_now=True, max_files_per_trigger=1
+        )
+        query.awaitTermination()
+        assert query.exception() is None
+        tables = [read_upserted(spark, folders.table(t)).collect() for t in ("predictions", "windows")]
+        return [{r["_id"]: r for r in rows} for rows in tables]
+
+    document(live, "a.json", ["0.9"] * 6 + ["0.8"], "w_part0001.json")
+    document(live, "b.json", ["0.1"] * 3, "w_part0002.json")
+    document(live, "c.json", [], "w_part0003.json")
+    document(live, "d.json", ["0.2"] * 3, "other.json")
+    predictions, windows = run()
+    assert set(predictions) == set(windows) == {"w.json", "other.json"}
+    w = predictions["w.json"]
+    assert (w.record_count, w.attack_records, w.window_pred_label, w.max_attack_probability) == (10, 7, 1, 0.9)
+    assert w.median_attack_probability == pytest.approx(0.9) and w.mean_attack_probability == pytest.approx(0.65)
+    assert windows["w.json"].record_count == 10 and predictions["other.json"].record_count == 3
+
+    # A part that comes again replaces its own records, a further one adds its own.
+    document(live, "e.json", ["0.1"] * 5, "w_part0002.json")
+    document(live, "f.json", ["0.7"], "w_part0004.json")
+    predictions, windows = run()
+    assert (predictions["w.json"].record_count, predictions["w.json"].attack_records) == (13, 8)
+    assert windows["w.json"].record_count == 13 and predictions["other.json"].record_count == 3
