@@ -16,6 +16,8 @@ from packetloom.session import materialise
 # The stages depend on models of the whole corpus and on a tokenizer, which SQL cannot state.
 ORACLE_SQL = None
 
+SHINGLE_WORDS = 2  # fixed value: the near-duplicate stage inherits op3's contract
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling draws."""
@@ -24,9 +26,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates by shingles of SHINGLE_WORDS words."""
     ship_package(spark)
-    return near_duplicates.one_of_each_group(docs)
+    return near_duplicates.one_of_each_group(docs, width=SHINGLE_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

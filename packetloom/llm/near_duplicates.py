@@ -1,6 +1,6 @@
 """Near-duplicate documents by one-permutation MinHash.
 
-The set of a document is its distinct 2-word shingles. One hash function deals
+The set of a document is its distinct shingles of ``width`` words. One hash function deals
 the shingles to SLOTS bins and the smallest hash of each bin is its value; an
 empty bin borrows the value of a bin that a second hash function picks, again
 and again until it finds one that is not empty (optimal densification). BANDS
@@ -40,6 +40,7 @@ from packetloom.llm.arrow import batch, blocks, byte_values, fields, plain_names
 from packetloom.llm.components import connected_components
 from packetloom.session import materialise
 
+WIDTH = 2  # words of a shingle by op3's contract
 ROWS, BANDS = 5, 36
 SLOTS = ROWS * BANDS
 SIMILAR = 80  # percent
@@ -73,15 +74,18 @@ class WordHashes:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def shingle_sets(hashes: WordHashes, texts: list[bytes]) -> list[np.ndarray]:
-    """The sorted hashes of each text's distinct 2-word shingles; a text of one word has that word."""
+def shingle_sets(hashes: WordHashes, texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
+    """The sorted hashes of each text's distinct shingles of ``width`` words; a shorter text is one shingle."""
     split = [t.translate(LOWER).split() for t in texts]
     code = hashes.of([w for words in split for w in words])
-    pairs = mixed(mixed(code[:-1]) + code[1:] * MIX) if len(code) else code
+    runs = [mixed(code)]  # runs[i]: hashes of i + 1 words from each place on
+    for i in range(1, width):
+        runs.append(mixed(runs[-1][:-1] + code[i:] * MIX))
     sets, at = [], 0
     for words in split:
         n = len(words)
-        sets.append(np.unique(pairs[at : at + n - 1]) if n > 1 else mixed(code[at : at + n]))
+        extra = min(n, width) - 1
+        sets.append(np.unique(runs[extra][at : at + n - extra]) if n else code[:0])
         at += n
     return sets
 
@@ -111,7 +115,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """Each row's key, digests of text and set, size of the set, and bucket keys (none for an empty set)."""
     schema = T.StructType(
         fields(docs, key)
@@ -129,7 +133,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         for b in batches:
             for own in blocks(b, 1):
                 texts = byte_values(own.column(1))
-                sets = shingle_sets(hashes, texts)
+                sets = shingle_sets(hashes, texts, width)
                 keys = [band_keys(signature(s)) for s in sets if len(s)]
                 ends = np.cumsum([0] + [BANDS if len(s) else 0 for s in sets]).astype(np.int32)
                 values = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
@@ -183,7 +187,7 @@ def confirmed(edges: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.where(similar(common, F.size("members_a"), F.size("members_b"))).select("a", "b")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """(class, members) for the wanted classes (key, text_digest, class); only their first documents are read as sets."""
     first = wanted.select(F.col("first_key").alias("_key"), F.hex("first_digest").alias("_digest"), "class")
     given = docs.select(F.col(key).alias("_own"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
@@ -195,7 +199,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
         hashes = WordHashes()
         for b in batches:
             for own in blocks(b, 1):
-                sets = shingle_sets(hashes, byte_values(own.column(1)))
+                sets = shingle_sets(hashes, byte_values(own.column(1)), width)
                 ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
                 values = pa.array(np.concatenate(sets).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(ends), values, type=kind.field("members").type)
@@ -238,9 +242,9 @@ def unlinked_pairs(opened: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """For each row: key, text_digest (md5), n_shingles, component_id, kept."""
-    signed = materialise(signatures(docs, key, text), "minhash-signatures")
+    signed = materialise(signatures(docs, key, text, width), "minhash-signatures")
     known = signed.where(F.col("n_shingles") > 0)
     # One row per distinct set; partial aggregation meets copies before the shuffle.
     classes = known.groupBy("set_digest").agg(
@@ -258,7 +262,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     bands = materialise(every.join(shared, "band", "left_semi"), "minhash-buckets")
 
     wanted = classes.join(bands.select("class").distinct(), "class", "left_semi")
-    sets = materialise(full_sets(docs, wanted, key, text), "minhash-sets")
+    sets = materialise(full_sets(docs, wanted, key, text, width), "minhash-sets")
     links = materialise(confirmed(star_edges(bands), sets), "minhash-links")
     components = connected_components(links)
     for pairs in (more_star_edges, lambda opened: unlinked_pairs(opened, sets)):
@@ -277,11 +281,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return found.unionAll(empty).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
 
-def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """The rows of ``docs`` that stand for their component; of equal rows one stays."""
     names = docs.columns
     docs, (key, text) = plain_names(docs, key, text)
-    found = near_duplicates(docs, key, text)
+    found = near_duplicates(docs, key, text, width)
     gone = found.where(~F.col("kept")).select(F.col(key).alias("_key"), F.lower(F.hex("text_digest")).alias("_digest")).distinct()
     own = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     same = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (own == F.col("_digest"))

@@ -67,7 +67,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), width=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 

@@ -98,3 +98,22 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     found = {r.v: r.component for r in connected_components(edges).collect()}
     assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_shingles_of_five_words(spark):
+    """Fifteen scattered edits in 500 words: 0.89 at two words, 0.74 at five."""
+    words = corpus.words(7, 500, 10**6)
+    rows = [(1, " ".join(words)), (3, "a b c d e f g h i j"), (4, "a b c d e f g h i j k"), (5, "x y z"), (6, "x y z"), (7, "x y w")]
+    for i in range(15):
+        words[20 + 30 * i] = f"n{i}"
+    rows.append((2, " ".join(words)))
+
+    def five(text):
+        w = text.split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets = {i: five(t) for i, t in rows}
+    expected = {i for i in sets if not any(j < i and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in sets)}
+    assert expected == {1, 2, 3, 5, 7}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in near_duplicates.one_of_each_group(docs, width=5).collect()} == expected
