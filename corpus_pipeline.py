@@ -39,7 +39,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret."""
-    return secrets.redacted(docs)
+    return secrets.redacted(docs, complete=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ string that may be a secret, an account name, an endpoint. They are linked by
 an interval join: a part reaches REACH code points to either side, and parts
 of one text whose intervals overlap are in one scope. A weak secret is
 reported if an access key or an account stands in its scope, and then the
-endpoints in its scope are reported too.
+endpoints in its scope are reported too. With ``complete``, as the query and
+the pipeline ask for, assigned values and long hex are secrets of such a link
+as well, and the accounts in the scope of a secret are reported.
 
 Positions are code points, ends exclusive. Matches of a pattern are leftmost
 and do not overlap. Null and empty texts have no spans. Repeated rows are
@@ -32,7 +34,7 @@ ENDPOINT = r"""(?:(?:https?|ftp|sftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amq
 MIXED = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 REACH = 200
 
-KINDS = ("assign", "access", "hex", "secret", "endpoint")
+KINDS = ("assign", "access", "hex", "secret", "endpoint", "account")
 SPANS = "array<struct<start:int,rank:int,end:int>>"
 SPAN_COLUMNS = ("_assign", "_access", "_hex", "_mixed", "_account", "_endpoint")
 
@@ -83,7 +85,7 @@ def none() -> Column:
     return F.array().cast(SPANS)
 
 
-def credential_parts(docs: DataFrame, text: str = "text") -> DataFrame:
+def credential_parts(docs: DataFrame, text: str = "text", complete: bool = False) -> DataFrame:
     """Add the spans of all strong and weak parts (SPAN_COLUMNS) and a digest of texts whose parts may be linked."""
 
     def long_enough(match: Column) -> Column:
@@ -101,7 +103,7 @@ def credential_parts(docs: DataFrame, text: str = "text") -> DataFrame:
             "_mixed": spans_of("_text", MIXED, 3, mixed),
         }
     )
-    some = F.size("_mixed") > 0
+    some = F.size("_mixed") + (F.size("_assign") + F.size("_hex") if complete else F.lit(0)) > 0
     found = found.withColumn("_account", F.when(some, spans_of("_text", ACCOUNT, 5)).otherwise(none()))
     linkable = some & (F.size("_access") + F.size("_account") > 0)
     return found.withColumns(
@@ -134,17 +136,20 @@ def in_scope(parts: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, same & near, "left_semi").drop("cell").distinct()
 
 
-def linked_parts(found: DataFrame, keys: list[str]) -> DataFrame:
+def linked_parts(found: DataFrame, keys: list[str], complete: bool = False) -> DataFrame:
     """Weak spans that are reported, one row for each text (``keys``) that has some."""
 
     def rows(*columns: str) -> DataFrame:
         spans = found.select(*keys, F.explode(F.concat(*[F.col(c) for c in columns])).alias("s"))
         return spans.select(*keys, "s.start", "s.rank", "s.end").distinct()
 
-    secrets = in_scope(rows("_mixed"), rows("_access", "_account"), keys)
-    endpoints = in_scope(rows("_endpoint"), secrets, keys)
+    parts = rows("_mixed", "_assign", "_hex") if complete else rows("_mixed")
+    secrets = in_scope(parts, rows("_access", "_account"), keys)
+    linked = secrets.where(F.col("rank") == 3).unionAll(in_scope(rows("_endpoint"), secrets, keys))
+    if complete:
+        linked = linked.unionAll(in_scope(rows("_account"), parts, keys))
     return (
-        secrets.unionAll(endpoints)
+        linked
         .groupBy(*keys)
         .agg(F.collect_set(F.struct("start", "rank", "end")).alias("_linked"))
     )
@@ -155,19 +160,19 @@ def free_of(spans: Column, strong: Column) -> Column:
     return F.filter(spans, lambda s: ~F.exists(strong, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
 
 
-def with_secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def with_secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", complete: bool = False) -> DataFrame:
     """Add ``_base`` and ``_spans``, the strong and all reported spans in order, to the rows of ``docs``.
 
     The parts are found once and written to the shared folder; only texts with
     parts that may be linked take part in the join.
     """
-    found = credential_parts(docs, text)
+    found = credential_parts(docs, text, complete)
     strong = F.array_sort(F.concat("_assign", "_access", "_hex"))
     found = found.withColumn("_base", strong).withColumn("_mixed", free_of(F.col("_mixed"), F.col("_base")))
     found = materialise(found, "secret-parts")
     keys = [key, "_digest"]
     linkable = found.where(F.col("_digest").isNotNull())
-    links = linked_parts(linkable, keys).withColumnRenamed(key, "_link_key").withColumnRenamed("_digest", "_link_digest")
+    links = linked_parts(linkable, keys, complete).withColumnRenamed(key, "_link_key").withColumnRenamed("_digest", "_link_digest")
     same = F.col(key).eqNullSafe(F.col("_link_key")) & (F.col("_digest") == F.col("_link_digest"))
     joined = linkable.join(links, same, "left").drop("_link_key", "_link_digest")
     alone = found.where(F.col("_digest").isNull()).withColumn("_linked", none())
@@ -182,9 +187,9 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["rank"]), s["start"], s["end"])), ",")
 
 
-def secret_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def secret_report(docs: DataFrame, key: str = "doc_id", text: str = "text", complete: bool = False) -> DataFrame:
     """For each row of ``docs``: numbers of strong spans, a digest of them, and all spans as text."""
-    found = with_secret_spans(docs.select(key, text), key, text)
+    found = with_secret_spans(docs.select(key, text), key, text, complete)
     return found.select(
         key,
         F.size("_assign").cast("long").alias("n_assign"),
@@ -195,11 +200,13 @@ def secret_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
-def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redacted(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]", complete: bool = False
+) -> DataFrame:
     """``docs`` with each run of reported spans replaced by ``mark``; other texts, and nulls, stay as they are."""
     names = docs.columns
     docs, (key, text) = plain_names(docs, key, text)
-    found = with_secret_spans(docs, key, text)
+    found = with_secret_spans(docs, key, text, complete)
     body = F.col(text)
     cut = F.aggregate(
         "_spans",

@@ -86,3 +86,29 @@ def test_patterns_mean_the_same_in_both_languages(spark, pattern):
     rows = spark.createDataFrame([(t,) for t in texts()], "t string").select("t", F.regexp_extract_all("t", F.lit(pattern), F.lit(0)).alias("m"))
     for r in rows.collect():
         assert r.m == [m[0] for m in re.finditer(pattern, r.t, re.ASCII)]
+
+
+def complete(text):
+    """As ``linked``, where assigned values and hex are secrets, too, and accounts are reported."""
+    base = strong(text)
+    mixed = [(m.start(), 3, m.end(), "secret") for m in re.finditer(secrets.MIXED, text) if all(re.search(c, m[0]) for c in ("[0-9]", "[a-z]", "[A-Z]"))]
+    mixed = [m for m in mixed if not any(overlap(m, b) for b in base)]
+    account = [(m.start(), 5, m.end(), "account") for m in re.finditer(secrets.ACCOUNT, text)]
+    endpoint = [(m.start(), 4, m.end(), "endpoint") for m in re.finditer(secrets.ENDPOINT, text)]
+    wide = lambda s: (s[0] - secrets.REACH, s[1], s[2] + secrets.REACH)
+    near = lambda a, others: any(overlap(wide(a), o) for o in others)
+    parts = mixed + [b for b in base if b[3] != "access"]
+    known = [s for s in parts if near(s, [b for b in base if b[3] == "access"] + account)]
+    return sorted(base + [s for s in known if s[3] == "secret"] + [e for e in endpoint if near(e, known)] + [a for a in account if near(a, parts)])
+
+
+def test_strong_secrets_link_endpoints_and_accounts(spark):
+    given = ["user=bob password=hunter22 host=db.example.com", "AKIA" + "A1" * 8 + " token=Abc123xyz https://host/x", "user=bob host=db.example.com"]
+    docs = spark.createDataFrame(list(enumerate(given + texts())), "doc_id long, text string")
+    rows = {r.doc_id: r for r in secrets.secret_report(docs, complete=True).collect()}
+    for r in docs.collect():
+        assert rows[r.doc_id].spans == spans(complete(r.text))
+        assert rows[r.doc_id].base_sha256 == hashlib.sha256(spans(strong(r.text)).encode()).hexdigest()
+    assert rows[0].spans == "account:0:8,assign:9:26,endpoint:27:46" and "endpoint:" in rows[1].spans and rows[2].spans == ""
+    done = {r.doc_id: r.text for r in secrets.redacted(docs, complete=True).collect()}
+    assert done[0] == "[SECRET] [SECRET] [SECRET]" and done[2] == given[2]
