@@ -38,7 +38,6 @@ WEIGHT = "_weight"
 RARE = "__RARE__"
 
 MIN_CATEGORY_COUNT = 20  # fixed value: rarer categories share one feature
-MAX_CATEGORIES = 10_000  # default of the most categories of a column with a feature of their own
 LITERAL_CATEGORIES = 1_000  # up to this many rare categories are listed in the plan
 HOT_CATEGORIES = 100  # the most frequent categories, kept out of the rare lookup
 
@@ -178,21 +177,22 @@ def build_vocabulary(
     df: DataFrame,
     columns: Sequence[str],
     min_count: int = MIN_CATEGORY_COUNT,
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
 ) -> Vocabulary | None:
     """Split the categories at ``min_count`` rows.
 
-    The ``max_categories`` most frequent ones of each column become model
-    features and reach the driver. All others share one feature, may be many,
-    and stay a table.
+    Those with as many become model features and reach the driver; with
+    ``max_categories`` only that many of each column, the most frequent ones.
+    All others share one feature, may be many, and stay a table.
     """
     if not columns:
         return None
     counted = materialise(category_frequencies(df, columns), "categories")
-    # Spark cuts each column to its first rows before the shuffle.
-    order = W.partitionBy("column").orderBy(F.col("rows").desc(), "value")
-    kept = counted.where(F.col("rows") >= min_count).withColumn("_place", F.row_number().over(order))
-    kept = kept.where(F.col("_place") <= max_categories).drop("_place")
+    kept = counted.where(F.col("rows") >= min_count)
+    if max_categories is not None:
+        # Spark cuts each column to its first rows before the shuffle.
+        order = W.partitionBy("column").orderBy(F.col("rows").desc(), "value")
+        kept = kept.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= max_categories).drop("_place")
     frequent: dict[str, list[str]] = {c: [] for c in columns}
     for r in kept.orderBy("column", F.col("rows").desc(), "value").collect():
         frequent[r["column"]].append(r["value"])
@@ -299,6 +299,7 @@ def fit_model(
     contract: FeatureContract,
     settings: TreeSettings = TreeSettings(),
     min_category_count: int = MIN_CATEGORY_COUNT,
+    max_categories: int | None = None,
 ) -> FittedModel:
     """Fit preprocessing and trees on typed rows with a label."""
     spark = typed.sparkSession
@@ -307,7 +308,7 @@ def fit_model(
         spark.sparkContext.setCheckpointDir(shared_folder(spark, "boosting"))
     numeric, categorical = contract.numeric_columns, contract.categorical_columns
     medians = column_medians(typed, numeric)
-    vocabulary = build_vocabulary(typed, categorical, min_category_count)
+    vocabulary = build_vocabulary(typed, categorical, min_category_count, max_categories)
     weight = class_weight(typed).first()["weight"]
     rows = bucket_rare(fill_medians(typed, medians), vocabulary).withColumn(
         WEIGHT, F.when(F.col(TARGET) == 1, F.lit(float(weight) or 1.0)).otherwise(F.lit(1.0))
@@ -354,6 +355,7 @@ def fit_bundle(
     *,
     settings: TreeSettings = TreeSettings(),
     min_category_count: int = MIN_CATEGORY_COUNT,
+    max_categories: int | None = None,
     threshold_strategy: str = "fixed",
     fixed_threshold: float = DEFAULT_RECORD_THRESHOLD,
     min_precision: float = 0.0,
@@ -384,7 +386,7 @@ def fit_bundle(
         return result
 
     def fit(part: DataFrame) -> FittedModel:
-        return fit_model(part, contract, settings, min_category_count)
+        return fit_model(part, contract, settings, min_category_count, max_categories)
 
     threshold, threshold_meta = fixed_threshold, {}
     if threshold_strategy != "fixed":

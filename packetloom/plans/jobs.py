@@ -72,6 +72,7 @@ class TrainOptions:
     keep_identity_payload: bool = False
     numeric_threshold: float = NUMERIC_THRESHOLD
     min_category_count: int = MIN_CATEGORY_COUNT
+    max_categories: int | None = None  # if given, only so many categories of a column have their own feature
     threshold_strategy: str = "fixed"
     fixed_threshold: float = DEFAULT_RECORD_THRESHOLD
     min_precision: float = 0.0
@@ -104,6 +105,7 @@ def train(spark: SparkSession, raw: DataFrame, model_path: str | None, options:
         contract,
         settings=options.trees,
         min_category_count=options.min_category_count,
+        max_categories=options.max_categories,
         threshold_strategy=options.threshold_strategy,
         fixed_threshold=options.fixed_threshold,
         min_precision=options.min_precision,

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from packetloom.contract import SOURCE_FILE
+from packetloom.contract import SOURCE_FILE, FeatureContract
 from packetloom.operators import training
 from packetloom.operators.summary import PROBABILITY
 from packetloom.plans import jobs
@@ -117,6 +117,21 @@ def test_categories_beyond_the_most_frequent_share_one_feature(spark):
     assert counts == {"a": 9, "b": 8, training.RARE: 9}
 
 
+def test_every_category_with_enough_rows_has_its_own_feature(spark):
+    n = 10_050
+    df = spark.range(2 * n + 3).select(F.when(F.col("id") < 2 * n, F.col("id") % n).otherwise(F.col("id")).cast("string").alias("c"))
+    vocabulary = training.build_vocabulary(df, ["c"], 2)
+    assert set(vocabulary.frequent["c"]) == {str(i) for i in range(n)} and vocabulary.rare_counts == {"c": 3}
+    assert training.bucket_rare(df, vocabulary).where(F.col("c") != training.RARE).distinct().count() == n
+
+
+def test_a_cap_on_categories_reaches_the_model(spark):
+    typed = spark.createDataFrame([("a", 1), ("b", 0), ("c", 1)] * 8, "c string, label int")
+    contract = FeatureContract(feature_columns=["c"], numeric_columns=[], categorical_columns=["c"])
+    for cap, labels in ((None, ["a", "b", "c"]), (1, ["a", training.RARE])):
+        assert training.fit_model(typed, contract, TREES, 2, cap).vocabulary.labels("c") == labels
+
+
 def test_split_is_a_partition_with_fixed_shares(spark):
     rare = F.when(F.col("id") % 400 == 0, 1).when(F.col("id") % 399 != 0, 0)
     rows = spark.range(20_000).withColumn("label", rare)
