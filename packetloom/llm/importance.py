@@ -8,8 +8,10 @@ their weights raised to a power.
 
 The n-grams are words, pairs of words, and pairs of word shapes (case, length,
 trailing signs, whether the word repeats the one before), each family in its
-own buckets. The counts of both models cover all documents; BUCKETS numbers
-of each reach the driver and go back to the tasks.
+own buckets. The counts of the raw model cover all documents, those of the
+target model the good ones among half of the label sample; BUCKETS numbers of
+each reach the driver and go back to the tasks. Good is of quality 1 and not
+toxic, for the target model and the threshold.
 
 Null and empty texts have no n-grams: their weight is 0 (log), which is
 neutral. The noise is a hash of key and text, so equal rows are drawn or left
@@ -178,7 +180,8 @@ def label_sample(labels: DataFrame, key: str, rows: int) -> DataFrame:
     own = own.groupBy(F.col(key).alias("_label_key")).agg(
         F.min("quality").alias("_quality"), F.max(F.coalesce(F.col("toxic"), F.lit(0))).alias("_toxic")
     )
-    own = own.withColumn("_place", F.xxhash64("_label_key")).orderBy("_place").limit(rows)
+    good = F.col("_label_key"), ((F.col("_quality") == 1) & (F.col("_toxic") == 0)).cast("int").alias("_good")
+    own = own.select(*good).withColumn("_place", F.xxhash64("_label_key")).orderBy("_place").limit(rows)
     return own.withColumn("_for_model", F.pmod("_place", F.lit(2)) == 0).drop("_place")
 
 
@@ -186,7 +189,7 @@ def threshold(scored: DataFrame) -> float:
     """The mean weight that best parts good from bad among labelled rows; losing a good one counts LOST times."""
     # At most BINS rows.
     place = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("_mean") - LOWEST) / BIN))).cast("int")
-    rows = scored.groupBy(place.alias("bin")).agg(F.sum("_quality").alias("good"), F.sum(1 - F.col("_quality")).alias("bad")).collect()
+    rows = scored.groupBy(place.alias("bin")).agg(F.sum("_good").alias("good"), F.sum(1 - F.col("_good")).alias("bad")).collect()
     good, bad = np.zeros(BINS), np.zeros(BINS)
     for at, g, b in rows:
         good[at], bad[at] = g, b
@@ -239,7 +242,7 @@ def fitted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     marked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(
         small, F.col("_key") == F.col("_label_key"), "left"
     )
-    is_target = F.coalesce(F.col("_for_model") & (F.col("_quality") == 1) & (F.col("_toxic") == 0), F.lit(False))
+    is_target = F.coalesce(F.col("_for_model") & (F.col("_good") == 1), F.lit(False))
     ratios = log_ratios(bucket_counts(marked.select("_text", is_target.alias("_target")), "_text", "_target"))
     scored = materialise(importance_weights(docs, ratios, [key], key, text), "importance-weights")
     unseen = scored.join(small, (F.col(key) == F.col("_label_key")) & ~F.col("_for_model"))

@@ -69,3 +69,11 @@ def test_awkward_rows(spark):
     assert rows.count() == docs.count() and rows.where("n_grams = 0 AND log_weight <> 0").count() == 0
     assert importance.resampled(corpus.empty(docs), labels).count() == 0
     assert importance.drawn_documents(corpus.empty(docs), labels).count() == 0
+
+
+def test_toxic_rows_are_not_good_for_the_threshold(spark):
+    labels = [(i, 1, 0) for i in range(20)] + [(i, 1, 1) for i in range(20, 40)] + [(i, 0, 0) for i in range(40, 60)]
+    sample = importance.label_sample(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "doc_id", 1000)
+    mean = {i: 0.5 if i < 20 else 0.1 if i < 40 else -0.5 for i, *_ in labels}
+    means = spark.createDataFrame(list(mean.items()), "doc_id long, _mean double")
+    assert 0.1 < importance.threshold(means.join(sample, means.doc_id == sample["_label_key"])) <= 0.5
