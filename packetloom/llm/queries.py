@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.llm import bpe, chat_format, decontamination, importance, near_duplicates, quality_rules, repeated_bytes, secrets
-from packetloom.llm import token_files, url_filter
+from packetloom.llm import centroid_clusters, source_divergence, token_files, toxicity, url_filter
 from packetloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,6 +135,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergences(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroid_clusters.centroid_clusters(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 # ------------------------------------------------------------------ the same in SQL
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -229,3 +245,72 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE["op12_source_divergence"] = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), words AS (
+    SELECT id, lang, source, unnest(w) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+    SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang
+), groups AS (
+    SELECT g.lang, g.source, coalesce(t.n, 0) AS total, v, s.n AS lang_total
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN sizes s USING (lang)
+        LEFT JOIN (SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL) t USING (lang, source)
+), dense AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + ((1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + v)::HUGEINT) AS p,
+        1 + ((1000000000::HUGEINT * (k.n + 1)) // (lang_total + v)::HUGEINT) AS q
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pair_sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source != b.source
+        LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+    SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM dense WHERE n > 0 AND p > q
+), placed AS (
+    SELECT *, 'pair' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS place FROM pairs
+    UNION ALL
+    SELECT *, 'term' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS place FROM terms
+)
+SELECT lang, source, part, item, value::BIGINT AS value, place::INTEGER AS rank FROM placed WHERE part = 'pair' OR place <= 200
+"""
+
+
+def _round(i: int) -> str:
+    """One round of op13: the nearest centroid of each vector, then the floored means."""
+    return f"""assigned{i} AS MATERIALIZED (
+    SELECT id, min(list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT * 16 + c) AS best
+    FROM kept CROSS JOIN centroids{i} GROUP BY id
+), sums{i} AS (
+    SELECT best % 16 AS c, place, sum(x) AS s, count(*) AS n
+    FROM (SELECT best, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM assigned{i} JOIN kept USING (id)) GROUP BY ALL
+), centroids{i + 1} AS MATERIALIZED (
+    SELECT o.c, coalesce(m.w, o.w) AS w
+    FROM centroids{i} o LEFT JOIN (SELECT c, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY place) AS w FROM sums{i} GROUP BY c) m USING (c)
+)"""
+
+
+ORACLE["op13_centroid_clusters"] = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS id, vec_id, sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS digest,
+        list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), centroids0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY digest, v) - 1 AS c, v AS w FROM (SELECT digest, v FROM kept ORDER BY digest, v LIMIT 16)
+), {", ".join(_round(i) for i in range(4))}
+SELECT vec_id, (best % 16)::INTEGER AS cluster, (best // 16)::BIGINT AS distance,
+    sum(best // 16) OVER (PARTITION BY best % 16)::BIGINT AS cluster_inertia, sum(best // 16) OVER ()::BIGINT AS inertia,
+    sha256(list_aggregate(w, 'string_agg', ',')) AS centroid_sha256
+FROM assigned3 JOIN kept USING (id) JOIN centroids3 ON c = best % 16
+"""
