@@ -10,9 +10,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packetloom.contract import (
     DEFAULT_MIN_RECORDS,
@@ -39,7 +41,8 @@ RARE = "__RARE__"
 
 MIN_CATEGORY_COUNT = 20  # fixed value: rarer categories share one feature
 LITERAL_CATEGORIES = 1_000  # up to this many rare categories are listed in the plan
-HOT_CATEGORIES = 100  # the most frequent categories, kept out of the rare lookup
+HOT_CATEGORIES = 100  # the most frequent categories, kept out of the lookups that shuffle
+ONE_HOT_LABELS = 100_000  # up to this many categories of all columns are listed in the encoders; more stay a table
 
 # Split shares in percent and seeds of the two nested splits.
 TEST_PERCENT, VALIDATION_PERCENT, SPLIT_SEED = 20, 20, 42
@@ -161,46 +164,116 @@ def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
+class StoredValues(Mapping):
+    """Categories of each column in the order of their places, read from the index when asked for."""
+
+    def __init__(self, index: DataFrame, columns: Sequence[str]):
+        self.index, self.columns, self.known = index, list(columns), {}
+
+    def __getitem__(self, column: str) -> list[str]:
+        if column not in self.columns:
+            raise KeyError(column)
+        if column not in self.known:
+            own = self.index.where(F.col("column") == column).orderBy("place").select("value")
+            self.known[column] = [r["value"] for r in own.collect()]
+        return self.known[column]
+
+    def __iter__(self):
+        return iter(self.columns)
+
+    def __len__(self) -> int:
+        return len(self.columns)
+
+
 @dataclass(frozen=True)
 class Vocabulary:
-    """Categories with a feature of their own, by falling frequency, and the table of rare ones."""
+    """Categories with a feature of their own, by falling frequency, and the table of rare ones.
 
-    frequent: dict[str, list[str]]
+    ``index`` numbers the former in each column from 0, as (column, value,
+    place). ``frequent`` lists them, which is meant for vocabularies that fit
+    the driver; ``sizes`` and ``rare_counts`` tell how many there are.
+    """
+
+    frequent: Mapping[str, list[str]]
     rare: DataFrame | None
     rare_counts: dict[str, int] = field(default_factory=dict)
+    index: DataFrame | None = None
+    sizes: dict[str, int] | None = None
+    listed: dict[str, int] | None = None  # rows of the index, where it holds only some of the categories
 
     def labels(self, column: str) -> list[str]:
         return self.frequent[column] + ([RARE] if self.rare_counts.get(column) else [])
 
+    def size(self, column: str) -> int:
+        """Categories of a column with a feature of their own; the rare ones' feature stands behind these."""
+        return self.sizes.get(column, 0) if self.sizes is not None else len(self.frequent[column])
+
+    def width(self, column: str) -> int:
+        return self.size(column) + bool(self.rare_counts.get(column))
+
+    def entries(self, column: str) -> int:
+        """Rows of a column's lookup."""
+        return (self.listed or self.sizes or {}).get(column, 0) + self.rare_counts.get(column, 0)
+
+    def hottest(self, column: str) -> list[str]:
+        """The HOT_CATEGORIES most frequent categories."""
+        if self.index is None:
+            return self.frequent[column][:HOT_CATEGORIES]
+        own = self.index.where((F.col("column") == column) & (F.col("place") < HOT_CATEGORIES))
+        return [r["value"] for r in own.orderBy("place").collect()]
+
+    def is_wide(self, columns: Sequence[str]) -> bool:
+        return sum(self.width(c) for c in columns) > ONE_HOT_LABELS
+
+    def lookup(self, column: str) -> DataFrame:
+        """(value, place) of all categories of a column, the rare ones in the place behind the others."""
+        own = self.index.where(F.col("column") == column).select("value", "place")
+        if not self.rare_counts.get(column):
+            return own
+        rare = self.rare.where(F.col("column") == column).select("value", F.lit(self.size(column)).cast("long").alias("place"))
+        return own.unionByName(rare)
+
+
+def stored_vocabulary(index: DataFrame, rare: DataFrame, columns: Sequence[str]) -> Vocabulary:
+    """The vocabulary of a stored index and rare table. One row per column reaches the driver."""
+
+    def counts(table: DataFrame) -> dict[str, int]:
+        return {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    return Vocabulary(StoredValues(index, columns), rare, counts(rare), index, counts(index))
+
 
 def build_vocabulary(
     df: DataFrame,
     columns: Sequence[str],
     min_count: int = MIN_CATEGORY_COUNT,
     max_categories: int | None = None,
+    *,
+    limit: int = ROWS_PER_TASK,
 ) -> Vocabulary | None:
-    """Split the categories at ``min_count`` rows.
+    """Split the categories at ``min_count`` rows and number those that have as many.
 
-    Those with as many become model features and reach the driver; with
-    ``max_categories`` only that many of each column, the most frequent ones.
-    All others share one feature, may be many, and stay a table.
+    They become model features; with ``max_categories`` only that many of each
+    column, the most frequent ones. All others share one feature. Both may be
+    many and stay tables; numbers are counted by ranges of the whole order.
     """
     if not columns:
         return None
     counted = materialise(category_frequencies(df, columns), "categories")
-    kept = counted.where(F.col("rows") >= min_count)
+    kept = counted.where(F.col("rows") >= min_count).withColumn("_less", -F.col("rows"))
+    numbered = with_record_index(kept, ["column"], ["_less", "value"], name="place", limit=limit)
     if max_categories is not None:
-        # Spark cuts each column to its first rows before the shuffle.
-        order = W.partitionBy("column").orderBy(F.col("rows").desc(), "value")
-        kept = kept.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= max_categories).drop("_place")
-    frequent: dict[str, list[str]] = {c: [] for c in columns}
-    for r in kept.orderBy("column", F.col("rows").desc(), "value").collect():
-        frequent[r["column"]].append(r["value"])
-    named = kept.select("column", "value").withColumn("_kept", F.lit(True))
+        numbered = numbered.where(F.col("place") < max_categories)
+    index = materialise(numbered.select("column", "value", F.col("place").cast("long").alias("place")), "category-index")
+    named = index.select("column", "value").withColumn("_kept", F.lit(True))
     rest = join_null_safe(counted, named, ["column", "value"], "left").where(F.col("_kept").isNull())
     rare = materialise(rest.select("column", "value"), "rare-categories")
-    rare_counts = {r["column"]: r["n"] for r in rare.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return Vocabulary(frequent, rare, rare_counts)
+    return stored_vocabulary(index, rare, columns)
+
+
+def no_key(df: DataFrame) -> Column:
+    """One of many keys that match no category, chosen by the row, so that no task gets all rows that need no lookup."""
+    return F.concat(F.lit("\x01"), F.pmod(F.xxhash64(*df.columns), F.lit(4096)).cast("string"))
 
 
 def bucket_rare(df: DataFrame, vocabulary: Vocabulary | None) -> DataFrame:
@@ -216,11 +289,10 @@ def bucket_rare(df: DataFrame, vocabulary: Vocabulary | None) -> DataFrame:
             values = [r["value"] for r in rare.collect()]
             df = df.withColumn(c, F.when(F.col(c).isin(values), F.lit(RARE)).otherwise(F.col(c)))
             continue
-        hot = F.col(c).isin(vocabulary.frequent[c][:HOT_CATEGORIES])
-        spread = F.concat(F.lit("\x01"), F.pmod(F.xxhash64(*df.columns), F.lit(4096)).cast("string"))
+        hot = F.col(c).isin(vocabulary.hottest(c))
         found = rare.select(F.col("value").alias("_lookup"), F.lit(True).alias("_is_rare"))
         df = (
-            df.withColumn("_lookup", F.when(hot, spread).otherwise(F.col(c)))
+            df.withColumn("_lookup", F.when(hot, no_key(df)).otherwise(F.col(c)))
             .join(found, "_lookup", "left")
             .withColumn(c, F.when(F.col("_is_rare"), F.lit(RARE)).otherwise(F.col(c)))
             .drop("_lookup", "_is_rare")
@@ -228,20 +300,66 @@ def bucket_rare(df: DataFrame, vocabulary: Vocabulary | None) -> DataFrame:
     return df
 
 
+def with_places(df: DataFrame, vocabulary: Vocabulary, columns: Sequence[str], *, listed: int = LITERAL_CATEGORIES) -> DataFrame:
+    """Add ``<column>__place``, the place of each category in its column, null where training has not seen it.
+
+    A short lookup goes to all tasks. A long one is joined as Spark plans it by
+    size, without the hottest categories: these, at most HOT_CATEGORIES, go to
+    all tasks and their rows are spread, so no task gets a hot category whole.
+    """
+    for c in columns:
+        found = vocabulary.lookup(c)
+        place = f"{c}__place"
+        keyed = found.withColumnsRenamed({"value": "_lookup", "place": place})
+        if vocabulary.entries(c) <= listed:
+            joined = df.withColumn("_lookup", F.col(c)).join(F.broadcast(keyed), "_lookup", "left")
+            df = joined.drop("_lookup")
+            continue
+        hot = vocabulary.index.where((F.col("column") == c) & (F.col("place") < HOT_CATEGORIES))
+        hot = hot.select(F.col("value").alias("_hot"), F.col("place").alias("_hot_place"))
+        marked = df.withColumn("_hot", F.col(c)).join(F.broadcast(hot), "_hot", "left").drop("_hot")
+        marked = marked.withColumn("_lookup", F.when(F.col("_hot_place").isNotNull(), no_key(df)).otherwise(F.col(c)))
+        joined = marked.join(keyed, "_lookup", "left").withColumn(place, F.coalesce("_hot_place", place))
+        df = joined.drop("_lookup", "_hot_place")
+    return df
+
+
+def place_offsets(numeric: Sequence[str], categorical: Sequence[str], vocabulary: Vocabulary) -> tuple[dict[str, int], int]:
+    """The vector position of each categorical column's first place, and the length of the vector."""
+    offsets, end = {}, len(numeric)
+    for c in categorical:
+        offsets[c], end = end, end + vocabulary.width(c)
+    return offsets, end
+
+
+def sparse_features(numeric: Sequence[str], offsets: Mapping[str, int], length: int) -> Column:
+    """The feature vector from numeric columns and places: what the one-hot stages give, without a list of categories.
+
+    Spark has no expression for a sparse vector; its JSON reader builds one.
+    """
+    places = F.filter(F.array(*[F.col(f"{c}__place") + o for c, o in offsets.items()]), lambda x: x.isNotNull())
+    numbers = F.array(*[F.col(c).cast("double") for c in numeric]).cast("array<double>")
+    parts = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(length).alias("size"),
+        F.concat(F.array(*[F.lit(i).cast("long") for i in range(len(numeric))]).cast("array<bigint>"), places).alias("indices"),
+        F.concat(numbers, F.transform(places, lambda _: F.lit(1.0))).alias("values"),
+    )
+    shape = T.StructType([T.StructField("v", VectorUDT())])
+    return F.from_json(F.to_json(F.struct(parts.alias("v"))), shape)["v"]
+
+
 def feature_stages(numeric: Sequence[str], categorical: Sequence[str], vocabulary: Vocabulary | None) -> list:
     """Index and one-hot stages and the assembler. Unknown categories become all zeros."""
     stages: list = []
     inputs = list(numeric)
     encoded = [c for c in categorical if vocabulary and vocabulary.labels(c)]
     if encoded:
-        stages.append(
-            StringIndexerModel.from_arrays_of_labels(
-                [vocabulary.labels(c) for c in encoded],
-                inputCols=encoded,
-                outputCols=[f"{c}__index" for c in encoded],
-                handleInvalid="keep",
-            )
-        )
+        # One indexer per column: lists of several columns are padded with nulls to one length on their way to the JVM.
+        stages += [
+            StringIndexerModel.from_labels(vocabulary.labels(c), inputCol=c, outputCol=f"{c}__index", handleInvalid="keep")
+            for c in encoded
+        ]
         stages.append(
             OneHotEncoder(
                 inputCols=[f"{c}__index" for c in encoded],
@@ -267,7 +385,11 @@ def feature_names(numeric: Sequence[str], categorical: Sequence[str], vocabulary
 
 @dataclass(frozen=True)
 class FittedModel:
-    """Preprocessing facts and the fitted stages."""
+    """Preprocessing facts and the fitted stages.
+
+    With a wide vocabulary the stages are the trees alone, and features come
+    from lookups in the index.
+    """
 
     numeric: list[str]
     categorical: list[str]
@@ -275,8 +397,41 @@ class FittedModel:
     vocabulary: Vocabulary | None
     stages: PipelineModel
 
+    @property
+    def trees(self):
+        return self.stages.stages[-1]
+
+    @property
+    def is_wide(self) -> bool:
+        return len(self.stages.stages) == 1
+
     def prepare(self, typed: DataFrame) -> DataFrame:
-        return bucket_rare(fill_medians(typed, self.medians), self.vocabulary)
+        filled = fill_medians(typed, self.medians)
+        if not self.is_wide:
+            return bucket_rare(filled, self.vocabulary)
+        offsets, length = place_offsets(self.numeric, self.categorical, self.vocabulary)
+        used = self.used_places()
+        split = {c: offsets[c] for c in self.categorical if used[c]}
+        # At most as many categories as the trees have nodes.
+        placed = with_places(filled, self.used_vocabulary(used), list(split), listed=max(LITERAL_CATEGORIES, *map(len, used.values())))
+        return placed.withColumn("features", sparse_features(self.numeric, split, length))
+
+    def used_places(self) -> dict[str, list[int]]:
+        """Per categorical column the places that some tree splits on."""
+        offsets, _ = place_offsets(self.numeric, self.categorical, self.vocabulary)
+        found = [int(i) for i in self.trees.featureImportances.indices]
+        ends = {c: o + self.vocabulary.width(c) for c, o in offsets.items()}
+        return {c: [i - o for i in found if o <= i < ends[c]] for c, o in offsets.items()}
+
+    def used_vocabulary(self, used: Mapping[str, list[int]]) -> Vocabulary:
+        """What scoring has to look up: categories that no tree splits on change no score."""
+        v = self.vocabulary
+        own = [(c, p) for c, places in used.items() for p in places if p < v.size(c)]
+        named = F.broadcast(v.index.sparkSession.createDataFrame(own, "column string, place long"))
+        index = v.index.join(named, ["column", "place"], "left_semi").select("column", "value", "place")
+        rare_counts = {c: n for c, n in v.rare_counts.items() if v.size(c) in used[c]}
+        listed = {c: sum(p < v.size(c) for p in places) for c, places in used.items()}
+        return Vocabulary(StoredValues(index, list(used)), v.rare, rare_counts, index, v.sizes, listed)
 
     def score(self, typed: DataFrame, keep: Sequence[str]) -> DataFrame:
         """The columns to keep and the probability of class 1. No Python runs in the tasks."""
@@ -284,10 +439,25 @@ class FittedModel:
         return scored.select(*keep, vector_to_array("probability")[1].alias(PROBABILITY))
 
     def importances(self, spark: SparkSession) -> DataFrame:
-        """(feature, importance), at most one row per vector position."""
-        values = self.stages.stages[-1].featureImportances.toArray()
-        names = feature_names(self.numeric, self.categorical, self.vocabulary)
-        return spark.createDataFrame(list(zip(names, map(float, values))), "feature string, importance double")
+        """(feature, importance), one row per vector position; only the positions of splits reach the driver."""
+        found = self.trees.featureImportances
+        own = [(int(i), float(x)) for i, x in zip(found.indices, found.values)]
+        values = spark.createDataFrame(own, "position long, importance double")
+        names = [(i, f"num__{c}") for i, c in enumerate(self.numeric)]
+        offsets, _ = place_offsets(self.numeric, self.categorical, self.vocabulary) if self.vocabulary else ({}, 0)
+        names += [
+            (offsets[c] + self.vocabulary.size(c), f"cat__{c}_{RARE}")
+            for c in self.categorical
+            if self.vocabulary and self.vocabulary.rare_counts.get(c)
+        ]
+        named = spark.createDataFrame(names, "position long, feature string")
+        if self.vocabulary:
+            first = spark.createDataFrame(list(offsets.items()), "column string, first long")
+            places = self.vocabulary.index.join(F.broadcast(first), "column")
+            named = named.unionByName(
+                places.select((F.col("first") + F.col("place")).alias("position"), F.concat(F.lit("cat__"), "column", F.lit("_"), "value").alias("feature"))
+            )
+        return named.join(values, "position", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
 
 
 def top_importances(importances: DataFrame, limit: int = 25) -> DataFrame:
@@ -310,7 +480,7 @@ def fit_model(
     medians = column_medians(typed, numeric)
     vocabulary = build_vocabulary(typed, categorical, min_category_count, max_categories)
     weight = class_weight(typed).first()["weight"]
-    rows = bucket_rare(fill_medians(typed, medians), vocabulary).withColumn(
+    rows = fill_medians(typed, medians).withColumn(
         WEIGHT, F.when(F.col(TARGET) == 1, F.lit(float(weight) or 1.0)).otherwise(F.lit(1.0))
     )
     trees = GBTClassifier(
@@ -326,10 +496,18 @@ def fit_model(
         maxBins=settings.bins,
         seed=settings.seed,
     )
-    encoders = Pipeline(stages=feature_stages(numeric, categorical, vocabulary)).fit(rows)
+    if vocabulary and vocabulary.is_wide(categorical):
+        encoders = []
+        offsets, length = place_offsets(numeric, categorical, vocabulary)
+        placed = with_places(rows, vocabulary, categorical)
+        encoded = placed.withColumn("features", sparse_features(numeric, offsets, length))
+    else:
+        bucketed = bucket_rare(rows, vocabulary)
+        fitted = Pipeline(stages=feature_stages(numeric, categorical, vocabulary)).fit(bucketed)
+        encoders, encoded = fitted.stages, fitted.transform(bucketed)
     # The trees pass over their input many times; all of it reads this compact table.
-    vectors = materialise(encoders.transform(rows).select(TARGET, WEIGHT, "features"), "vectors")
-    stages = PipelineModel(stages=[*encoders.stages, trees.fit(vectors)])
+    vectors = materialise(encoded.select(TARGET, WEIGHT, "features"), "vectors")
+    stages = PipelineModel(stages=[*encoders, trees.fit(vectors)])
     return FittedModel(list(numeric), list(categorical), medians, vocabulary, stages)
 
 
@@ -436,10 +614,7 @@ def save_bundle(bundle: Bundle, path: str, spark: SparkSession) -> None:
     )
     vocabulary = bundle.model.vocabulary
     if vocabulary:
-        order = [(c, v, i) for c, values in vocabulary.frequent.items() for i, v in enumerate(values)]
-        spark.createDataFrame(order, "column string, value string, place int").write.mode("overwrite").parquet(
-            f"{path}/frequent"
-        )
+        vocabulary.index.write.mode("overwrite").parquet(f"{path}/frequent")
         vocabulary.rare.write.mode("overwrite").parquet(f"{path}/rare")
     importances = bundle.model.importances(spark)
     importances.orderBy(F.col("importance").desc(), "feature").coalesce(1).write.mode("overwrite").option(
@@ -451,12 +626,8 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
     contract = FeatureContract.from_json(spark.read.text(f"{path}/contract", wholetext=True).first()["value"].strip())
     vocabulary = None
     if contract.categorical_columns:
-        frequent: dict[str, list[str]] = {c: [] for c in contract.categorical_columns}
-        for r in spark.read.parquet(f"{path}/frequent").orderBy("column", "place").collect():
-            frequent[r["column"]].append(r["value"])
-        rare = spark.read.parquet(f"{path}/rare")
-        counts = {r["column"]: r["count"] for r in rare.groupBy("column").count().collect()}
-        vocabulary = Vocabulary(frequent, rare, counts)
+        tables = (spark.read.parquet(f"{path}/{name}") for name in ("frequent", "rare"))
+        vocabulary = stored_vocabulary(*tables, contract.categorical_columns)
     model = FittedModel(
         contract.numeric_columns,
         contract.categorical_columns,

@@ -666,7 +666,12 @@ def describe_probability_narrowed(spark, d):
 
 
 @query(
-    """SELECT 'missing' AS state, 'udp_port' AS feature UNION ALL SELECT 'all_empty', 'empty_field'"""
+    """WITH found AS (SELECT count(event_type) AS event_type, count(value) AS value,
+  count(nullif(nullif(lower(trim(' n/a ')), 'n/a'), '')) AS empty_field FROM events),
+  wanted AS (SELECT unnest(['event_type', 'value', 'empty_field', 'udp_port']) AS feature),
+  counted AS (SELECT feature, n FROM (UNPIVOT found ON event_type, value, empty_field INTO NAME feature VALUE n))
+  SELECT CASE WHEN n IS NULL THEN 'missing' ELSE 'all_empty' END AS state, feature
+  FROM wanted LEFT JOIN counted USING (feature) WHERE coalesce(n, 0) = 0"""
 )
 def feature_coverage(spark, d):
     rows = events(spark, d).select("event_type", "value", F.lit(" n/a ").alias("empty_field"))
@@ -977,6 +982,33 @@ def rare_categories(spark, d):
     return training.bucket_rare(rows, training.build_vocabulary(rows, CATEGORIES, BUCKET_MIN))
 
 
+SQL_INDEX = f"""{SQL_VOCABULARY}, i AS (SELECT "column", value,
+  row_number() OVER (PARTITION BY "column" ORDER BY rows DESC, value) - 1 AS place FROM v WHERE rows >= {BUCKET_MIN})"""
+
+
+def sql_place(c: str) -> str:
+    known = f"SELECT place FROM i WHERE i.\"column\" = '{c}' AND i.value = k.{c}"
+    return f"coalesce(({known}), (SELECT count(*) FROM i WHERE i.\"column\" = '{c}'))::BIGINT AS {c}_place"
+
+
+@query(f'WITH {SQL_INDEX} SELECT "column", value, place FROM i')
+def category_index(spark, d):
+    """Categories numbered by ranges of the whole order."""
+    return training.build_vocabulary(category_rows(spark, d), CATEGORIES, BUCKET_MIN, limit=50).index
+
+
+@query(
+    f"""WITH {SQL_INDEX}, k AS (SELECT event_id, {sql_category('event_type')} AS event_type, {sql_category('raw')} AS raw,
+  user_id::VARCHAR AS user_id FROM r) SELECT event_id, {', '.join(sql_place(c) for c in CATEGORIES)} FROM k"""
+)
+def encoded_categories(spark, d):
+    """Every category as its place in its column, by the joins for long lookups."""
+    rows = category_rows(spark, d)
+    vocabulary = training.build_vocabulary(rows, CATEGORIES, BUCKET_MIN)
+    placed = training.with_places(rows, vocabulary, CATEGORIES, listed=0)
+    return placed.select("event_id", *[F.col(f"{c}__place").alias(f"{c}_place") for c in CATEGORIES])
+
+
 def training_rows(spark, d) -> DataFrame:
     """Events as labelled packet rows: every column is text."""
     return raw_events(spark, d).select(

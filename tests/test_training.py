@@ -163,3 +163,65 @@ def test_user_function_scores_in_batches(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "a double, b double")
     scored = training.score_with_function(df, ["a", "b"], lambda f: (f["a"] + f["b"]) / 10, ["a"])
     assert [tuple(r) for r in scored.orderBy("a").collect()] == [(1.0, 0.3), (3.0, 0.7)]
+
+
+def wide_rows(spark):
+    """A hot category, many frequent ones, rare ones and a second column; the label hangs on both."""
+    c = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 97 == 1, F.concat(F.lit("r"), "id")).otherwise((F.col("id") % 40).cast("string"))
+    label = ((F.col("id") % 40 < 7) | (F.col("d") == "x")).cast("int")
+    rows = spark.range(6000).select("id", c.alias("c"), F.when(F.col("id") % 5 == 0, "x").otherwise("y").alias("d"), (F.col("id") % 11 * 1.0).alias("n"))
+    return rows.withColumn("label", label)
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_places_equal_labels(spark, listed):
+    rows = wide_rows(spark)
+    vocabulary = training.build_vocabulary(rows, ["c", "d"], 20)
+    split = training.build_vocabulary(rows, ["c", "d"], 20, limit=7)
+    assert {c: vocabulary.labels(c) for c in "cd"} == {c: split.labels(c) for c in "cd"} and vocabulary.labels("c")[0] == "hot"
+    more = rows.select("id", "c", "d", "n").union(spark.createDataFrame([(-1, "never seen", None, 0.0)], "id long, c string, d string, n double"))
+    placed = training.with_places(more, split, ["c", "d"], listed=listed)
+    assert placed.columns == [*more.columns, "c__place", "d__place"]
+    for c in "cd":
+        place = {v: i for i, v in enumerate(vocabulary.frequent[c])}
+        for r in placed.select(c, f"{c}__place", "id").collect():
+            rare = len(place) if r.id >= 0 else None
+            assert r[1] == place.get(r[0], rare), r
+
+
+def test_sparse_features_equal_the_one_hot_stages(spark):
+    from pyspark.ml import Pipeline
+
+    rows = wide_rows(spark)
+    vocabulary = training.build_vocabulary(rows, ["c", "d"], 20)
+    bucketed = training.bucket_rare(rows, vocabulary)
+    model = Pipeline(stages=training.feature_stages(["n"], ["c", "d"], vocabulary)).fit(bucketed)
+    a = {r.id: r.features.toArray().tolist() for r in model.transform(bucketed).collect()}
+    offsets, length = training.place_offsets(["n"], ["c", "d"], vocabulary)
+    placed = training.with_places(rows, vocabulary, ["c", "d"])
+    b = placed.select("id", training.sparse_features(["n"], offsets, length).alias("features")).collect()
+    assert {r.id: r.features.toArray().tolist() for r in b} == a
+    assert length == len(training.feature_names(["n"], ["c", "d"], vocabulary))
+
+
+def test_a_wide_vocabulary_scores_alike(spark, monkeypatch, tmp_path):
+    """The same trees from one-hot stages and from lookups; loading lists no category on the driver."""
+    contract = FeatureContract(feature_columns=["n", "c", "d"], numeric_columns=["n"], categorical_columns=["c", "d"])
+    rows = wide_rows(spark).coalesce(1)
+    narrow = training.fit_model(rows, contract, TREES, 20)
+    monkeypatch.setattr(training, "ONE_HOT_LABELS", 3)
+    wide = training.fit_model(rows, contract, TREES, 20)
+    assert wide.is_wide and not narrow.is_wide
+
+    def scores(model):
+        found = model.score(rows, ["id"])
+        assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+        return {r.id: r[PROBABILITY] for r in found.collect()}
+
+    assert scores(wide) == pytest.approx(scores(narrow))
+    named = [{r.feature: r.importance for r in m.importances(spark).collect()} for m in (wide, narrow)]
+    assert named[0] == pytest.approx(named[1]) and len(named[0]) == len(training.feature_names(["n"], ["c", "d"], wide.vocabulary))
+    training.save_bundle(training.Bundle(contract.with_values(medians=wide.medians), wide), str(tmp_path / "b"), spark)
+    monkeypatch.setattr(training.StoredValues, "__getitem__", lambda *_: pytest.fail("a value list reached the driver"))
+    loaded = training.load_bundle(spark, str(tmp_path / "b")).model
+    assert scores(loaded) == pytest.approx(scores(wide))
