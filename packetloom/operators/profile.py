@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packetloom.contract import SOURCE_FILE, FeatureContract
 from packetloom.functions.text import (
@@ -228,24 +229,59 @@ def profile_facts(df: DataFrame, columns: Sequence[str], limit: int) -> list[tup
 def first_values(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
     """The first values of each column that are not missing, in row order, joined as text.
 
-    One top-k per column: a task keeps SAMPLE_VALUES rows and reads only the
-    order columns and that one column.
+    One scan, whatever the number of columns: a task keeps SAMPLE_VALUES values
+    of each column with their places in the order, and what the tasks kept is
+    cut once more. Rows in the same place are ordered by the value's text.
     """
     spark = df.sparkSession
     if not columns:
         return spark.createDataFrame([], f"column string, {name} string")
-    order = ", ".join(quoted(o) for o in order_by)
-
     types = dict(df.dtypes)
 
-    def top(c: str) -> str:
+    def shown(i: int, c: str) -> str:
         value, text = quoted(c), text_of(c)
         kept = f"nullif({value}, double('nan')) IS NOT NULL" if holds_numbers(types, c) else f"NOT {missing_sql(text)}"
-        first = f"SELECT {order}, {text} AS _value FROM {{df}} WHERE {kept} ORDER BY {order} LIMIT {SAMPLE_VALUES}"
-        values = f"transform(sort_array(collect_list(struct({order}, _value))), p -> {strip_sql('p._value')})"
-        return f"SELECT {literal(c)} AS column, array_join({values}, ' | ') AS {name} FROM ({first})"
-
-    return spark.sql(" UNION ALL ".join(top(c) for c in columns), df=df)
+        return f"if({kept}, {text}, NULL) AS v{i}"
+
+    def place(i: int, o: str) -> list[str]:
+        """Null first and NaN last, as Spark sorts, for a sorter that puts both last."""
+        value = quoted(o)
+        if types[o] in ("float", "double"):
+            return [f"CASE WHEN {value} IS NULL THEN 0 WHEN isnan({value}) THEN 2 ELSE 1 END AS f{i}", f"nullif({value}, double('nan')) AS o{i}"]
+        whole = f"cast({value} AS int)" if types[o] == "boolean" else value
+        return [f"if({value} IS NULL, 0, 1) AS f{i}", f"{whole} AS o{i}"]
+
+    given = df.selectExpr(*[e for i, o in enumerate(order_by) for e in place(i, o)], *[shown(i, c) for i, c in enumerate(columns)])
+    keys = [c for i in range(len(order_by)) for c in (f"f{i}", f"o{i}")]
+    n, limit = len(columns), SAMPLE_VALUES
+    shape = T.StructType([T.StructField("i", T.IntegerType()), *[given.schema[k] for k in keys], T.StructField("v", T.StringType())])
+
+    def first_of_task(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kept = [None] * n
+        by = [(k, "ascending") for k in [*keys, "v"]]
+        for b in batches:
+            places = [b.column(k) for k in keys]
+            for i in range(n):
+                values = b.column(f"v{i}")
+                if values.null_count == len(values):
+                    continue
+                own = pa.Table.from_arrays([*places, values], names=[*keys, "v"]).filter(pc.is_valid(values))
+                own = pa.concat_tables([kept[i], own]) if kept[i] is not None else own
+                kept[i] = own.take(pc.select_k_unstable(own, limit, by)) if own.num_rows > limit else own
+        for i, own in enumerate(kept):
+            if own is not None:
+                numbered = own.add_column(0, "i", pa.array([i] * own.num_rows, pa.int32()))
+                yield from numbered.combine_chunks().to_batches()
+
+    order = ", ".join([*keys, "v"])
+    first = given.mapInArrow(first_of_task, shape).selectExpr("*", f"row_number() OVER (PARTITION BY i ORDER BY {order}) AS n").where(f"n <= {limit}")
+    names = spark.createDataFrame(list(enumerate(columns)), "i int, column string")
+    joined = f"array_join(transform(sort_array(collect_list(struct(n, v))), p -> {strip_sql('p.v')}), ' | ') AS {name}"
+    # One row per column.
+    return first.groupBy("i").agg(F.expr(joined)).join(F.broadcast(names), "i").select("column", name)
 
 
 def compare_profiles(left: DataFrame, right: DataFrame, prefixes: tuple[str, str] = ("edge", "local")) -> DataFrame:

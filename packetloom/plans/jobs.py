@@ -125,7 +125,9 @@ def extract(
     configure(spark)
     requested = header_or_default(spark, template_csv)
     rows, report = ingest(spark, folder, requested, pattern=pattern)
-    rows.write.mode("overwrite").option("header", "true").partitionBy(SOURCE_FILE).csv(output)
+    # Quotes are doubled, as every reader here expects them.
+    writer = rows.write.mode("overwrite").option("header", "true").option("escape", '"')
+    writer.partitionBy(SOURCE_FILE).csv(output)
     return report
 
 
@@ -135,7 +137,7 @@ def read_extracted(spark: SparkSession, folder: str) -> DataFrame:
     first = list_files(spark, folder, "*.csv", recursive=True).select("path").first()["path"]
     header = header_or_default(spark, first, names)
     schema = ", ".join(f"`{n}` string" for n in [*header, SOURCE_FILE])
-    return spark.read.schema(schema).option("header", "true").csv(folder)
+    return spark.read.schema(schema).option("header", "true").option("escape", '"').csv(folder)
 
 
 @dataclass(frozen=True)

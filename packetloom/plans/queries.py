@@ -750,10 +750,10 @@ def union_by_name(spark, d):
 RECORD_FIELDS = ["event_id", "event_type", "raw", "absent"]
 
 
-def documents(spark, d) -> DataFrame:
+def documents(spark, d, **options) -> DataFrame:
     rows = raw_events(spark, d).withColumn("w", F.date_trunc("hour", "ts"))
     return shape.window_documents(
-        rows, "w", ["event_id"], RECORD_FIELDS, window_seconds=HOUR, interface=F.lit("eth0"), stream_dir="/live"
+        rows, "w", ["event_id"], RECORD_FIELDS, window_seconds=HOUR, interface=F.lit("eth0"), stream_dir="/live", **options
     )
 
 
@@ -783,7 +783,7 @@ def record_text(records: str) -> Column:
   '' AS unsupported_tshark_fields, {sql_record_text('records')} AS records FROM docs"""
 )
 def window_documents(spark, d):
-    return documents(spark, d).withColumns(
+    return documents(spark, d).drop("first_record").withColumns(
         {"records": record_text("records"), "unsupported_tshark_fields": joined(F.col("unsupported_tshark_fields"))}
     )
 
@@ -797,6 +797,14 @@ def records_explode(spark, d):
     return shape.explode_records(shape.stringify_records(documents(spark, d)), ["stream_file"])
 
 
+@query(ORACLE["records_explode"])
+def records_explode_split(spark, d):
+    """Windows of more than five records as several documents: the same records with the same numbers."""
+    docs = shape.stringify_records(documents(spark, d, records_per_document=5, limit=300))
+    whole = F.regexp_replace("stream_file", shape.PART_SUFFIX, ".json")
+    return shape.explode_records(docs.withColumn("stream_file", whole), ["stream_file"])
+
+
 @query(
     f"""WITH {DOCS} SELECT stream_file AS _id, window_id, window_start, window_end, interface, source_path, stream_file,
   window_seconds, record_count, capture_filter, display_filter, '' AS unsupported_tshark_fields,
@@ -1197,6 +1205,23 @@ def csv_round_trip(spark, d):
     return back.select("event_id", parse_numeric("raw").alias("raw"), "event_type", "payload")
 
 
+@query(
+    """SELECT event_id::VARCHAR AS mqtt_len, 'say "' || event_type || '", no' AS mqtt_msg, coalesce(value::VARCHAR, '') AS tcp_len
+  FROM events"""
+)
+def extract_round_trip(spark, d):
+    """Quotes and commas through a CSV folder, the extraction job and a plain CSV read of its output."""
+    from packetloom.plans import jobs
+
+    given, stored = shared_folder(spark, "given"), shared_folder(spark, "extracted")
+    message = F.concat(F.lit('say "'), "event_type", F.lit('", no')).alias("mqtt.msg")
+    rows = events(spark, d).select(F.col("event_id").alias("mqtt.len"), message, F.col("value").alias("tcp.len"))
+    sinks.write_table(rows, given)
+    jobs.extract(spark, given, stored)
+    back = csv_source.read_many(spark, stored, recursive=True)
+    return back.select("mqtt_len", "mqtt_msg", F.coalesce(F.col("tcp_len").cast("double").cast("string"), F.lit("")).alias("tcp_len"))
+
+
 @query(
     """SELECT event_type AS source_file, count(*) AS rows, 0::BIGINT AS corrupt_rows, 'ok' AS status FROM events GROUP BY event_type"""
 )

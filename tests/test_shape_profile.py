@@ -38,6 +38,45 @@ def test_large_windows_become_several_documents(spark):
     assert {r.f for r in first.records} == {"", "v"} and first.stream_file == "window_000000_20240101_000000.json"
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 70])
+def test_parts_are_the_window_in_order(spark, limit):
+    """Equal order values and rows, a null window and a window that fits: the parts one after the other are the whole window."""
+    rows = [("2024-01-01 00:00:00", i // 300, f"v{i % 7}") for i in range(900)] + [("2024-01-01 01:00:00", i, "x") for i in range(30)]
+    df = spark.createDataFrame([*rows, *[(None, 1, None)] * 60], "w string, i int, f string").withColumn("w", F.to_timestamp("w"))
+
+    def build(records):
+        return shape.window_documents(df, "w", ["i"], ["i", "f"], window_seconds=3600, records_per_document=records, limit=limit)
+
+    whole, parts = ({(d.window_start, d.first_record): d.records for d in build(n).collect()} for n in (10_000, 40))
+    assert max(map(len, parts.values())) == 40 and len(parts) == 23 + 1 + 2
+    for start, first in whole:
+        assert first == 0
+        own = sorted((f, records) for (s, f), records in parts.items() if s == start)
+        assert [f for f, _ in own] == [40 * i for i in range(len(own))]
+        assert [r for _, records in own for r in records] == whole[start, 0]
+    numbers = {(r.window_start, r.record_index) for r in shape.explode_records(build(40), ["window_start"]).collect()}
+    assert numbers == {(start, i) for (start, _), records in whole.items() for i in range(len(records))}
+
+
+def test_first_values_of_all_columns(spark):
+    """Nulls first and NaN last in the order, ties by text, missing words and NaN values left out, numbers as text."""
+    nan = float("nan")
+    places = [3.0, None, nan, 1.0, 1.0, 2.0, None, 0.5, nan, 7.0]
+    rows = [(p, i % 4, None if i % 3 == 0 else f" t{9 - i} ", nan if i < 8 else float(i), "n/a") for i, p in enumerate(places)]
+    df = spark.createDataFrame(rows, "p double, k int, t string, x double, gone string").repartition(3)
+    found = {r["column"]: r.v for r in profile.first_values(df, ["t", "x", "gone", "k"], ["p"], "v").collect()}
+
+    def place(p):
+        return (0, 0) if p is None else (2, 0) if p != p else (1, p)
+
+    def first(shown):
+        return " | ".join(v.strip() for _, v in sorted((place(p), v) for p, v in shown)[:5])
+
+    assert found["t"] == first([(r[0], r[2]) for r in rows if r[2] is not None])
+    assert found["k"] == first([(r[0], str(r[1])) for r in rows])
+    assert found["x"].split(" | ") == ["9.0", "8.0"] and "gone" not in found
+
+
 def test_records_with_nulls(spark):
     schema = "k string, records array<struct<a: string, b: int>>"
     df = spark.createDataFrame([("x", [("1", None), None]), ("empty", []), ("null", None)], schema)
