@@ -20,7 +20,7 @@ from packetloom.contract import (
 )
 from packetloom.functions.text import text_or_blank
 from packetloom.functions.time import fallback_window_key, iso_text, window_key
-from packetloom.operators.distribution import fits_one_task
+from packetloom.operators.distribution import ROWS_PER_TASK, fits_one_task, join_null_safe, with_record_index
 from packetloom.operators.typing import type_columns
 
 PREVIEW_LIMIT = 25
@@ -142,37 +142,43 @@ def window_documents(
     display_filter: str = "",
     window_id: Column | None = None,
     records_per_document: int = RECORDS_PER_DOCUMENT,
+    limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """One document per capture window with its records nested in row order.
 
     ``window`` is the window start. A document is one row and must fit in
     memory, so a window with more than ``records_per_document`` records becomes
     several documents, numbered in their keys; no record is left out, and the
-    scoring of documents puts the parts of a window together again.
+    scoring of documents puts the parts of a window together again. Parts are
+    cut by the record's number in its window, wherever rows are equal, and
+    ``first_record`` is the number of a document's first one: the parts' records
+    one after the other are those of the whole window.
     """
     position = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
     record = F.struct(*stringify_fields(fields, records.columns))
-    end = F.col("_start") + F.make_dt_interval(secs=F.lit(window_seconds))
-    placed = records.withColumn("_start", F.col(window))
+    end = F.col("_window") + F.make_dt_interval(secs=F.lit(window_seconds))
+    placed = records.select(F.col(window).alias("_window"), position.alias("_at"), record.alias("_record"))
     if fits_one_task(records, records_per_document):
-        parted = placed.withColumn("_part", F.lit(0))
+        parted = placed.withColumns({"_part": F.lit(0), "_first": F.lit(0)})
     else:
         # The list of large windows is short; Spark sees its real size before it picks the join.
-        large = placed.groupBy("_start").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > records_per_document)
-        parts = F.ceil(F.col("_n") / records_per_document)
-        parted = placed.join(large, "_start", "left").withColumn(
-            "_part", F.coalesce(F.pmod(F.xxhash64(*order_by), parts) + 1, F.lit(0)).cast("int")
-        )
-    grouped = parted.groupBy("_start", "_part").agg(
-        F.sort_array(F.collect_list(F.struct(position.alias("o"), record.alias("r")))).alias("_sorted")
+        large = placed.groupBy("_window").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > records_per_document)
+        marked = join_null_safe(placed, large, ["_window"], "left")
+        whole = marked.where(F.col("_n").isNull()).withColumns({"_part": F.lit(0), "_first": F.lit(0)})
+        ranked = with_record_index(marked.where(F.col("_n").isNotNull()), ["_window"], ["_at", "_record"], name="_rank", limit=limit)
+        part = F.floor(F.col("_rank") / records_per_document).cast("int")
+        cut = ranked.withColumns({"_part": part + 1, "_first": (part * records_per_document).cast("int")})
+        parted = whole.select(*placed.columns, "_part", "_first").unionByName(cut.select(*placed.columns, "_part", "_first"))
+    grouped = parted.groupBy("_window", "_part", "_first").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_at").alias("o"), F.col("_record").alias("r")))).alias("_sorted")
     )
     number = window_id if window_id is not None else F.lit(0)
     suffix = F.format_string("_part%04d.json", F.col("_part"))
-    whole = window_key(number, F.col("_start"))
+    whole = window_key(number, F.col("_window"))
     key = F.when(F.col("_part") > 0, F.replace(whole, F.lit(".json"), suffix)).otherwise(whole)
     return grouped.select(
         number.cast("int").alias("window_id"),
-        iso_text(F.col("_start")).alias("window_start"),
+        iso_text(F.col("_window")).alias("window_start"),
         iso_text(end).alias("window_end"),
         (interface if interface is not None else F.lit("")).alias("interface"),
         (source_path if source_path is not None else F.lit("live_capture")).alias("source_path"),
@@ -184,6 +190,7 @@ def window_documents(
         F.lit(display_filter).alias("display_filter"),
         (unsupported if unsupported is not None else F.array().cast("array<string>")).alias("unsupported_tshark_fields"),
         F.transform("_sorted", lambda s: s["r"]).alias("records"),
+        F.col("_first").alias("first_record"),
     )
 
 
@@ -241,11 +248,13 @@ def windows_table(
 
 
 def explode_records(documents: DataFrame, keep: Sequence[str], records: str = "records") -> DataFrame:
-    """One row per record with its 0-based position; a window without records keeps one null row."""
+    """One row per record with its 0-based position in its window; a window without records keeps one null row."""
     element = documents.schema[records].dataType.elementType
-    exploded = documents.select(*keep, F.posexplode_outer(records).alias("record_index", "_record"))
+    first = F.coalesce(F.col("first_record"), F.lit(0)) if "first_record" in documents.columns else F.lit(0)
+    exploded = documents.select(*keep, first.alias("_first"), F.posexplode_outer(records).alias("_position", "_record"))
+    index = (F.col("_first") + F.col("_position")).alias("record_index")
     return exploded.select(
-        *keep, "record_index", *[F.col("_record").getField(f.name).alias(spark_name(f.name)) for f in element.fields]
+        *keep, index, *[F.col("_record").getField(f.name).alias(spark_name(f.name)) for f in element.fields]
     )
 
 

@@ -21,6 +21,7 @@ DOCUMENT_FIELDS = [
     T.StructField("capture_filter", T.StringType()),
     T.StructField("display_filter", T.StringType()),
     T.StructField("unsupported_tshark_fields", T.ArrayType(T.StringType())),
+    T.StructField("first_record", T.IntegerType()),  # number of the first record in its window; absent means 0
 ]
 
 
