@@ -8,7 +8,8 @@ Row groups and pages are kept small and every page is in the page index, so a
 reader of the numbers alone touches few bytes, and a reader of some documents
 only their pages. A manifest, one row per part, holds where each part starts.
 
-A null text has no ids of its own. Null keys come first. Rows with equal keys
+Ids are those of the plain library call on each whole text, which turns the
+string of an added token into that token. A null text has no ids of its own. Null keys come first. Rows with equal keys
 are ordered by a digest of their text; equal rows stay as they are. Empty
 tables give empty files.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -45,8 +47,13 @@ class LibraryEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
         from tokenizers import Tokenizer
 
+        # What the library does with a whole text, for the few that hold the string of an added token.
+        self.plain = Tokenizer.from_str(definition)
+        added = [t.content for t in self.plain.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        # Parts of other texts hold none, and side by side they may not make one either.
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # parts come once; the memory of parts stands in for it
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -57,7 +64,7 @@ class LibraryEncoder:
         self.memory = PartMemory(self.encode_parts, encode_plain=self.encode_plain)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_parts(self, parts: list[str]) -> list[bytes]:
         """Ids of each part; those with white space at an end are encoded one by one."""
@@ -90,7 +97,16 @@ class LibraryEncoder:
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.memory.ids_of(texts)
+        """Ids of each text as the library gives them; the string of an added token is that token's id."""
+        whole = {i for i, t in enumerate(texts) if self.added.search(t)} if self.added else set()
+        if not whole:
+            return self.memory.ids_of(texts)
+        found = iter(self.memory.ids_of([t for i, t in enumerate(texts) if i not in whole]))
+
+        def ids_of_whole(text: str) -> bytes:
+            return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+        return [ids_of_whole(t) if i in whole else next(found) for i, t in enumerate(texts)]
 
 
 @functools.lru_cache(maxsize=2)

@@ -18,9 +18,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 def texts(n=400):
@@ -28,6 +26,16 @@ def texts(n=400):
     return ["".join(pick.choices(PIECES, k=pick.randint(0, 80))) for _ in range(n)]
 
 
+def test_strings_of_added_tokens_are_these_tokens(library):
+    with open(PATH, encoding="utf-8") as f:
+        encoder = token_files.LibraryEncoder(f.read())
+    added = [t.content for t in library.get_added_tokens_decoder().values()]
+    pick = random.Random(3)
+    some = ["".join(pick.choices([*PIECES, *added, " " + added[0], added[0][:-1]], k=pick.randint(0, 30))) for _ in range(1000)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in encoder.encode(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert np.frombuffer(encoder.encode(["a <|endoftext|> b"])[0], "<u4").tolist() == [64, 220, 50256, 275]
+
+
 def test_parts_side_by_side_equal_the_library(library):
     with open(PATH, encoding="utf-8") as f:
         encoder = token_files.LibraryEncoder(f.read())
