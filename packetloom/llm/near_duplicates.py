@@ -38,6 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from packetloom.llm.arrow import batch, blocks, byte_values, fields, plain_names
 from packetloom.llm.components import connected_components
+from packetloom.operators.distribution import join_null_safe
 from packetloom.session import materialise
 
 WIDTH = 2  # words of a shingle by op3's contract
@@ -243,7 +244,10 @@ def unlinked_pairs(opened: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """For each row: key, text_digest (md5), n_shingles, component_id, kept."""
+    """For each row: key, text_digest (md5), n_shingles, component_id, kept, and component, the number of its component.
+
+    Components whose rows share a key have one component_id; their numbers differ. Rows without words have none.
+    """
     signed = materialise(signatures(docs, key, text, width), "minhash-signatures")
     known = signed.where(F.col("n_shingles") > 0)
     # One row per distinct set; partial aggregation meets copies before the shuffle.
@@ -275,20 +279,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     named = classes.join(components.withColumnRenamed("v", "class"), "class", "left")
     named = named.select("set_digest", "smallest", F.coalesce("component", "class").alias("component"))
     names = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    named = named.join(names, "component").select("set_digest", "component_id")
-    found = known.join(named, "set_digest").select(key, "text_digest", "n_shingles", "component_id")
-    empty = signed.where(F.col("n_shingles") == 0).select(key, "text_digest", "n_shingles", F.col(key).alias("component_id"))
+    named = named.join(names, "component").select("set_digest", "component_id", "component")
+    found = known.join(named, "set_digest").select(key, "text_digest", "n_shingles", "component_id", "component")
+    empty = signed.where(F.col("n_shingles") == 0).select(
+        key, "text_digest", "n_shingles", F.col(key).alias("component_id"), F.lit(None).cast("long").alias("component")
+    )
     return found.unionAll(empty).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
 
 def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs`` that stand for their component; of equal rows one stays."""
+    """The rows of ``docs`` that stand for their component, one of each.
+
+    Rows without words are linked with nothing and all stay, repeated ones,
+    too. Of the rows whose key names the component, which may share the key and
+    not the text, the one with the smallest text digest stays, and of equal
+    rows one.
+    """
     names = docs.columns
     docs, (key, text) = plain_names(docs, key, text)
     found = near_duplicates(docs, key, text, width)
-    gone = found.where(~F.col("kept")).select(F.col(key).alias("_key"), F.lower(F.hex("text_digest")).alias("_digest")).distinct()
+    digest = F.lower(F.hex("text_digest"))
+    known = found.where("n_shingles > 0")
+    # One row per component, with the number of rows of each key and text, since of equal ones one stays.
+    chosen = known.where("kept").groupBy("component").agg(F.min(F.struct(F.col(key).alias("_key"), digest.alias("_digest"))).alias("_first"))
+    counted = known.where("kept").groupBy(F.col(key).alias("_key"), digest.alias("_digest")).agg(F.count(F.lit(1)).alias("_rows"))
+    chosen = join_null_safe(chosen.select("_first.*"), counted, ["_key", "_digest"])
+    wordless = found.where("n_shingles = 0").select(F.col(key).alias("_key"), digest.alias("_digest"), F.lit(1).cast("long").alias("_rows"))
+    standing = materialise(chosen.unionAll(wordless.distinct()), "standing")
     own = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     same = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (own == F.col("_digest"))
-    rest = docs.join(gone, same, "left_anti")
-    repeated = found.where("kept").where("n_shingles > 0").groupBy(key, "text_digest").count().where("count > 1")
-    return (rest if repeated.isEmpty() else rest.dropDuplicates([key, text])).toDF(*names)
+    single = docs.join(standing.where("_rows = 1"), same, "left_semi")
+    repeated = docs.join(standing.where("_rows > 1"), same, "left_semi").dropDuplicates([key, text])
+    return single.unionAll(repeated).toDF(*names)

@@ -117,3 +117,16 @@ def test_shingles_of_five_words(spark):
     assert expected == {1, 2, 3, 5, 7}
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in near_duplicates.one_of_each_group(docs, width=5).collect()} == expected
+
+
+def test_rows_of_one_group_that_share_their_key(spark):
+    """One row of a group stays, whether its rows share key, text or both; rows without words and other groups all stay."""
+    text, other, third = (corpus.prose(i, 60, 5000) for i in (5, 6, 7))
+    near = text + " one"
+    rows = [(1, text), (1, near), (2, text), (None, near), (3, ""), (3, ""), (3, None), (4, other), (1, third), (None, "a b c"), (None, "d e f")]
+    for more in ([], [(1, text), (1, near)], [(4, other), (None, "a b c")]):
+        docs = spark.createDataFrame(rows + more, "doc_id long, text string")
+        kept = [(r.doc_id, r.text or "") for r in near_duplicates.one_of_each_group(docs).collect()]
+        assert sum(t in (text, near) for _, t in kept) == 1
+        rest = [(i or 0, t) for i, t in kept if t not in (text, near)]
+        assert sorted(rest) == sorted([(3, ""), (3, ""), (3, ""), (4, other), (1, third), (0, "a b c"), (0, "d e f")])
