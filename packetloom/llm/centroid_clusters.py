@@ -132,7 +132,7 @@ def first_vectors(vectors: DataFrame, key: str, n: int) -> np.ndarray:
     """The ``n`` vectors with the smallest digests, in their order; a bounded number of rows reaches the driver."""
     digest = F.sha2(F.concat(F.lit("1:"), F.coalesce(F.col(key).cast("string"), F.lit(""))), 256)
     found = vectors.select(digest.alias("_digest"), "_v").orderBy("_digest", "_v").limit(n).collect()
-    return np.array([r["_v"] for r in found], np.int64).reshape(len(found), -1)
+    return np.array([r["_v"] for r in found], np.int64) if found else np.zeros((0, 0), np.int64)
 
 
 def cell_bounds(vectors: DataFrame, sample: np.ndarray) -> Cells:

@@ -10,11 +10,12 @@ from packetloom.llm.components import connected_components
 SPACE = " \t\n\x0b\x0c\r"
 
 
-def shingles(text):
+def shingles(text, width=2):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = "".join(" " if c in SPACE else c for c in lower).split(" ")
     words = [w for w in words if w]
-    return frozenset(zip(words, words[1:])) if len(words) > 1 else frozenset(tuple([w]) for w in words)
+    last = max(1, len(words) - width + 1)
+    return frozenset(tuple(words[i : i + width]) for i in range(last)) if words else frozenset()
 
 
 def brute(rows):

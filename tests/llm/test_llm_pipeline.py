@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in contract.queries()) == 1 for n in names)
     assert contract.queries()["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
     assert set(ORACLE) <= set(QUERIES) <= set(contract.queries())
@@ -48,7 +48,7 @@ def test_stages_against_brute_force(spark):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 1 AND toxic = 0").collect()
     assert all(r.doc_id in rows[1] for r in labels)
     # No two documents that stay are near duplicates, and each one that went has a link to another.
-    sets = {i: shingles(t) for i, t in rows[1].items()}
+    sets = {i: shingles(t, corpus_pipeline.SHINGLE_WORDS) for i, t in rows[1].items()}
 
     def near(a, b):
         return bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
@@ -89,4 +89,4 @@ def test_nothing_else_imports_the_subpackage():
     for path in package.rglob("*.py"):
         if "llm" not in path.relative_to(package).parts:
             assert "packetloom.llm" not in path.read_text()
-    assert near_duplicates.SIMILAR == 80 and decontamination.WINDOW == 13 and importance.LABEL_ROWS == 50_000
+    assert corpus_pipeline.SHINGLE_WORDS == 5 and near_duplicates.SIMILAR == 80 and decontamination.WINDOW == 13 and importance.LABEL_ROWS == 50_000
