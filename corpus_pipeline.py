@@ -16,7 +16,7 @@ from packetloom.session import materialise
 # The stages depend on models of the whole corpus and on a tokenizer, which SQL cannot state.
 ORACLE_SQL = None
 
-SHINGLE_WORDS = 2  # fixed value: the near-duplicate stage inherits op3's contract
+SHINGLE_WORDS = 5  # fixed value: width of the near-duplicate stage's shingles
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
