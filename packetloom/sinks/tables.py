@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -13,9 +14,22 @@ from pyspark.sql import functions as F
 from packetloom.contract import WINDOW_SUMMARY_FIELDS
 from packetloom.operators.shape import metadata_columns
 from packetloom.operators.summary import LABEL, PROBABILITY, blank_where_null
+from packetloom.sinks.compaction import (
+    BATCH,
+    COMPACT_EVERY,
+    KEEP_OPEN,
+    Manifest,
+    batch_path,
+    compact,
+    manifest,
+    read_base,
+    read_open,
+    require_open,
+)
+from packetloom.session import materialise
 
-BATCH = "batch_id"
 KEY = "_id"
+DOCUMENTS_PER_TASK = 1_000
 
 
 def write_table(df: DataFrame, path: str, *, file_format: str = "csv", mode: str = "overwrite") -> None:
@@ -60,15 +74,11 @@ def upsert_batch(df: DataFrame, path: str, batch_id: int, key: str = KEY) -> Non
 
     Rows are replaced as a whole: readers take the newest batch of each key.
     """
+    require_open(df.sparkSession, path, batch_id)
     writer = require_key(df, key).write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.parquet(batch_path(path, batch_id))
 
 
-def batch_path(path: str, batch_id: int) -> str:
-    """The folder of one batch of a keyed table; Spark reads it as a partition of ``path``."""
-    return f"{path}/{BATCH}={batch_id}"
-
-
 def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
     """The rows of one batch, without listing the others."""
     return spark.read.parquet(batch_path(path, batch_id))
@@ -80,7 +90,30 @@ def upserted(df: DataFrame, key: str = KEY, batch: str = BATCH, tie_breakers: Se
 
 
 def read_upserted(spark: SparkSession, path: str, key: str = KEY) -> DataFrame:
-    return upserted(spark.read.option("basePath", path).parquet(path), key).drop(BATCH)
+    """The newest row of each key. Beside a base only the open batches are shuffled.
+
+    Open batches are newer than the base, so rows of the base stand unless
+    their key is in an open one.
+    """
+    known = manifest(spark, path)
+    if not known.generation:
+        return upserted(spark.read.option("basePath", path).parquet(path), key).drop(BATCH)
+    base = read_base(spark, path, known)
+    fresh = read_open(spark, path, known.upto, like=base)
+    if fresh is None:
+        return base.drop(BATCH)
+    newest = upserted(fresh, key)
+    standing = base.join(fresh.select(key).distinct(), key, "left_anti")
+    return standing.unionByName(newest).drop(BATCH)
+
+
+def compact_upserted(spark: SparkSession, path: str, key: str = KEY, keep_open: int = KEEP_OPEN) -> Manifest:
+    """Fold old batches of a keyed table into one row per key, sorted and cut by key."""
+    return compact(spark, path, lambda rows: upserted(rows, key), key=[key], keep_open=keep_open)
+
+
+def compaction_is_due(batch_id: int, every: int = COMPACT_EVERY) -> bool:
+    return batch_id > 0 and batch_id % every == 0
 
 
 # ------------------------------------------------------------------ documents
@@ -90,10 +123,11 @@ def write_documents(documents: DataFrame, folder: str) -> None:
     """One JSON document per file. Spark's commit makes each file appear whole.
 
     The number of files, not of bytes, decides how long a task takes, so the
-    documents are spread over all cores.
+    tasks follow the number of documents, DOCUMENTS_PER_TASK each.
     """
-    cores = documents.sparkSession.sparkContext.defaultParallelism
-    spread = documents.repartition(cores, "stream_file")
+    documents = materialise(documents, "documents")
+    tasks = max(documents.sparkSession.sparkContext.defaultParallelism, math.ceil(documents.count() / DOCUMENTS_PER_TASK))
+    spread = documents.repartition(tasks, "stream_file")
     spread.write.mode("append").option("maxRecordsPerFile", 1).option("ignoreNullFields", "false").json(folder)
 
 

@@ -18,7 +18,8 @@ from packetloom.contract import Thresholds
 from packetloom.functions.time import iso_text, window_key
 from packetloom.operators.summary import PROBABILITY, probability_summary
 from packetloom.session import materialise
-from packetloom.sinks.tables import BATCH, RunFolders, batch_path, read_batch, upsert_batch
+from packetloom.sinks.compaction import BATCH, COMPACT_EVERY, KEEP_OPEN, batch_path, compact, read_table, require_open
+from packetloom.sinks.tables import RunFolders, compact_upserted, compaction_is_due, read_batch, upsert_batch
 from packetloom.streaming.window_job import TRIGGER, alerts_table, predictions_table
 
 # Capture and pause length in seconds.
@@ -116,6 +117,7 @@ def start_packet_scoring(
     start: str = "0 seconds",
     trigger_interval: str = TRIGGER,
     available_now: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Start the stream over scored records; windows, predictions and alerts follow every micro-batch.
 
@@ -124,7 +126,8 @@ def start_packet_scoring(
     take the newer row: a window is there as soon as it has a row, is complete
     when its last row is in, and a late row corrects it. ``watermark`` only
     says from when on a row counts as late in the progress table. An alert
-    that was raised stays.
+    that was raised stays. Every ``compact_every`` batches the old ones of all
+    tables are folded, so what a batch lists does not grow with the run's age.
     """
     period = window_seconds + pause_seconds
 
@@ -139,13 +142,13 @@ def start_packet_scoring(
             day = F.to_date("capture_start").alias("capture_day")
             cells = capture_cells(kept, ts, **options).select("capture_start", PROBABILITY, "n", day)
             writer = cells.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("capture_day")
+            require_open(spark, folders.table("cells"), batch_id)
             writer.parquet(batch_path(folders.table("cells"), batch_id))
             write_progress(kept, ts, folders, batch_id, watermark, options)
 
             fresh = read_batch(spark, folders.table("cells"), batch_id)
             touched = fresh.select("capture_day", "capture_start").distinct()
-            stored = spark.read.option("basePath", folders.table("cells")).parquet(folders.table("cells"))
-            stored = stored.where(F.col(BATCH) <= batch_id)
+            stored = read_table(spark, folders.table("cells"), upto=batch_id)
             known = stored.join(touched, ["capture_day", "capture_start"], "left_semi")
             origin = first_capture(spark, folders, fresh, batch_id)
             if origin is None:
@@ -157,6 +160,8 @@ def start_packet_scoring(
             upsert_batch(
                 alerts_table(read_batch(spark, folders.table("predictions"), batch_id)), folders.table("alerts"), batch_id
             )
+            if compaction_is_due(batch_id, compact_every):
+                compact_run(spark, folders)
         finally:
             kept.unpersist()
 
@@ -165,6 +170,19 @@ def start_packet_scoring(
     return writer.option("checkpointLocation", folders.checkpoint).trigger(**trigger).start()
 
 
+def compact_run(spark: SparkSession, folders: RunFolders, keep_open: int = KEEP_OPEN) -> None:
+    """Fold the old batches of a run's tables: one count per window and probability, one row per key, all progress rows."""
+
+    def added(cells: DataFrame) -> DataFrame:
+        counted = cells.groupBy("capture_day", "capture_start", PROBABILITY)
+        return counted.agg(F.sum("n").alias("n"), F.max(BATCH).alias(BATCH))
+
+    compact(spark, folders.table("cells"), added, partition_by=["capture_day"], keep_open=keep_open)
+    compact(spark, folders.table("progress"), key=[BATCH], keep_open=keep_open)
+    for name in ("windows", "predictions", "alerts"):
+        compact_upserted(spark, folders.table(name), keep_open=keep_open)
+
+
 def first_capture(spark: SparkSession, folders: RunFolders, fresh: DataFrame, batch_id: int) -> datetime | None:
     """Start of the run's first capture window, kept from the first micro-batch that has one."""
     earlier = read_progress(spark, folders).where((F.col(BATCH) < batch_id) & F.col("first_capture").isNotNull())
@@ -198,7 +216,7 @@ def write_progress(
 
 def read_progress(spark: SparkSession, folders: RunFolders) -> DataFrame:
     """The progress of all micro-batches so far; rows that came late are counted, none is lost."""
-    return spark.read.option("basePath", folders.table("progress")).parquet(folders.table("progress"))
+    return read_table(spark, folders.table("progress"))
 
 
 def run_metrics(query: StreamingQuery) -> list[dict]:

@@ -24,7 +24,8 @@ from packetloom.functions.time import iso_text, seconds_since_window_end
 from packetloom.operators.shape import PART_SUFFIX, explode_records, stringify_records, windows_table, with_window_key
 from packetloom.operators.summary import PROBABILITY, probability_summary, with_window_label
 from packetloom.session import materialise
-from packetloom.sinks.tables import BATCH, RunFolders, batch_path, last_per_key, read_batch, upsert_batch
+from packetloom.sinks.compaction import BATCH, COMPACT_EVERY, KEEP_OPEN, batch_path, compact, read_table, require_open
+from packetloom.sinks.tables import RunFolders, compact_upserted, compaction_is_due, last_per_key, read_batch, upsert_batch
 from packetloom.sources.windows import stream_documents
 
 DOCUMENT_META = ["stream_file", "window_id", "window_start", "window_end", "interface", "source_path"]
@@ -170,6 +171,7 @@ def write_parts(parts: DataFrame, score: Scorer, folders: RunFolders, batch_id:
     cells = score_records(parts, score, key).groupBy(*key, PROBABILITY).agg(F.count(F.lit(1)).alias("n"))
     rows = windows_table(parts, iso_text(at), stream_dir, extra=key)
     for name, table in (("part_cells", cells), ("parts", rows)):
+        require_open(parts.sparkSession, folders.table(name), batch_id)
         writer = table.select("*", day).write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy("window_day").parquet(batch_path(folders.table(name), batch_id))
 
@@ -178,8 +180,7 @@ def known_parts(spark: SparkSession, folders: RunFolders, batch_id: int) -> tupl
     """Rows and counts of all parts so far of the windows that a batch touches; of one part the newest copy."""
 
     def stored(name: str) -> DataFrame:
-        path = folders.table(name)
-        every = spark.read.option("basePath", path).parquet(path).where(F.col(BATCH) <= batch_id)
+        every = read_table(spark, folders.table(name), upto=batch_id)
         return every.withColumn("window_day", F.col("window_day").cast("string"))
 
     rows = stored("parts")
@@ -211,7 +212,17 @@ def score_batch(
     return result_tables(materialise(summary, "windows"), windows.unionByName(rows.select(*windows.columns)), rule, at)
 
 
-def batch_writer(score: Scorer, rule: Thresholds, folders: RunFolders, stream_dir: str = "") -> Callable[[DataFrame, int], None]:
+def compact_run(spark: SparkSession, folders: RunFolders, keep_open: int = KEEP_OPEN) -> None:
+    """Fold the old batches of a run's tables; stored parts keep the number of the batch that they came with."""
+    for name in ("windows", "predictions", "alerts"):
+        compact_upserted(spark, folders.table(name), keep_open=keep_open)
+    for name in ("parts", "part_cells"):
+        compact(spark, folders.table(name), partition_by=["window_day"], keep_open=keep_open)
+
+
+def batch_writer(
+    score: Scorer, rule: Thresholds, folders: RunFolders, stream_dir: str = "", compact_every: int = COMPACT_EVERY
+) -> Callable[[DataFrame, int], None]:
     """The foreachBatch function: writes windows, predictions and alerts of one micro-batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -227,6 +238,8 @@ def batch_writer(score: Scorer, rule: Thresholds, folders: RunFolders, stream_di
             spark = kept.sparkSession
             stored = read_batch(spark, folders.table("predictions"), batch_id)
             upsert_batch(alerts_table(stored), folders.table("alerts"), batch_id)
+            if compaction_is_due(batch_id, compact_every):
+                compact_run(spark, folders)
         finally:
             kept.unpersist()
 
@@ -245,13 +258,17 @@ def start_window_scoring(
     available_now: bool = False,
     multi_line: bool = True,
     max_files_per_trigger: int | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Start the scoring stream. ``available_now`` handles what is there and stops."""
+    """Start the scoring stream. ``available_now`` handles what is there and stops.
+
+    Every ``compact_every`` batches the old ones are folded into the tables' bases.
+    """
     documents = stream_documents(
         spark, stream_dir, fields, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger
     )
     writer = (
-        documents.writeStream.foreachBatch(batch_writer(score, rule, folders, stream_dir))
+        documents.writeStream.foreachBatch(batch_writer(score, rule, folders, stream_dir, compact_every))
         .option("checkpointLocation", folders.checkpoint)
         .outputMode("append")
     )
