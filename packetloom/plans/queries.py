@@ -28,9 +28,11 @@ from packetloom.functions.text import (
 from packetloom.functions.time import duration_text, iso_text, iso_time, window_key
 from packetloom.operators import calibrate, dashboard, distribution, evaluate, profile, shape, summary, training
 from packetloom.operators.typing import type_columns
+from packetloom.plans import jobs
 from packetloom.session import configure, materialise, shared_folder
 from packetloom.sinks import tables as sinks
 from packetloom.sources import csv as csv_source
+from packetloom.sources import tables as table_source
 from packetloom.sources.windows import read_documents
 from packetloom.streaming import packet_job, window_job
 
@@ -1033,10 +1035,8 @@ def training_rows(spark, d) -> DataFrame:
 
 
 def trained(spark, d) -> training.Bundle:
-    from packetloom.plans.jobs import TrainOptions, train
-
-    options = TrainOptions(trees=TREES, threshold_strategy="f1", min_records=10)
-    return train(spark, training_rows(spark, d).drop("source_file"), None, options).bundle
+    options = jobs.TrainOptions(trees=TREES, threshold_strategy="f1", min_records=10)
+    return jobs.train(spark, training_rows(spark, d).drop("source_file"), None, options).bundle
 
 
 @query("SELECT event_id, round((value + event_id % 10) / (value + event_id % 10 + 20), 6) AS pred_proba_attack FROM events")
@@ -1211,8 +1211,6 @@ def csv_round_trip(spark, d):
 )
 def extract_round_trip(spark, d):
     """Quotes and commas through a CSV folder, the extraction job and a plain CSV read of its output."""
-    from packetloom.plans import jobs
-
     given, stored = shared_folder(spark, "given"), shared_folder(spark, "extracted")
     message = F.concat(F.lit('say "'), "event_type", F.lit('", no')).alias("mqtt.msg")
     rows = events(spark, d).select(F.col("event_id").alias("mqtt.len"), message, F.col("value").alias("tcp.len"))
@@ -1377,3 +1375,175 @@ def stream_progress(spark, d):
     """Rows, captured rows and late rows of each micro-batch."""
     folders = packet_stream(spark, d, late_events(spark, d), maxFilesPerTrigger="1")
     return packet_job.read_progress(spark, folders).select("batch_id", "rows", "captured_rows", "late_rows")
+
+
+# ------------------------------------------------------- tables that grow old
+
+
+@query(
+    """WITH n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 6 DESC, event_id DESC) AS k FROM events)
+  SELECT user_id::VARCHAR AS _id, event_id, event_type FROM n WHERE k = 1"""
+)
+def compacted_table(spark, d):
+    """Six batches of a keyed table with compactions in between, read from its base and the open batches."""
+    folder = shared_folder(spark, "compacted")
+    rows = events(spark, d).select(F.col("user_id").cast("string").alias("_id"), "event_id", "event_type")
+    for number in range(6):
+        batch = rows.where(F.col("event_id") % 6 == number)
+        sinks.upsert_batch(sinks.last_per_key(batch, "_id", ["event_id"]), folder, number)
+        if number in (2, 4):
+            sinks.compact_upserted(spark, folder, keep_open=1)
+    return sinks.read_upserted(spark, folder)
+
+
+@query(
+    """WITH n AS (SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id)
+  SELECT event_id FROM n ORDER BY event_id DESC LIMIT 20"""
+)
+def recent_rows_of_a_table(spark, d):
+    """The newest rows of a keyed table as it is stored."""
+    folder = shared_folder(spark, "recent")
+    rows = events(spark, d).select(F.col("user_id").cast("string").alias("_id"), "event_id")
+    sinks.upsert_batch(sinks.last_per_key(rows, "_id", ["event_id"]), folder, 0)
+    return table_source.recent_rows(spark, folder, 20, "event_id")
+
+
+# ------------------------------------------------------------ files and folders
+
+
+def typed_files(spark, d) -> str:
+    """One CSV per event type, in a folder that is named after the type."""
+    folder = shared_folder(spark, "types")
+    rows = events(spark, d).select(F.col("event_id").alias("tcp.seq"), F.col("value").alias("tcp.len"), "event_type")
+    ordered = rows.repartition(1).sortWithinPartitions("event_type", "`tcp.seq`")
+    ordered.write.option("header", "true").partitionBy("event_type").csv(folder)
+    return folder
+
+
+@query(
+    """SELECT event_id::VARCHAR AS tcp_seq, value AS tcp_len FROM events
+  WHERE event_type IN (SELECT DISTINCT event_type FROM events ORDER BY event_type LIMIT 3)"""
+)
+def first_files_of_folders(spark, d):
+    """Files found in folders below, by pattern, the first three in path order."""
+    found = csv_source.read_many(spark, typed_files(spark, d), pattern="part-*.csv", recursive=True, max_files=3)
+    return found.select("tcp_seq", F.col("tcp_len").cast("double").alias("tcp_len"))
+
+
+@query(
+    """SELECT replace(column_name, '.', '_') AS name, ordinal_position - 1 AS place
+  FROM information_schema.columns WHERE table_name = 'events'"""
+)
+def header_of_a_file(spark, d):
+    """Clean field names of a CSV header, in order."""
+    folder = shared_folder(spark, "header")
+    table(spark, d, "events").limit(10).coalesce(1).write.option("header", "true").csv(folder)
+    path = csv_source.list_files(spark, folder).first()["path"]
+    names = csv_source.header_or_default(spark, path)
+    return spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, place long")
+
+
+@query(
+    """SELECT CASE WHEN event_id % 3 = 0 THEN 'w' || event_id WHEN event_id % 2 = 0 THEN 'f' || event_id
+  ELSE 'window_000007' END AS stream_file, count(*) AS rows FROM events GROUP BY ALL"""
+)
+def fallback_keys(spark, d):
+    """Documents without a key are named after their file, else after the batch."""
+    given = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("w"), "event_id")).when(F.col("event_id") % 3 == 1, "")
+    read = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("f"), "event_id"))
+    rows = events(spark, d).select(given.alias("stream_file"), read.alias("read"))
+    return shape.with_window_key(rows, 7, F.col("read")).groupBy("stream_file").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# -------------------------------------------------------------- jobs as a whole
+
+
+class ValueBundle:
+    """A bundle whose score is a known function of one feature, so that SQL can state it."""
+
+    contract = FeatureContract(["tcp_len"], ["tcp_len"], [])
+
+    def score(self, raw: DataFrame, keep=()) -> DataFrame:
+        value = parse_numeric("tcp_len")
+        kept = [c for c in keep if c in raw.columns and c != "source_file"]
+        return raw.select("source_file", *kept, (value / (value + 20)).alias(summary.PROBABILITY))
+
+
+BUNDLE_RULE = Thresholds(record=0.5, file_max=0.5, file_ratio=0.4, min_records=10)
+TYPES = f"""{S}, t AS (SELECT event_type, {MEASURES} FROM s GROUP BY event_type),
+  n AS (SELECT *, row_number() OVER (ORDER BY event_type) AS window_id FROM t)"""
+
+
+@query(
+    f"""WITH {TYPES} SELECT window_id, records, attack_records, {PROBS},
+  (records >= 10 AND max_attack_probability >= 0.5 AND attack_record_ratio >= 0.4)::INT AS window_pred_label FROM n"""
+)
+def replayed_windows(spark, d):
+    """A folder of files, each one a window, through the replay job."""
+    windows = jobs.replay(spark, ValueBundle(), typed_files(spark, d), recursive=True, thresholds=BUNDLE_RULE).summary
+    measures = ("attack_record_ratio", *[f"{m}_attack_probability" for m in ("mean", "median", "p95", "max")])
+    return rounded(windows.select("window_id", "records", "attack_records", *measures, "window_pred_label"))
+
+
+@query(
+    f"""WITH {TYPES}, r AS (SELECT window_id, s.event_id, p, row_number() OVER (PARTITION BY window_id ORDER BY event_id) - 1 AS record_index
+    FROM s JOIN n USING (event_type))
+  SELECT window_id, record_index, round(p, 6) AS pred_proba_attack, (p >= 0.5)::INT AS pred_label FROM r WHERE record_index < 40"""
+)
+def replayed_records(spark, d):
+    """The first records of each replayed file, numbered in file order."""
+    found = jobs.replay(
+        spark, ValueBundle(), typed_files(spark, d), recursive=True, rows_per_file=40, thresholds=BUNDLE_RULE, include_metadata=False
+    )
+    return rounded(found.predictions.select("window_id", "record_index", summary.PROBABILITY, summary.LABEL))
+
+
+@query(
+    f"""WITH {TYPES} SELECT 0.5::DOUBLE AS record_threshold, 0.5::DOUBLE AS file_max_threshold,
+  round(greatest(0.4, least(0.99, quantile_cont(attack_record_ratio, 0.9) + 0.05)), 6) AS file_ratio_threshold, 10 AS min_records FROM n"""
+)
+def calibrated_on_benign_files(spark, d):
+    """Benign files replayed, their windows stored and calibrated on, and the stored baseline loaded again."""
+    folder = shared_folder(spark, "calibrated")
+    options = {"recursive": True, "thresholds": BUNDLE_RULE}
+    jobs.calibrate_on_benign(spark, ValueBundle(), typed_files(spark, d), folder, **options)
+    windows = table_source.read_summary(spark, f"{folder}/baseline_windows")
+    jobs.calibrate(spark, windows, BUNDLE_RULE, f"{folder}/again", quantile=0.9)
+    found = table_source.baseline_thresholds(spark, f"{folder}/again")
+    row = [(found.record, found.file_max, found.file_ratio, found.min_records)]
+    shape_of = "record_threshold double, file_max_threshold double, file_ratio_threshold double, min_records int"
+    return rounded(spark.createDataFrame(row, shape_of))
+
+
+@query(
+    """SELECT event_type AS source_file, count(*) AS records, count_if(user_id % 7 >= 4) AS malicious_records FROM events GROUP BY event_type"""
+)
+def stored_bundle_scores(spark, d):
+    """A model trained on a label that one feature decides, stored, loaded and used on files: its labels are the rule's."""
+    folder = shared_folder(spark, "bundle")
+    rows = events(spark, d).select(
+        F.col("event_id").cast("string").alias("frame_time"),
+        (F.col("user_id") % 7).cast("string").alias("tcp_flags"),
+        F.col("event_type").alias("mqtt_topic"),
+        (F.col("user_id") % 7 >= 4).cast("int").cast("string").alias("Attack_label"),
+        F.col("event_type").alias("source_file"),
+    )
+    options = jobs.TrainOptions(trees=TREES, min_records=10)
+    jobs.train(spark, rows.drop("source_file"), folder, options)
+    return jobs.score(spark, training.load_bundle(spark, folder), rows).summary.select("source_file", "records", "malicious_records")
+
+
+@query(
+    f"""WITH {S}, hours AS (SELECT w, count_if(value > 40) AS records, coalesce(max(p) FILTER (value > 40), 0) AS top,
+    count_if(value > 40 AND p >= 0.5) AS attacks FROM s GROUP BY w)
+  SELECT 'window_000000_' || strftime(w, '%Y%m%d_%H%M%S') || '.json' AS _id, records::INT AS record_count, attacks::INT AS attack_records,
+    round(top, 6) AS max_attack_probability, (records >= 10)::INT AS window_pred_label FROM hours"""
+)
+def windows_without_records(spark, d):
+    """Documents of which many have no records: zeros and no alert."""
+    rows = events(spark, d).withColumn("w", F.date_trunc("hour", "ts"))
+    docs = shape.window_documents(rows, "w", ["event_id"], ["value"], window_seconds=HOUR, interface=F.lit("eth0"))
+    kept = F.filter("records", lambda r: r["value"].cast("double") > 40)
+    docs = docs.withColumn("records", kept).withColumn("record_count", F.size("records")).withColumn("origin_file", F.lit("f"))
+    found = window_job.score_documents(docs, value_scorer, RULE, at=F.lit(AT)).predictions
+    return rounded(found.select("_id", "record_count", "attack_records", "max_attack_probability", "window_pred_label"))
