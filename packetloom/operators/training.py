@@ -70,6 +70,28 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """128 bits of a row; equal rows have equal ones, and rows with equal ones are compared."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b"))
+
+
+def distinct_by_digest(df: DataFrame, digest: Callable[[Sequence[str]], Column] = row_digest) -> tuple[DataFrame, int]:
+    """The distinct rows of a wide table, and the number of all rows.
+
+    The rows are written once. Their digests are counted, and only rows whose
+    digest repeats are looked up, shuffled and compared as a whole: what moves
+    follows the duplicates, not the payload. The number of all rows is that of
+    the stored table, so the input is parsed once.
+    """
+    columns = df.columns
+    stored = materialise(df.withColumn("_digest", digest(columns)), "rows")
+    repeated = stored.groupBy("_digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_digest")
+    repeated = materialise(repeated, "repeated-digests")
+    single = stored.join(repeated, "_digest", "left_anti")
+    several = stored.join(repeated, "_digest", "left_semi").dropDuplicates(columns)
+    return single.unionByName(several).select(*columns), stored.count()
+
+
 def prepare_training_frame(
     raw: DataFrame,
     *,
@@ -79,13 +101,13 @@ def prepare_training_frame(
 ) -> tuple[DataFrame, FeatureContract]:
     """Typed features, label and a row key, with the contract that records every decision.
 
-    The distinct rows are written once; one scan of them decides all columns.
+    The input is parsed once. The distinct rows are written; one scan of them decides all columns.
     """
     df = normalize_columns(raw)
     df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    original_rows = df.count()
+    original_rows = None
     if drop_duplicates:
-        df = drop_duplicate_rows(df)
+        df, original_rows = distinct_by_digest(df)
     before_drops = feature_columns(df.columns)
     identity = set(spark_names(IDENTITY_PAYLOAD_COLUMNS)) if not keep_identity_payload else set()
     dropped = [c for c in before_drops if c in identity]
@@ -93,6 +115,7 @@ def prepare_training_frame(
     # The row key covers all columns, so it is taken before any is dropped.
     keyed = df.withColumn(ROW_KEY, F.xxhash64(*df.columns).cast("string")).drop(*dropped)
     keyed = materialise(keyed, "training-rows")
+    rows = keyed.count()
     labelled, label_source = binary_labels(keyed, TARGET)
 
     facts = column_facts(keyed, candidates)
@@ -104,8 +127,8 @@ def prepare_training_frame(
         feature_columns=used,
         numeric_columns=numeric,
         categorical_columns=categorical,
-        original_rows=original_rows,
-        rows_after_drop_duplicates=keyed.count(),
+        original_rows=original_rows if original_rows is not None else rows,
+        rows_after_drop_duplicates=rows,
         label_source=label_source,
         raw_columns=df.columns,
         dropped_identity_payload_columns=dropped,

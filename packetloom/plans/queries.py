@@ -704,6 +704,13 @@ def dedup_rows(spark, d):
     return training.drop_duplicate_rows(events(spark, d).select("user_id", "event_type"))
 
 
+@query("SELECT DISTINCT user_id, event_type, n FROM events CROSS JOIN (SELECT count(*) AS n FROM events)")
+def dedup_rows_by_digest(spark, d):
+    """Distinct rows by counting digests, with the number of all rows."""
+    rows, n = training.distinct_by_digest(events(spark, d).select("user_id", "event_type"))
+    return rows.withColumn("n", F.lit(n).cast("long"))
+
+
 @query("SELECT event_id AS a_b, event_type AS c, value AS a_b_2 FROM events")
 def header_normalize(spark, d):
     rows = events(spark, d).select("event_id", "event_type", "value", "user_id")

@@ -16,6 +16,7 @@ from packetloom.session import materialise
 
 # Up to this many files, each first line is fetched by a job that reads one split.
 HEADERS_BY_FILE = 64
+HEAD_BYTES = 16 << 10  # of a file that one read fetches; longer first lines take more reads
 CORRUPT = "_corrupt_record"
 FILE_ORDER = ["_file", "_block", "_row"]
 
@@ -105,19 +106,66 @@ def _columns(header: Sequence[str]) -> list[str]:
 def read_csv(spark: SparkSession, path: str, *, sample_rows: int | None = None, multi_line: bool = False) -> DataFrame:
     """One CSV as text columns with clean names; the first of repeated columns is kept.
 
-    ``sample_rows`` takes the first rows as Spark reads them. ``multi_line``
-    allows line breaks inside quotes; a file is then read by one task.
+    ``sample_rows`` takes the first rows as they stand in the file, the same
+    ones on any cluster; each task keeps as many. ``multi_line`` allows line
+    breaks inside quotes; a file is then read by one task.
     """
     header = header_of(spark, path)
-    df = _read(spark, path, header, multiLine=str(multi_line).lower()).select(*_columns(header))
-    return df.limit(sample_rows) if sample_rows is not None else df
+    df = _read(spark, path, header, multiLine=str(multi_line).lower())
+    if sample_rows is None:
+        return df.select(*_columns(header))
+    # Ids grow inside a split, and splits are ordered by where they begin.
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    placed = df.select(*_columns(header), *place, F.monotonically_increasing_id().alias("_row"))
+    return placed.orderBy(*FILE_ORDER).limit(sample_rows).drop(*FILE_ORDER)
+
+
+def first_lines(listed: DataFrame, head_bytes: int = HEAD_BYTES) -> DataFrame:
+    """(path, line) of the first line of each listed file, null where a task cannot open the file by itself.
+
+    Tasks open the files and read their first bytes, so what is read does not
+    depend on how long the files are. An empty file has an empty line.
+    """
+
+    def read_heads(batches):
+        import re
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        plain = "".join(map(chr, range(33, 127)))
+        end = re.compile(rb"[\r\n]")
+
+        def first_line(uri: str) -> str | None:
+            try:
+                system, place = fs.FileSystem.from_uri(quote(uri, safe=plain))
+                with system.open_input_stream(place, compression="detect", buffer_size=0) as stream:
+                    head = b""
+                    while not end.search(head):
+                        more = stream.read(head_bytes)
+                        if not more:
+                            break
+                        head += more
+            except (OSError, pa.ArrowException):
+                return None  # a store that only Spark reads
+            return end.split(head, maxsplit=1)[0].decode("utf-8", errors="replace")
+
+        for b in batches:
+            lines = [first_line(uri) for uri in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lines, pa.string())], names=["path", "line"])
+
+    # Paths as Spark lists them are unescaped; the identity beside a row is the escaped form that a file system takes.
+    cores = listed.sparkSession.sparkContext.defaultParallelism
+    return listed.select("path", "_file").repartition(4 * cores).mapInArrow(read_heads, "path string, line string")
 
 
 def file_headers(spark: SparkSession, folder: str, pattern: str, recursive: bool = False) -> dict[tuple[str, ...], list[str]]:
     """Header -> files that have it.
 
-    A few files are asked one by one. For many, one pass over the text finds
-    all first lines, and per file only one line survives the map side.
+    A few files are asked one by one. Of many, tasks read the heads; where
+    they cannot open a file by themselves, one pass over its text finds the
+    first line, and per file only one line survives the map side.
     """
     listed = list_files(spark, folder, pattern, recursive)
     some = first_files(listed, HEADERS_BY_FILE + 1)
@@ -126,16 +174,21 @@ def file_headers(spark: SparkSession, folder: str, pattern: str, recursive: bool
         for path in some:
             groups.setdefault(tuple(header_of(spark, path)), []).append(path)
         return groups
-    lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .text(folder)
-        .where(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("row"))
-    )
-    first = lines.groupBy("_file").agg(F.min_by("value", "row").alias("line"))
+    heads = materialise(first_lines(listed), "heads")
+    unread = heads.where(F.col("line").isNull())
+    if not unread.isEmpty():
+        lines = (
+            spark.read.option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", str(recursive).lower())
+            .text(folder)
+            .where(F.col("_metadata.file_block_start") == 0)
+            .select(F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("row"))
+        )
+        first = lines.groupBy("_file").agg(F.min_by("value", "row").alias("line"))
+        found = listed.join(first, "_file", "left").join(unread.select("path"), "path", "left_semi").select("path", "line")
+        heads = heads.where(F.col("line").isNotNull()).unionByName(found)
     # File names and headers are what Spark's own file index keeps on the driver, too.
-    for r in listed.join(first, "_file", "left").select("path", "line").orderBy("path").toLocalIterator():
+    for r in heads.orderBy("path").toLocalIterator():
         groups.setdefault(tuple(parse_header(r["line"]) if r["line"] else []), []).append(r["path"])
     return groups
 

@@ -131,3 +131,42 @@ def test_table_formats(spark, tmp_path):
     tables.append_predictions(df, str(tmp_path / "c"))
     assert spark.read.option("header", "true").csv(str(tmp_path / "c")).count() == 6
     assert spark.read.parquet(str(tmp_path / "p")).count() == 3
+
+
+def test_heads_of_many_files(spark, tmp_path):
+    """Files with huge tails, odd names, long headers, other line ends, compression and nothing at all."""
+    names = ["a.csv", "b c+%41.csv", "ü.csv", "long.csv", "empty.csv", "cr.csv"]
+    long = ",".join(f"c{i}" for i in range(9000))
+    for name, text in zip(names, ["x,y\n1,2\n", "x\n", "é,y", long + "\n1\n", "", "p,q\r\n1,2\r\n"]):
+        (tmp_path / name).write_bytes(text.encode())
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as f:
+        f.write("g,h\n1,2\n")
+    with open(tmp_path / "a.csv", "r+b") as f:
+        f.truncate(8 << 30)  # a sparse file, which takes no room and would take long to read whole
+    listed = source.list_files(spark, str(tmp_path), "*.csv*", with_empty=True)
+    found = {r["path"].rsplit("/", 1)[1]: r.line for r in source.first_lines(listed).collect()}
+    assert found == dict(zip(names, ["x,y", "x", "é,y", long, "", "p,q"])) | {"z.csv.gz": "g,h"}
+
+
+def test_headers_where_only_spark_opens_files(spark, tmp_path, monkeypatch):
+    for i in range(5):
+        write(tmp_path / f"f{i}.csv", f"a,b{i % 2}\n1,2\n")
+    monkeypatch.setattr(source, "HEADERS_BY_FILE", 0)
+    expected = source.file_headers(spark, str(tmp_path), "*.csv")
+    assert {h: len(paths) for h, paths in expected.items()} == {("a", "b0"): 3, ("a", "b1"): 2}
+    heads = source.first_lines
+    closed = lambda listed: heads(listed).withColumn("line", F.when(~F.col("path").rlike("f[12]"), F.col("line")))
+    monkeypatch.setattr(source, "first_lines", closed)
+    assert source.file_headers(spark, str(tmp_path), "*.csv") == expected
+
+
+def test_first_rows_are_the_same_whatever_the_splits(spark, tmp_path):
+    write(tmp_path / "a.csv", "i,t\n" + "".join(f"{i},{'x' * (i % 90)}\n" for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (before, "10000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = source.read_csv(spark, str(tmp_path / "a.csv"), sample_rows=700).collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert [int(r.i) for r in rows] == list(range(700)) and list(rows[0].asDict()) == ["i", "t"]

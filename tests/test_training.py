@@ -225,3 +225,30 @@ def test_a_wide_vocabulary_scores_alike(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(training.StoredValues, "__getitem__", lambda *_: pytest.fail("a value list reached the driver"))
     loaded = training.load_bundle(spark, str(tmp_path / "b")).model
     assert scores(loaded) == pytest.approx(scores(wide))
+
+
+def test_distinct_by_digest(spark):
+    """Hot rows, nulls that change places, and digests that collide."""
+    rows = [("a", None)] * 500 + [(None, "a")] * 3 + [("b", "c"), ("c", "b"), (None, None), (None, None)] + [(f"x{i}", "y") for i in range(50)]
+    df = spark.createDataFrame(rows, "p string, q string")
+    for digest in (training.row_digest, lambda _: F.lit(1), lambda columns: F.length(F.coalesce(columns[0], F.lit("")))):
+        found, n = training.distinct_by_digest(df, digest)
+        assert n == len(rows) and sorted(map(str, found.collect())) == sorted({str(r) for r in df.collect()})
+    unique = spark.range(1000).select("id", F.repeat(F.lit("payload"), 50).alias("text"))
+    plan = training.distinct_by_digest(unique)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_raw_rows_are_parsed_once(spark, raw, monkeypatch):
+    """The contract counts all rows without a pass of its own over the input."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    names = [c.replace(".", "_") for c in raw.columns]
+    passed = raw.toDF(*names).mapInArrow(counted, ", ".join(f"{n} string" for n in names))
+    _, contract = training.prepare_training_frame(passed)
+    assert (contract.original_rows, contract.rows_after_drop_duplicates) == (650, 600) and reads.value == 650
