@@ -58,7 +58,7 @@ from packetloom.operators.training import (
 )
 from packetloom.session import configure, materialise
 from packetloom.sinks.tables import RunFolders, append_predictions, append_summary, record_predictions, write_table
-from packetloom.sources.csv import FILE_ORDER, first_files, header_or_default, ingest, list_files, read_csv, read_many
+from packetloom.sources.csv import FILE_ORDER, QUOTING, first_files, header_or_default, ingest, list_files, read_csv, read_many
 from packetloom.sources.tables import baseline_thresholds, read_summary
 from packetloom.streaming.window_job import TRIGGER, start_window_scoring
 
@@ -137,7 +137,7 @@ def read_extracted(spark: SparkSession, folder: str) -> DataFrame:
     first = list_files(spark, folder, "*.csv", recursive=True).select("path").first()["path"]
     header = header_or_default(spark, first, names)
     schema = ", ".join(f"`{n}` string" for n in [*header, SOURCE_FILE])
-    return spark.read.schema(schema).option("header", "true").option("escape", '"').csv(folder)
+    return spark.read.schema(schema).options(header="true", **QUOTING).csv(folder)
 
 
 @dataclass(frozen=True)

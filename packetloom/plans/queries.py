@@ -1227,6 +1227,20 @@ def extract_round_trip(spark, d):
     return back.select("mqtt_len", "mqtt_msg", F.coalesce(F.col("tcp_len").cast("double").cast("string"), F.lit("")).alias("tcp_len"))
 
 
+@query(
+    f"""WITH {R} SELECT event_id::VARCHAR AS event_id, event_type,
+  'say "' || event_type || '", no' || chr(10) || '"line" ' || event_id AS payload FROM r"""
+)
+def quoted_line_breaks(spark, d):
+    """Records over several lines, by the plan that cuts a file into blocks."""
+    folder = shared_folder(spark, "quoted")
+    payload = F.concat(F.lit('say "'), "event_type", F.lit('", no\n"line" '), F.col("event_id").cast("string"))
+    rows = events(spark, d).select("event_id", "event_type", payload.alias("payload"))
+    sinks.write_table(rows.repartition(2), folder)
+    paths = [r["path"] for r in csv_source.list_files(spark, folder).collect()]
+    return csv_source.read_split_records(spark, paths, rows.columns).select(*rows.columns)
+
+
 @query(
     """SELECT event_type AS source_file, count(*) AS rows, 0::BIGINT AS corrupt_rows, 'ok' AS status FROM events GROUP BY event_type"""
 )

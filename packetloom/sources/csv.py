@@ -7,6 +7,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,8 +17,12 @@ from packetloom.session import materialise
 
 # Up to this many files, each first line is fetched by a job that reads one split.
 HEADERS_BY_FILE = 64
+SPLIT_BYTES = 128 << 20  # files up to this size are one task's work anyway
 HEAD_BYTES = 16 << 10  # of a file that one read fetches; longer first lines take more reads
 CORRUPT = "_corrupt_record"
+# A quote inside a quoted field is doubled, as the csv module and pandas write it. Whole lines are parsed: a parser that
+# skips columns loses its place after a field that ends in a doubled quote, and does not notice broken lines.
+QUOTING = {"quote": '"', "escape": '"', "columnPruning": "false"}
 FILE_ORDER = ["_file", "_block", "_row"]
 
 
@@ -86,38 +91,107 @@ def header_or_default(spark: SparkSession, path: str | None, default: Sequence[s
 
 
 def _read(
-    spark: SparkSession, paths: str | list[str], header: Sequence[str], *, whole_lines: bool = False, **options: str
+    spark: SparkSession, paths: str | list[str], header: Sequence[str], **options: str
 ) -> DataFrame:
     names = unique_names(header)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     reader = spark.read.schema(schema.add(CORRUPT, T.StringType())).option("header", "true")
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    # Broken lines are only noticed where whole lines are parsed.
-    reader = reader.option("columnPruning", str(not whole_lines).lower())
-    # A quote inside a quoted field is doubled, as the csv module and pandas write it.
-    reader = reader.option("quote", '"').option("escape", '"')
-    return reader.options(**options).csv([literal_path(p) for p in ([paths] if isinstance(paths, str) else paths)])
+    return reader.options(**QUOTING, **options).csv([literal_path(p) for p in ([paths] if isinstance(paths, str) else paths)])
+
+
+def quoted_lines(lines: DataFrame) -> DataFrame:
+    """Add ``_record`` to lines (_file, _block, _row, value): the number in its file of the record that a line belongs to.
+
+    A line starts a record if the quotes before it in its file are even, which
+    doubled quotes inside a field do not change. Quotes are counted per line,
+    summed per block, and the blocks' sums are put before those inside a block,
+    so a file is spread over as many tasks as it has blocks.
+    """
+    counted = lines.withColumn("_quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+    # One row per block of a file.
+    blocks = counted.groupBy("_file", "_block").agg(F.sum("_quotes").alias("_in"))
+    earlier = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = blocks.select("_file", "_block", F.coalesce(F.sum("_in").over(earlier), F.lit(0)).alias("_before"))
+    inside = W.partitionBy("_file", "_block").orderBy("_row").rowsBetween(W.unboundedPreceding, -1)
+    placed = counted.join(blocks, ["_file", "_block"])
+    before = F.col("_before") + F.coalesce(F.sum("_quotes").over(inside), F.lit(0))
+    starts = placed.withColumn("_start", (before % 2 == 0).cast("int")).drop("_quotes", "_before")
+    # Lines that start a record, again summed per block and then inside.
+    per_block = starts.groupBy("_file", "_block").agg(F.sum("_start").alias("_in"))
+    per_block = per_block.select("_file", "_block", F.coalesce(F.sum("_in").over(earlier), F.lit(0)).alias("_before"))
+    upto = W.partitionBy("_file", "_block").orderBy("_row").rowsBetween(W.unboundedPreceding, W.currentRow)
+    numbered = starts.join(per_block, ["_file", "_block"]).withColumn("_record", F.col("_before") + F.sum("_start").over(upto) - 1)
+    return numbered.drop("_before")
+
+
+def read_split_records(spark: SparkSession, paths: list[str], header: Sequence[str]) -> DataFrame:
+    """What _read gives for fields with line breaks, by several tasks a file; the place columns stand beside it.
+
+    Lines end with a line feed, with or without a carriage return before it.
+    Records of one line, nearly all, are parsed where they lie; only the lines
+    of longer ones are brought together.
+    """
+    names = unique_names(header)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    text = spark.read.option("lineSep", "\n").text([literal_path(p) for p in paths])
+    lines = text.select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+        file_name_column().alias(SOURCE_FILE),
+        "value",
+    )
+    # The numbers of rows must not change between the counts and their use.
+    lines = quoted_lines(materialise(lines, "lines"))
+    split = lines.where("_start = 0").select("_file", "_record").distinct()
+    several = lines.join(split, ["_file", "_record"], "left_semi")
+    single = lines.join(split, ["_file", "_record"], "left_anti").select("_file", "_block", "_row", SOURCE_FILE, "_record", "value")
+    joined = several.groupBy("_file", "_record").agg(
+        F.min(F.struct("_block", "_row")).alias("_at"),
+        F.first(SOURCE_FILE).alias(SOURCE_FILE),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_row", "value"))), lambda p: p["value"]), "\n").alias("value"),
+    )
+    joined = joined.select("_file", "_at._block", "_at._row", SOURCE_FILE, "_record", "value")
+    records = single.unionByName(joined).where("_record > 0").withColumn("value", F.regexp_replace("value", "\r$", ""))
+    options = {**QUOTING, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = records.where(F.trim("value") != "").withColumn("_parsed", F.from_csv("value", schema.simpleString(), options))
+    return parsed.select("_parsed.*", SOURCE_FILE, *FILE_ORDER)
 
 
 def _columns(header: Sequence[str]) -> list[str]:
     return [n for n in unique_names(header) if not n.startswith("_repeat_")]
 
 
+def needs_splits(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether a file is too long for the reader that takes a file with quoted line breaks in one task. Reads no content."""
+    sizes = spark.read.format("binaryFile").load([literal_path(p) for p in paths]).select("length")
+    return (sizes.agg(F.max("length")).first()[0] or 0) > SPLIT_BYTES
+
+
+def _placed(spark: SparkSession, paths: list[str], header: Sequence[str], multi_line: bool) -> DataFrame:
+    """The clean columns, the file name, and columns that sort rows as they stand in the files."""
+    if multi_line and needs_splits(spark, paths):
+        return read_split_records(spark, paths, header).select(*_columns(header), SOURCE_FILE, *FILE_ORDER)
+    # Ids grow inside a split, and splits are ordered by where they begin.
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    row = F.monotonically_increasing_id().alias("_row")
+    scan = _read(spark, paths, header, multiLine=str(multi_line).lower())
+    return scan.select(*_columns(header), file_name_column().alias(SOURCE_FILE), *place, row)
+
+
 def read_csv(spark: SparkSession, path: str, *, sample_rows: int | None = None, multi_line: bool = False) -> DataFrame:
     """One CSV as text columns with clean names; the first of repeated columns is kept.
 
     ``sample_rows`` takes the first rows as they stand in the file, the same
     ones on any cluster; each task keeps as many. ``multi_line`` allows line
-    breaks inside quotes; a file is then read by one task.
+    breaks inside quotes, also in files of several splits.
     """
     header = header_of(spark, path)
-    df = _read(spark, path, header, multiLine=str(multi_line).lower())
+    placed = _placed(spark, [path], header, multi_line)
     if sample_rows is None:
-        return df.select(*_columns(header))
-    # Ids grow inside a split, and splits are ordered by where they begin.
-    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
-    placed = df.select(*_columns(header), *place, F.monotonically_increasing_id().alias("_row"))
-    return placed.orderBy(*FILE_ORDER).limit(sample_rows).drop(*FILE_ORDER)
+        return placed.drop(SOURCE_FILE, *FILE_ORDER)
+    return placed.drop(SOURCE_FILE).orderBy(*FILE_ORDER).limit(sample_rows).drop(*FILE_ORDER)
 
 
 def first_lines(listed: DataFrame, head_bytes: int = HEAD_BYTES) -> DataFrame:
@@ -209,7 +283,7 @@ def read_many(
     Files with the same header are read together. ``only`` names the paths to
     take, ``max_files`` takes the first ones that have a header. ``file_order``
     adds columns that sort rows as they stand in the files. ``multi_line``
-    allows line breaks inside quotes; each file is then read by one task.
+    allows line breaks inside quotes, also in files of several splits.
     """
     groups = file_headers(spark, folder, pattern, recursive)
     if only is not None:
@@ -221,18 +295,8 @@ def read_many(
     for header, paths in groups.items():
         if not header or not paths:
             continue
-        order = [
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_row"),
-        ]
-        frames.append(
-            _read(spark, paths, header, multiLine=str(multi_line).lower()).select(
-                *_columns(header),
-                file_name_column().alias(SOURCE_FILE),
-                *(order if file_order else []),
-            )
-        )
+        placed = _placed(spark, paths, header, multi_line)
+        frames.append(placed if file_order else placed.drop(*FILE_ORDER))
     if not frames:
         raise ValueError(f"the files that match {pattern} in {folder} have no header")
     return union_by_name(frames)
@@ -273,10 +337,13 @@ def ingest(
         return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in [*names, SOURCE_FILE])), report
     frames = []
     for header, paths in usable.items():
-        options = {"ignoreCorruptFiles": "true", "multiLine": str(multi_line).lower()}
-        raw = _read(spark, paths, header, whole_lines=True, **options).select(
-            *_columns(header), CORRUPT, file_name_column().alias(SOURCE_FILE), F.col("_metadata.file_path").alias("_file")
-        )
+        if multi_line and needs_splits(spark, paths):
+            raw = read_split_records(spark, paths, header).select(*_columns(header), CORRUPT, SOURCE_FILE, "_file")
+        else:
+            options = {"ignoreCorruptFiles": "true", "multiLine": str(multi_line).lower()}
+            raw = _read(spark, paths, header, **options).select(
+                *_columns(header), CORRUPT, file_name_column().alias(SOURCE_FILE), F.col("_metadata.file_path").alias("_file")
+            )
         frames.append(align_extract(raw, [*names, CORRUPT, SOURCE_FILE, "_file"]))
     # Parsed once: both the rows and the counts come from the stored table.
     rows = materialise(union_by_name(frames), "ingested")

@@ -8,6 +8,7 @@ from packetloom.contract import Thresholds
 from packetloom.operators.calibrate import thresholds_of
 from packetloom.operators.dashboard import RECENT_ROWS, recent
 from packetloom.sinks.tables import read_upserted
+from packetloom.sources.csv import QUOTING
 
 
 def recent_rows(spark: SparkSession, path: str, limit: int = RECENT_ROWS, sort_field: str = "created_at") -> DataFrame:
@@ -17,7 +18,7 @@ def recent_rows(spark: SparkSession, path: str, limit: int = RECENT_ROWS, sort_f
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """A window summary table written as CSV, as text columns."""
-    return spark.read.option("header", "true").csv(path)
+    return spark.read.options(header="true", **QUOTING).csv(path)
 
 
 def read_baseline(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,3 +171,41 @@ def test_first_rows_are_the_same_whatever_the_splits(spark, tmp_path):
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         assert [int(r.i) for r in rows] == list(range(700)) and list(rows[0].asDict()) == ["i", "t"]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_breaks_in_files_of_many_splits(spark, tmp_path, monkeypatch, end):
+    """Records over many lines and splits, doubled quotes, empty fields and lines; the one-task reader says the same."""
+    pick = random.Random(6)
+    fields = ["a", 'say ""hi""', "x" * 300, "one\ntwo", "\n\n", ",", "", '""', "é\n,"]
+    for name in ("a.csv", "b.csv"):
+        rows = [[str(i), pick.choice(fields), "\n".join(pick.choices(fields, k=pick.randrange(4)))] for i in range(2000)]
+        rows.append(["2000", "long", "line\n" * 20_000])
+        body = end.join(",".join([r[0], f'"{r[1]}"', f'"{r[2]}"' if r[2] else ""]) for r in rows)
+        (tmp_path / name).write_bytes(("i,f.x,g" + end + body + end + end + "7,short" + end).encode())
+    names = source.spark_names(["i", "f.x", "g"])
+    one_task = source._read(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")], ["i", "f.x", "g"], multiLine="true")
+    expected = sorted(map(str, one_task.select(*names).collect()))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size, split_bytes in ((before, source.SPLIT_BYTES), ("20000", 1000)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        monkeypatch.setattr(source, "SPLIT_BYTES", split_bytes)
+        try:
+            found = source.read_many(spark, str(tmp_path), multi_line=True, file_order=True)
+            assert sorted(map(str, found.select(*names).collect())) == expected
+            ordered = found.where("source_file = 'b.csv'").orderBy(*source.FILE_ORDER).select("i").collect()
+            assert [int(r.i) for r in ordered] == [*range(2001), 7]
+            rows, report = source.ingest(spark, str(tmp_path), ["i", "f.x"], multi_line=True)
+            assert {(r.source_file, r.rows, r.corrupt_rows) for r in report.collect()} == {("a.csv", 2001, 1), ("b.csv", 2001, 1)}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_columns_behind_doubled_quotes(spark, tmp_path):
+    """One column alone has the values that it has beside the others."""
+    pick = random.Random(1)
+    fields = ["a", 'say ""hi""', '""', ",", "", 'x""', '""x', '"""",']
+    lines = [f'{i},"{pick.choice(fields)}","{pick.choice(fields)}",{i}' for i in range(500)]
+    write(tmp_path / "a.csv", "\n".join(["i,f,g,h", *lines]) + "\n")
+    rows = source.read_csv(spark, str(tmp_path / "a.csv"))
+    assert [r.h for r in rows.select("h").collect()] == [str(i) for i in range(500)] and rows.where("i = h").count() == 500
