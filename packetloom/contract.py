@@ -34,10 +34,10 @@ LABEL_COLUMNS = ["Attack_label", "Attack_type"]
 
 # Identity and payload columns that are left out of training.
 IDENTITY_PAYLOAD_COLUMNS = [
-    "frame.time", "ip.src_host", "ip.dst_host",
-    "arp.dst.proto_ipv4", "arp.src.proto_ipv4", "icmp.transmit_timestamp",
-    "http.file_data", "http.request.uri.query", "http.request.full_uri",
-    "tcp.dstport", "tcp.options", "tcp.payload", "tcp.srcport", "udp.port", "mqtt.msg",
+    "frame.time", "ip.dst_host", "ip.src_host",
+    "arp.src.proto_ipv4", "arp.dst.proto_ipv4",
+    "http.file_data", "http.request.full_uri", "icmp.transmit_timestamp", "http.request.uri.query",
+    "tcp.options", "tcp.payload", "tcp.srcport", "tcp.dstport", "udp.port", "mqtt.msg",
 ]
 
 # Metadata columns carried through beside file predictions ...

@@ -77,6 +77,7 @@ def baseline(
         F.max(peak).alias("max_attack_probability_max"),
     )
     raised = F.least(F.lit(float(max_ratio_threshold)), F.col("_quantile") + F.lit(float(margin)))
+    # The field names of the calibration document, in their order.
     return measured.select(
         iso_text(F.current_timestamp()).alias("created_at"),
         F.lit(model_path).alias("model_path"),

@@ -225,6 +225,7 @@ def windows_table(
     documents: DataFrame, ingested_at: Column, stream_dir: str = "", extra: Sequence[str] = ()
 ) -> DataFrame:
     """Window metadata with a bounded preview of the records."""
+    # The table's column names, in their order.
     default_path = F.concat(F.lit(stream_dir.rstrip("/") + "/" if stream_dir else ""), F.col("stream_file"))
     given_path = F.col("stream_json_path") if "stream_json_path" in documents.columns else F.lit(None).cast("string")
     return documents.select(

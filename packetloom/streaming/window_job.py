@@ -86,6 +86,7 @@ def score_records(documents: DataFrame, score: Scorer, keep: Sequence[str] = ("d
 
 def predictions_table(summary: DataFrame, rule: Thresholds, at: Column) -> DataFrame:
     """Window summary rows in the shape of the predictions table."""
+    # Its column names, in their order.
     return with_window_label(summary, rule).select(
         F.col("stream_file").alias("_id"),
         "window_id",
@@ -113,6 +114,7 @@ def predictions_table(summary: DataFrame, rule: Thresholds, at: Column) -> DataF
 
 def alerts_table(predictions: DataFrame) -> DataFrame:
     """Alerts for windows labelled as attack."""
+    # The table's column names, in their order.
     return predictions.where(F.col("window_pred_label") == 1).select(
         "_id",
         "window_id",
