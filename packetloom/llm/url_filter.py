@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import batch
+from packetloom.llm.arrow import batch, blocks
 
 GROUP_BYTES = 64 << 20
 RULE_OVERHEAD = 32  # bytes of a rule beside its string: digest, offset, lengths, verdict
@@ -50,8 +50,12 @@ def split_url(url: str | None) -> tuple[str, str]:
     return rest[:end].translate(LOWER), rest[end:path_end]
 
 
-def host_suffixes(host: str) -> Iterator[str]:
-    """The host and its parent domains."""
+def host_suffixes(host: str, longest: int) -> Iterator[str]:
+    """The host and its parent domains, of those only the ones of up to ``longest`` characters."""
+    first = len(host) - longest
+    if first > 0:
+        border = host.find(".", first - 1)
+        host = host[border + 1 :] if border >= 0 else ""
     while host:
         yield host
         _, _, host = host.partition(".")
@@ -141,9 +145,11 @@ def longest_rules(index: DigestArray, urls: Sequence[tuple[str, str]]) -> list[t
     """Rule and verdict of each (host, path)."""
     candidates: list[bytes] = []
     owner: list[int] = []
+    # A rule's host has no more characters than bytes; longer suffixes fit none, however many dots a url has.
+    longest = int(index.host_length.max()) if len(index.host_length) else 0
     for i, (host, path) in enumerate(urls):
         starts = [path[:n] for n in index.path_lengths if n <= len(path)]
-        for suffix in host_suffixes(host):
+        for suffix in host_suffixes(host, longest):
             candidates += [_entry(suffix, start) for start in starts]
             owner += [i] * len(starts)
     best: list[tuple[str, str] | None] = [None] * len(urls)
@@ -196,7 +202,7 @@ def _judge(content, schema: T.StructType, url: str, default: str, first: bool):
 
     def judge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _mapped(content.value)
-        for b in batches:
+        for b in (own for whole in batches for own in blocks(whole, whole.schema.get_field_index(url))):
             split = [split_url(u) for u in b.column(url).to_pylist()]
             best = longest_rules(index, split)
             if not first:  # the longest rule of the groups before

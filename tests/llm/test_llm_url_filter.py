@@ -60,3 +60,24 @@ def test_collisions_are_confirmed_by_the_string(monkeypatch):
         for (host, path), best in zip(split, url_filter.longest_rules(index, split)):
             expected = brute(f"x://{host}{path}", RULES)
             assert (best or (None, "allow")) == expected[2:] or not host
+
+
+def test_a_url_of_many_dots_takes_little_memory():
+    """A host of half a million labels, which would make as many candidates; only those as long as a rule's host are made."""
+    import tracemalloc
+
+    with tempfile.NamedTemporaryFile() as f:
+        f.write(DigestArray.pack(RULES))
+        f.flush()
+        index = DigestArray.mapped(f.name)
+    made = ["http://" + "a." * 500_000 + "example.com/en/" + "x" * 1_000_000, "http://" + "." * 1_000_000 + "net/es/", "http://" + "b" * 1_000_000 + "com/"]
+    split = [split_url(u) for u in made]
+    tracemalloc.start()
+    found = url_filter.longest_rules(index, split)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [("example.com/en/", "block"), ("net/es/", "block"), None] and peak < 20 << 20
+    for longest in range(1, 12):
+        for host in ("a.b.c", "com", ".com", "com.", "..a", "x.example.com"):
+            whole = list(url_filter.host_suffixes(host, 99))
+            assert list(url_filter.host_suffixes(host, longest)) == [h for h in whole if len(h) <= longest]
