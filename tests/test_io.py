@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from packetloom.contract import PACKET_COLUMNS, spark_names
+from packetloom.plans import queries
 from packetloom.sinks import tables
 from packetloom.sources import csv as source
 from packetloom.sources.tables import recent_rows
+from packetloom.sources.windows import read_documents
 
 
 def write(path, text):
@@ -120,6 +122,31 @@ def test_documents_are_single_files(spark, tmp_path):
     assert len(files) == 5 and "n" in json.loads(files[0].read_text())
 
 
+def test_small_documents_share_files(spark, tmp_path):
+    df = spark.range(500).select(F.format_string("k%d", "id").alias("stream_file"), F.lit(1).alias("record_count"))
+    tables.write_documents(df, str(tmp_path / "d"), documents_per_file=100)
+    files = [f for f in (tmp_path / "d").glob("*.json") if f.stat().st_size]
+    assert len(files) <= 2 * spark.sparkContext.defaultParallelism
+    assert max(len(f.read_text().splitlines()) for f in files) <= 100
+    found = read_documents(spark, str(tmp_path / "d"), ["a"], multi_line=False)
+    assert {r.stream_file for r in found.collect()} == {f"k{i}" for i in range(500)}
+
+
+def test_parts_of_windows_do_not_make_a_file_each(spark, tmp_path, monkeypatch):
+    rows = spark.range(3000).select(
+        F.col("id").alias("event_id"),
+        (F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 5)).alias("ts"),
+        (F.col("id") % 97 * 1.5).alias("value"),
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    folders = []
+    monkeypatch.setattr(queries, "shared_folder", lambda spark, purpose: folders.append(str(tmp_path / f"{purpose}{len(folders)}")) or folders[-1])
+    split = queries.QUERIES["window_labels_split_documents"](spark, str(tmp_path)).collect()
+    assert len(list(tmp_path.glob("live0/*.json"))) <= 2 * spark.sparkContext.defaultParallelism
+    whole = queries.QUERIES["batch_window_scoring"](spark, str(tmp_path)).collect()
+    assert len(split) == 5 and sorted(split) == sorted(whole)
+
+
 def test_run_folders():
     assert tables.run_folders("/x/").table("alerts") == "/x/current/alerts"
     assert tables.run_folders("/x", fresh=True).root != tables.run_folders("/x", fresh=True).root
