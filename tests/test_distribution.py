@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from packetloom.operators.distribution import (
     distinct_rank,
     exact_percentiles,
+    RANGES_PER_CORE,
     range_bounds,
+    range_count,
     running_totals,
     with_range,
     with_record_index,
@@ -110,6 +112,15 @@ def test_record_index(spark, options):
     assert len(found) == len(rows)
 
 
+def test_a_small_limit_makes_no_more_tasks_than_the_cores_need(spark):
+    df = spark.range(20_000).select((F.col("id") % 3).alias("k"), F.col("id").alias("pos"))
+    found = with_record_index(df, ["k"], ["pos"], total="n", limit=50)
+    assert len(found.inputFiles()) <= RANGES_PER_CORE * spark.sparkContext.defaultParallelism + 1
+    assert found.where("record_index != pos div 3 OR n != IF(k = 2, 6666, 6667)").count() == 0
+    assert range_count(spark.range(5_000_000), 1_000_000) == 6
+    assert range_count(spark.range(50_000_000), 10) == 51
+
+
 def test_distinct_rank(spark):
     df = spark.createDataFrame([(f"u{i % 321:05d}",) for i in range(2000)], "u string")
     small = {tuple(r) for r in distinct_rank(df, "u", "i").collect()}
