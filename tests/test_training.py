@@ -252,3 +252,14 @@ def test_raw_rows_are_parsed_once(spark, raw, monkeypatch):
     passed = raw.toDF(*names).mapInArrow(counted, ", ".join(f"{n} string" for n in names))
     _, contract = training.prepare_training_frame(passed)
     assert (contract.original_rows, contract.rows_after_drop_duplicates) == (650, 600) and reads.value == 650
+
+
+def test_split_joins_nothing_by_label_alone(spark):
+    """Such a join brings all rows of a label together in one task."""
+    rows = [(i, None if i % 11 == 0 else int(i % 5 == 0)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, label int").repartition(3)
+    large = training.with_split(df, "label", "id", limit=100)
+    assert {tuple(r) for r in large.collect()} == {tuple(r) for r in training.with_split(df, "label", "id").collect()}
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 1 and "_range" in joins[0]
