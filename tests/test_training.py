@@ -263,3 +263,11 @@ def test_split_joins_nothing_by_label_alone(spark):
     plan = large._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join " in line]
     assert len(joins) == 1 and "_range" in joins[0]
+
+
+def test_vectors_are_spread_by_what_the_learner_keeps(spark):
+    vectors = spark.range(20_000).coalesce(1)
+    sizes = [len(p) for p in training.spread_vectors(vectors, 100, 1 << 20).rdd.glom().collect()]
+    row = training.TREE_ROW_BYTES + 100 * training.TREE_CELL_BYTES
+    assert sum(sizes) == 20_000 and max(sizes) * row <= 1.2 * (1 << 20)
+    assert training.spread_vectors(vectors, 100).rdd.getNumPartitions() == 1
