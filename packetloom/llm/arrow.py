@@ -7,7 +7,8 @@ operator needs several times its input as memory.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,30 @@ def text_values(column: pa.Array) -> list[str]:
     return [v or "" for v in column.to_pylist()]
 
 
+def full_texts(column: pa.Array) -> pa.Array:
+    """A text column with the empty text in place of nulls."""
+    return pc.fill_null(column, "")
+
+
+_kept: dict = {}
+
+
+def kept(make: Callable, *key):
+    """``make(*key)``, kept by the worker process from task to task; only the newest is, so no operator's memory outlives its stage."""
+    if (make, key) not in _kept:
+        release()
+        _kept[make, key] = make(*key)
+    return _kept[make, key]
+
+
+def release() -> None:
+    """Give up what the tasks of other operators left in this worker process."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def blocks(whole: pa.RecordBatch, column: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about ``limit`` bytes of text in ``column`` each; only one needs Python objects at a time."""
     sizes = pc.fill_null(pc.binary_length(whole.column(column)), 0).to_numpy(zero_copy_only=False)

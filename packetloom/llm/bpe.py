@@ -15,7 +15,6 @@ Null and empty texts have no ids. Rows are independent of each other.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import batch, blocks, fields, text_values
+from packetloom.llm.arrow import batch, blocks, fields, full_texts, kept
 from packetloom.llm.chunks import PartMemory
 
 # Fixed value: the pattern that cuts a text into pre-tokens.
@@ -208,9 +207,7 @@ class Bpe:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@functools.lru_cache(maxsize=2)
 def _worker_bpe(ranks: tuple[bytes, ...], pattern: str) -> Bpe:
-    """One coder per worker process, kept from task to task."""
     return Bpe({token: rank for rank, token in enumerate(ranks) if token}, pattern)
 
 
@@ -260,17 +257,19 @@ def _coder(docs: DataFrame, ranks_path: str, pattern: str, schema: T.StructType,
     shared = docs.sparkSession.sparkContext.broadcast(rank_list(read_ranks(ranks_path)))
 
     def code_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _worker_bpe(shared.value, pattern)
+        coder = kept(_worker_bpe, shared.value, pattern)
         for b in batches:
             for own in blocks(b, 1):
-                ids = coder.encode(text_values(own.column(1)))
+                flat, reached = coder.memory.flat_ids_of(full_texts(own.column(1)))
+                ends = np.append(0, reached)
                 columns = [own.column(0)]
                 if with_ids:
-                    ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
-                    values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends), values, type=arrow.field(1).type))
+                    values = pa.array(flat.view(np.int32))
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values, type=arrow.field(1).type))
+                raw, cuts = flat.tobytes(), (4 * ends).tolist()
+                ids = [raw[start:end] for start, end in zip(cuts, cuts[1:])]
                 columns += [
-                    [len(i) // 4 for i in ids],
+                    pa.array(np.diff(ends)),
                     [hashlib.sha256(i).hexdigest() for i in ids],
                     [hashlib.sha256(coder.decode(i)).hexdigest() for i in ids],
                 ]

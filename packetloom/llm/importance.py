@@ -26,13 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import batch, blocks, byte_values, fields, plain_names
+from packetloom.llm.arrow import batch, blocks, byte_values, fields, full_texts, plain_names, release
 from packetloom.session import materialise
 
 WORD_BUCKETS = 1 << 16
@@ -86,12 +87,20 @@ class WordCodes:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def bucket_stream(codes: WordCodes, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams of the texts, and the number of the text that each stands in."""
-    split = [t.split() for t in texts]
-    n = np.array([len(w) for w in split], np.int64)
-    code = codes.of([w for words in split for w in words])
-    owner = np.repeat(np.arange(len(texts)), n)
+def bucket_stream(codes: WordCodes, texts: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams of the texts, which are not null, and the number of the text that each stands in.
+
+    Each different word is looked up once; Python holds no object per occurrence.
+    """
+    if isinstance(texts, list):
+        texts = pa.array(texts, pa.large_binary()).cast(pa.large_string(), safe=False)
+    split = pc.ascii_split_whitespace(texts)
+    words, n = split.flatten(), split.value_lengths().to_numpy(zero_copy_only=False)
+    # White space at either end leaves an empty piece.
+    is_word = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), n)[is_word]
+    coded = words.filter(pa.array(is_word)).dictionary_encode()
+    code = codes.of(byte_values(coded.dictionary))[coded.indices.to_numpy(zero_copy_only=False)]
     if not len(code):
         return np.zeros(0, np.int64), owner
     same_text = owner[1:] == owner[:-1]
@@ -110,12 +119,13 @@ def bucket_counts(docs: DataFrame, text: str = "text", target: str = "_target")
     """Counts of each bucket over all documents (``raw``) and over those of the target (``target``)."""
 
     def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         codes = WordCodes()
         raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for b in batches:
             for own in blocks(b, 0):
-                texts, is_target = byte_values(own.column(0)), np.array(own.column(1).to_pylist(), bool)
-                buckets, owner = bucket_stream(codes, texts)
+                is_target = np.array(own.column(1).to_pylist(), bool)
+                buckets, owner = bucket_stream(codes, full_texts(own.column(0)))
                 raw += np.bincount(buckets, minlength=BUCKETS)
                 good += np.bincount(buckets[is_target[owner]], minlength=BUCKETS)
         seen = np.flatnonzero(raw)
@@ -155,11 +165,12 @@ def importance_weights(docs: DataFrame, ratios: np.ndarray, keep: list[str], key
     n = len(keep)
 
     def weigh_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         codes, ratios = WordCodes(), shared.value
         for b in batches:
             for own in blocks(b, n + 1):
                 texts = byte_values(own.column(n + 1))
-                buckets, owner = bucket_stream(codes, texts)
+                buckets, owner = bucket_stream(codes, full_texts(own.column(n + 1)))
                 weight = np.bincount(owner, ratios[buckets], len(texts))
                 grams = np.bincount(owner, minlength=len(texts))
                 mean = weight / np.maximum(grams, 1)

@@ -1,10 +1,12 @@
 import random
+import tracemalloc
+import weakref
 
 import corpus
 import numpy as np
 import pytest
 
-from packetloom.llm import importance
+from packetloom.llm import arrow, importance
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -77,3 +79,29 @@ def test_toxic_rows_are_not_good_for_the_threshold(spark):
     mean = {i: 0.5 if i < 20 else 0.1 if i < 40 else -0.5 for i, *_ in labels}
     means = spark.createDataFrame(list(mean.items()), "doc_id long, _mean double")
     assert 0.1 < importance.threshold(means.join(sample, means.doc_id == sample["_label_key"])) <= 0.5
+
+
+def test_memory_follows_different_words_not_occurrences():
+    text = b" ".join(b"word%d" % (i % 1000) for i in range(600_000))
+    tracemalloc.start()
+    buckets, owner = importance.bucket_stream(importance.WordCodes(), [text])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(buckets) == len(owner) == 3 * 600_000 - 2
+    assert peak < 80e6
+
+
+def test_white_space_at_the_ends_of_texts():
+    some = [b"", b" \t\n", b"\x0b a  b\x0c\r", b"a b", b"\xc2\xa0 c", b"d"]
+    alone = [importance.bucket_stream(importance.WordCodes(), [b" ".join(t.split())])[0].tolist() for t in some]
+    buckets, owner = importance.bucket_stream(importance.WordCodes(), some)
+    assert [sorted(buckets[owner == i].tolist()) for i in range(len(some))] == [sorted(a) for a in alone]
+
+
+def test_a_worker_keeps_only_the_newest_state():
+    first = weakref.ref(arrow.kept(importance.WordCodes))
+    assert arrow.kept(importance.WordCodes) is first()
+    assert arrow.kept(set, (1, 2)) == {1, 2} and first() is None
+    second = weakref.ref(arrow.kept(importance.WordCodes))
+    arrow.release()
+    assert second() is None
