@@ -16,7 +16,6 @@ tables give empty files.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 import zlib
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from packetloom.llm.arrow import batch, blocks, fields, text_values
+from packetloom.llm.arrow import batch, blocks, fields, full_texts, kept
 from packetloom.llm.chunks import PartMemory, odd
 
 ROW_GROUP_BYTES = 32 << 20
@@ -98,21 +97,22 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as the library gives them; the string of an added token is that token's id."""
-        whole = {i for i, t in enumerate(texts) if self.added.search(t)} if self.added else set()
-        if not whole:
-            return self.memory.ids_of(texts)
-        found = iter(self.memory.ids_of([t for i, t in enumerate(texts) if i not in whole]))
-
-        def ids_of_whole(text: str) -> bytes:
-            return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-        return [ids_of_whole(t) if i in whole else next(found) for i, t in enumerate(texts)]
+        ids, ends = self.encode_flat(pa.array(texts, pa.large_string()))
+        raw, cuts = ids.tobytes(), (4 * ends).tolist()
+        return [raw[start:end] for start, end in zip([0, *cuts], cuts)]
 
-
-@functools.lru_cache(maxsize=2)
-def _worker_encoder(definition: str) -> LibraryEncoder:
-    """One encoder per worker process, kept from task to task."""
-    return LibraryEncoder(definition)
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, in one array for all texts, which are not null, and where each text's ids end in it."""
+        whole = [i for i, t in enumerate(texts.to_pylist()) if self.added.search(t)] if self.added else []
+        if not whole:
+            return self.memory.flat_ids_of(texts)
+        others = np.ones(len(texts), bool)
+        others[whole] = False
+        ids, ends = self.memory.flat_ids_of(texts.filter(pa.array(others)))
+        rest = iter(np.split(ids, ends[:-1]))
+        plain = (self.plain.encode(t, add_special_tokens=False).ids for t in texts.take(pa.array(whole)).to_pylist())
+        found = [next(rest) if other else np.array(next(plain), "<u4") for other in others.tolist()]
+        return np.concatenate(found), np.cumsum([len(f) for f in found])
 
 
 def write_token_files(
@@ -134,18 +134,18 @@ def write_token_files(
         ]
     )
     arrow = to_arrow_schema(schema)
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _worker_encoder(shared.value)
+        encoder = kept(LibraryEncoder, shared.value)
         part, start = TaskContext.get().partitionId(), 0
         for b in batches:
             for own in blocks(b, 1):
-                ids = [i + end for i in encoder.encode(text_values(own.column(1)))]
-                ends = np.cumsum([0] + [len(i) // 4 for i in ids])
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                ids, reached = encoder.encode_flat(full_texts(own.column(1)))
+                values = pa.array(np.insert(ids, reached, end_id).view(np.int32))
+                ends = np.append(0, reached + np.arange(1, len(reached) + 1))
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values, type=arrow.field("ids").type)
-                yield batch(arrow, [own.column(0), [part] * len(ids), pa.array(start + ends[:-1]), pa.array(np.diff(ends)), lists])
+                parts = pa.array(np.full(len(reached), part, np.int32))
+                yield batch(arrow, [own.column(0), parts, pa.array(start + ends[:-1]), pa.array(np.diff(ends)), lists])
                 start += int(ends[-1])
 
     ordered = (

@@ -1,5 +1,6 @@
 import glob
 import random
+import tracemalloc
 import zlib
 
 import corpus
@@ -83,3 +84,28 @@ def test_empty_table(spark):
     folder = shared_folder(spark, "tokens")
     token_files.write_token_files(corpus.empty(corpus.awkward(spark, ["a"])), PATH, folder)
     assert token_files.read_token_files(spark, folder).count() == 0
+
+
+def test_a_part_that_comes_often_is_looked_up_once(library):
+    """Python holds no object per occurrence, and the library gets new parts in groups."""
+    with open(PATH, encoding="utf-8") as f:
+        encoder = token_files.LibraryEncoder(f.read())
+    sizes, encode_plain = [], encoder.memory.encode_plain
+    encoder.memory.encode_plain = lambda parts: sizes.append(len(parts)) or encode_plain(parts)
+    some = [" ".join(f"w{i % 40_000}" for i in range(k, k + 100_000)) for k in range(0, 600_000, 100_000)]
+    tracemalloc.start()
+    found = encoder.encode(some)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [np.frombuffer(i, "<u4").tolist() for i in found] == [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert sum(sizes) <= 40_000 and max(sizes) <= 16_384
+    assert peak < 72e6
+
+
+def test_odd_texts_keep_their_places(library):
+    with open(PATH, encoding="utf-8") as f:
+        encoder = token_files.LibraryEncoder(f.read())
+    some = ["", " ", "a  b", " a", "a ", "plain words", "a\n", "<|endoftext|> x  y", "b \x1cc", "  ", "plain words", "\n a"]
+    for _ in range(2):
+        assert [np.frombuffer(i, "<u4").tolist() for i in encoder.encode(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert encoder.encode([]) == []
