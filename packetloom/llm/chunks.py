@@ -90,17 +90,15 @@ class PartMemory:
             for i, own in zip(at_end, self.encode([" " + names[i] for i in at_end])):
                 ids[i] = own
             unknown = [i for i in unknown if ids[i] is None]
-        missing = []
-        for i in unknown:
-            if (own := old.get(names[i])) is None:
-                missing.append(i)
-            else:
-                ids[i] = new[names[i]] = own
-        for k in range(0, len(missing), AT_ONCE):
-            some = missing[k : k + AT_ONCE]
-            parts = [names[i] for i in some]
-            for i, p, own in zip(some, parts, self.encode_plain(parts)):
-                ids[i] = new[p] = own
+        parts = [names[i] for i in unknown]
+        found = list(map(old.get, parts))
+        missing = [p for p, own in zip(parts, found) if own is None]
+        groups = [missing[k : k + AT_ONCE] for k in range(0, len(missing), AT_ONCE)]
+        encoded = itertools.chain.from_iterable(map(self.encode_plain, groups))
+        found = [next(encoded) if own is None else own for own in found]
+        new.update(zip(parts, found))
+        for i, own in zip(unknown, found):
+            ids[i] = own
         return ids
 
 
